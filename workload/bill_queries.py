@@ -1,2 +1,301 @@
-"""placeholder"""
-ENTRIES = {}
+"""Queries over bills and authors, and over keyed tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lawloom import functions as lf
+from lawloom import operators as op
+from lawloom import plans, sources
+from workload import stand_ins as si
+from workload.text_queries import TOKENS
+
+RULE = {"types": si.TYPES, "start": si.START, "end": si.END}
+SQL_TYPE_OK = "\"siglaTipo\" IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"
+SQL_DATE_OK = "day BETWEEN DATE '1996-02-02' AND DATE '1996-07-17'"
+
+
+# --- filter and count -------------------------------------------------------------
+
+
+def parse_iso_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    date = F.col("dataApresentacao")
+    return si.irregular_bills(spark, sf_dir).select("id", date, lf.parse_iso_date(date).alias("day"))
+
+
+def filter_type_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.keep_valid(si.irregular_bills(spark, sf_dir), **RULE)
+
+
+def rejection_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.count_rejections(si.irregular_bills(spark, sf_dir), **RULE)
+
+
+REJECTION_SQL = f"""
+WITH {si.IRREGULAR_BILLS}
+SELECT CASE WHEN NOT coalesce({SQL_TYPE_OK}, false) THEN 'tipo' WHEN day IS NULL THEN 'vazia'
+            WHEN NOT ({SQL_DATE_OK}) THEN 'data' ELSE 'ok' END AS reason, count(*) AS n
+FROM dated GROUP BY 1"""
+
+
+def drop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = {
+        "ultimoStatus": F.struct("siglaTipo", "descricaoTipo"),
+        "uriOrgaoNumerador": F.col("urlInteiroTeor"),
+        "uriPropAnterior": F.col("urlInteiroTeor"),
+        "uriPropPrincipal": F.col("urlInteiroTeor"),
+    }
+    return op.drop_fields(si.bills(spark, sf_dir).withColumns(extra))
+
+
+# --- authors ------------------------------------------------------------------------
+
+
+def _author_text(a: Column) -> Column:
+    return F.concat_ws(":", a["idDeputadoAutor"].cast("string"), a["nomeAutor"], a["siglaPartidoAutor"], a["siglaUFAutor"])
+
+
+AUTHOR_TEXT = """concat_ws(':', "idDeputadoAutor", "nomeAutor", "siglaPartidoAutor", "siglaUFAutor")"""
+GROUPED = f"""
+grouped AS (
+  SELECT "idProposicao", CAST(count(*) AS INTEGER) AS n_authors,
+         string_agg({AUTHOR_TEXT}, '|' ORDER BY {si.AUTHOR_SORT}) AS autores
+  FROM authors WHERE "idProposicao" <> 0 GROUP BY "idProposicao")"""
+
+
+def authors_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = op.group_authors(si.authors(spark, sf_dir), si.AUTHOR_ORDER)
+    return grouped.select(
+        "idProposicao",
+        F.size("autores").alias("n_authors"),
+        F.array_join(F.transform("autores", _author_text), "|").alias("autores"),
+    )
+
+
+def merge_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return si.bills_with_authors(spark, sf_dir).select(
+        "id",
+        "siglaTipo",
+        "dataApresentacao",
+        F.size("autores").alias("n_authors"),
+        F.array_join(F.transform("autores", _author_text), "|").alias("autores"),
+    )
+
+
+MERGE_AUTHORS_SQL = f"""
+WITH {si.BILLS}, {si.AUTHORS}, {GROUPED}
+SELECT id, "siglaTipo", "dataApresentacao", coalesce(n_authors, 0) AS n_authors, coalesce(autores, '') AS autores
+FROM bills LEFT JOIN grouped ON "idProposicao" = id"""
+
+
+def prepared_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared = plans.prepare(si.irregular_bills(spark, sf_dir), si.authors(spark, sf_dir), si.AUTHOR_ORDER, **RULE)
+    return prepared.withColumn("autores", F.array_join(F.transform("autores", _author_text), "|"))
+
+
+PREPARED_SQL = f"""
+WITH {si.IRREGULAR_BILLS}, {si.AUTHORS}, {GROUPED}
+SELECT id, "siglaTipo", "descricaoTipo", "dataApresentacao", "urlInteiroTeor", coalesce(autores, '') AS autores
+FROM dated LEFT JOIN grouped ON "idProposicao" = id WHERE {SQL_TYPE_OK} AND {SQL_DATE_OK}"""
+
+
+def unique_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.unique_authors(si.bills_with_authors(spark, sf_dir))
+
+
+UNIQUE_AUTHORS_SQL = f"""
+WITH {si.AUTHORS}
+SELECT CAST("idDeputadoAutor" AS INTEGER) AS id, "nomeAutor" AS full_name,
+       "siglaPartidoAutor" AS poli_party, "siglaUFAutor" AS uf
+FROM (SELECT *, row_number() OVER (PARTITION BY "idDeputadoAutor" ORDER BY "idProposicao", {si.AUTHOR_SORT}) AS rank
+      FROM authors WHERE "idProposicao" <> 0 AND "idDeputadoAutor" <> 0) WHERE rank = 1"""
+
+
+def propositions_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = op.proposition_rows(si.bills_with_authors(spark, sf_dir))
+    return rows.withColumn("authors", F.array_join(F.col("authors").cast("array<string>"), ","))
+
+
+PROPOSITIONS_SQL = f"""
+WITH {si.BILLS}, {si.AUTHORS},
+firsts AS (
+  SELECT "idProposicao", "idDeputadoAutor", min(place) AS place FROM (
+    SELECT *, row_number() OVER (PARTITION BY "idProposicao" ORDER BY {si.AUTHOR_SORT}) AS place
+    FROM authors WHERE "idProposicao" <> 0) WHERE "idDeputadoAutor" <> 0 GROUP BY ALL),
+ids AS (SELECT "idProposicao", string_agg("idDeputadoAutor", ',' ORDER BY place) AS authors FROM firsts GROUP BY ALL)
+SELECT CAST(id AS INTEGER) AS id, "urlInteiroTeor" AS url_full_text, "descricaoTipo" AS proposition_type,
+       CAST("dataApresentacao" AS TIMESTAMP) AS submission_date, coalesce(authors, '') AS authors
+FROM bills LEFT JOIN ids ON "idProposicao" = id"""
+
+
+def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bills, authors = si.irregular_bills(spark, sf_dir), si.authors(spark, sf_dir)
+    return op.count_stages(
+        bills=bills,
+        authors=authors,
+        prepared=op.keep_valid(bills, **RULE),
+        unique_authors=op.unique_authors(si.bills_with_authors(spark, sf_dir)),
+    )
+
+
+STAGE_COUNTS_SQL = f"""
+WITH {si.IRREGULAR_BILLS}, {si.AUTHORS}
+SELECT 'bills' AS stage, count(*) AS n FROM bills
+UNION ALL SELECT 'authors', count(*) FROM authors
+UNION ALL SELECT 'prepared', count(*) FROM dated WHERE {SQL_TYPE_OK} AND {SQL_DATE_OK}
+UNION ALL SELECT 'unique_authors', count(DISTINCT "idDeputadoAutor") FROM authors
+  WHERE "idProposicao" <> 0 AND "idDeputadoAutor" <> 0"""
+
+
+# --- nested input ---------------------------------------------------------------------
+
+
+def flatten_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nested = si.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.struct(
+            F.col("o_orderstatus").alias("code"),
+            F.struct(F.col("o_orderpriority").alias("name"), F.col("o_totalprice").alias("weight")).alias("detail"),
+        ).alias("status"),
+        F.col("o_custkey").alias("owner"),
+    )
+    return lf.flatten(nested, "_")
+
+
+EVENT = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("siglaTipo", T.StringType()),
+        T.StructField("valor", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
+
+def json_root_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two objects per document among elements that are no objects; root key by event."""
+    first = F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("siglaTipo"), F.col("value").alias("valor"), "props"))
+    second = F.to_json(F.struct((-F.col("event_id")).alias("id"), F.col("user_id").cast("string").alias("siglaTipo")))
+    root = F.when(F.col("event_id") % 2 == 0, "dados").otherwise("proposicoes")
+    text = F.concat(F.lit('{"'), root, F.lit('": ['), first, F.lit(', 5, "text", null, '), second, F.lit("]}"))
+    documents = si.table(spark, sf_dir, "events").select("event_id", text.alias("json"))
+    return sources.explode_root_text(
+        documents, "json", EVENT, roots=("dados", "proposicoes"), require_root=True, keep=("event_id",)
+    )
+
+
+JSON_ROOT_SQL = """
+SELECT event_id, 0 AS src_pos, event_id AS id, event_type AS "siglaTipo", value AS valor, props FROM events
+UNION ALL SELECT event_id, 4, -event_id, CAST(user_id AS VARCHAR), NULL, NULL FROM events"""
+
+
+# --- keyed tables -----------------------------------------------------------------------
+
+
+def merge_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers updated by their orders; doubled keys also bring new and leave old rows."""
+    target = si.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.col("c_name").alias("full_name"),
+        F.col("c_mktsegment").alias("poli_party"),
+        F.col("c_nationkey").cast("string").alias("uf"),
+    )
+    source = (
+        si.table(spark, sf_dir, "orders")
+        .groupBy((F.col("o_custkey") * 2).alias("id"))
+        .agg(
+            F.max("o_orderpriority").alias("full_name"),
+            F.min("o_orderstatus").alias("poli_party"),
+            F.count("*").cast("string").alias("uf"),
+        )
+    )
+    return op.merge_tables(target, source, ["id"], "update")
+
+
+MERGE_UPDATE_SQL = """
+WITH source AS (
+  SELECT o_custkey * 2 AS id, max(o_orderpriority) AS full_name, min(o_orderstatus) AS poli_party,
+         CAST(count(*) AS VARCHAR) AS uf FROM orders GROUP BY 1)
+SELECT * FROM source
+UNION ALL SELECT c_custkey, c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR) FROM customer
+  WHERE c_custkey NOT IN (SELECT id FROM source)"""
+
+
+def merge_update_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word frequencies of the documents updated by those of the conversations."""
+    target = op.word_frequency(si.documents(spark, sf_dir), id_column="doc_id")
+    source = op.word_frequency(si.table(spark, sf_dir, "conversations"), id_column="conv_id")
+    return op.merge_tables(target, source, ["id", "word"], "update")
+
+
+MERGE_COMPOSITE_SQL = f"""
+WITH {TOKENS},
+target AS (SELECT id, word, CAST(count(*) AS INTEGER) AS frequency FROM tokens GROUP BY ALL),
+source AS (
+  SELECT id, word, CAST(count(*) AS INTEGER) AS frequency FROM (
+    SELECT conv_id AS id, unnest(regexp_split_to_array(
+      regexp_replace(lower(coalesce(text, '')), '{si.SQL_NOT_WORD}', '', 'g'), '[{si.SQL_SPACE}]+')) AS word
+    FROM conversations) WHERE word <> '' GROUP BY ALL)
+SELECT * FROM source
+UNION ALL SELECT t.* FROM target t ANTI JOIN source s ON s.id = t.id AND s.word = t.word"""
+
+
+def merge_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user, event type, props) triples; the source has the triples of the next user too."""
+    triples = si.table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("id"), F.col("event_type").alias("entity_type"), F.col("props").alias("entity")
+    )
+    source = triples.unionByName(triples.withColumn("id", F.col("id") + 1))
+    return op.merge_tables(triples.distinct(), source, ["id", "entity_type", "entity"], "ignore")
+
+
+MERGE_IGNORE_SQL = """
+SELECT user_id AS id, event_type AS entity_type, props AS entity FROM events
+UNION SELECT user_id + 1, event_type, props FROM events"""
+
+
+def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = si.table(spark, sf_dir, "lineitem").withColumn("l_shipmode", F.nullif("l_returnflag", F.lit("R")))
+    return op.contract_violations(rows, ["l_orderkey", "l_quantity", "l_shipmode"], ["l_orderkey", "l_linenumber"])
+
+
+CONTRACT_SQL = """
+SELECT 'rows' AS "check", '' AS column_name, count(*) AS n FROM lineitem
+UNION ALL SELECT 'duplicate_key', 'l_orderkey,l_linenumber', CAST(sum(m - 1) AS BIGINT) FROM (
+  SELECT count(*) AS m FROM lineitem GROUP BY l_orderkey, l_linenumber)
+UNION ALL SELECT 'null', 'l_orderkey', count(*) FILTER (l_orderkey IS NULL) FROM lineitem
+UNION ALL SELECT 'null', 'l_quantity', count(*) FILTER (l_quantity IS NULL) FROM lineitem
+UNION ALL SELECT 'null', 'l_shipmode', count(*) FILTER (l_returnflag = 'R') FROM lineitem"""
+
+
+ENTRIES = {
+    "parse_iso_date": (parse_iso_date, f'WITH {si.IRREGULAR_BILLS} SELECT id, "dataApresentacao", day FROM dated'),
+    "filter_type_date": (
+        filter_type_date,
+        f'WITH {si.IRREGULAR_BILLS} SELECT id, "siglaTipo", "descricaoTipo", "dataApresentacao", "urlInteiroTeor"'
+        f" FROM dated WHERE {SQL_TYPE_OK} AND {SQL_DATE_OK}",
+    ),
+    "rejection_counts": (rejection_counts, REJECTION_SQL),
+    "drop_columns": (drop_columns, f"WITH {si.BILLS} SELECT * FROM bills"),
+    "authors_grouped": (
+        authors_grouped,
+        f'WITH {si.AUTHORS}, {GROUPED} SELECT "idProposicao", n_authors, autores FROM grouped',
+    ),
+    "merge_authors": (merge_authors, MERGE_AUTHORS_SQL),
+    "prepared_bills": (prepared_bills, PREPARED_SQL),
+    "unique_authors": (unique_authors, UNIQUE_AUTHORS_SQL),
+    "propositions_rows": (propositions_rows, PROPOSITIONS_SQL),
+    "stage_counts": (stage_counts, STAGE_COUNTS_SQL),
+    "flatten_struct": (
+        flatten_struct,
+        "SELECT o_orderkey AS id, o_orderstatus AS status_code, o_orderpriority AS status_detail_name,"
+        " o_totalprice AS status_detail_weight, o_custkey AS owner FROM orders",
+    ),
+    "json_root_explode": (json_root_explode, JSON_ROOT_SQL),
+    "merge_update": (merge_update, MERGE_UPDATE_SQL),
+    "merge_update_composite": (merge_update_composite, MERGE_COMPOSITE_SQL),
+    "merge_ignore": (merge_ignore, MERGE_IGNORE_SQL),
+    "contract_violations": (contract_violations, CONTRACT_SQL),
+}

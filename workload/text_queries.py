@@ -69,7 +69,7 @@ STOPWORD_FILTER_SQL = "WITH {} SELECT id, word FROM tokens WHERE word NOT IN ({}
 # --- single lines ---------------------------------------------------------------
 
 # Line ends put after each sentence, by document.
-_ENDS = ("\r\n", "\x0b", "\x85", " ", "\r", "\x1d")
+_ENDS = ("\r\n", "\x0b", "\x85", "\u2029", "\r", "\x1d")
 _SQL_ENDS = ("chr(13) || chr(10)", "chr(11)", "chr(133)", "chr(8233)", "chr(13)", "chr(29)")
 
 
@@ -210,16 +210,17 @@ BOILERPLATE_SQL = _flags_sql(
 
 def annex_title_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     i, line = F.col("i"), F.col("line")
+    plain = F.replace(line, F.lit("ß"), F.lit("ss"))  # the engines differ on upper('ß')
     variants = [
         line,
         F.concat(F.lit("ANEXO "), i),
         F.concat(F.lit("ANEXO II - TABELA "), i),
-        F.concat(F.lit("ANEXO III - "), F.upper(line)),
+        F.concat(F.lit("ANEXO III - "), F.upper(plain)),
         F.concat(F.lit("ANEXO: "), line),
         F.concat(F.lit("ANEXO ÚNICO "), i),
         F.concat(F.lit("Anexo "), i),
         F.concat(F.lit("ANEXO IV – "), i, F.lit(".")),
-        F.concat(F.lit("ANEXO V: "), F.upper(F.substring_index(line, " ", 3))),
+        F.concat(F.lit("ANEXO V: "), F.upper(F.substring_index(plain, " ", 3))),
     ]
     return _flags(spark, sf_dir, variants, lf.is_annex_title)
 
@@ -229,12 +230,12 @@ ANNEX_TITLE_SQL = _flags_sql(
         "line",
         "'ANEXO ' || i",
         "'ANEXO II - TABELA ' || i",
-        "'ANEXO III - ' || upper(line)",
+        "'ANEXO III - ' || upper(replace(line, 'ß', 'ss'))",
         "'ANEXO: ' || line",
         "'ANEXO ÚNICO ' || i",
         "'Anexo ' || i",
         "'ANEXO IV – ' || i || '.'",
-        "'ANEXO V: ' || upper(array_to_string(string_split(line, ' ')[1:3], ' '))",
+        "'ANEXO V: ' || upper(array_to_string(string_split(replace(line, 'ß', 'ss'), ' ')[1:3], ' '))",
     ],
     si.sql_annex_title("line"),
 )
