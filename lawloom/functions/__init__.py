@@ -2,12 +2,14 @@ from lawloom.functions.dates import may_be_between, parse_iso_date, parse_timest
 from lawloom.functions.structs import flatten
 from lawloom.functions.text import (
     blank_if_null,
+    drop_leaders,
     fold_case,
     is_annex_title,
     is_boilerplate,
     is_page_number,
     normalize_line,
     null_if_blank,
+    split_collapsed_lines,
     split_lines,
     strip,
     tokenize,

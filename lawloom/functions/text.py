@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lawloom import rules
 
-_NOT_WORD = f"[^{rules.WORD_CLASS}{rules.SPACE_CLASS}]"
+# Testing the common ASCII characters first makes both patterns about twice as fast
+# on prose; they match the same characters without it.
+_NOT_WORD = f"[[^a-z ]&&[^{rules.WORD_CLASS}{rules.SPACE_CLASS}]]"
+_LEADERS = rf"(?![\x00-&(-\-/-\^`-~]){rules.LEADER_PATTERN}"
 _SPACES = f"[{rules.SPACE_CLASS}]+"
 _EDGE_SPACES = f"^[{rules.SPACE_CLASS}]+|[{rules.SPACE_CLASS}]+\\z"
 
@@ -39,8 +42,22 @@ def split_lines(text: Column) -> Column:
 
 def normalize_line(line: Column) -> Column:
     """Leader runs of three or more become a space, spaces collapse, ends are trimmed."""
-    spaced = F.regexp_replace(line, rules.LEADER_PATTERN, " ")
-    return F.trim(F.regexp_replace(spaced, _SPACES, " "))
+    return F.trim(F.regexp_replace(drop_leaders(line), _SPACES, " "))
+
+
+def drop_leaders(text: Column) -> Column:
+    """Leader runs of three or more become a space."""
+    return F.regexp_replace(text, _LEADERS, " ")
+
+
+def split_collapsed_lines(text: Column) -> Column:
+    """Split into lines with spaces collapsed; each line may keep one space at its ends.
+
+    Spaces are rewritten only in texts that have a double or an unusual space.
+    """
+    inner = f"[{rules.SPACE_CLASS}]&&[^{rules.LINE_END_CLASS}]"
+    uneven = text.contains("  ") | text.rlike(f"[[^ -~]&&{inner}]")
+    return split_lines(F.when(uneven, F.regexp_replace(text, f"[{inner}]+", " ")).otherwise(text))
 
 
 def fold_case(text: Column) -> Column:
@@ -61,27 +78,31 @@ def is_boilerplate(
     stamp_pattern: str | None = rules.STAMP_PATTERN,
     bill_id_pattern: str | None = rules.BILL_ID_PATTERN,
 ) -> Column:
-    """The folded line holds a banned term, a protocol stamp, or is only a bill id.
+    """The folded line holds a banned term, a protocol stamp, or is only a bill id."""
+    terms = list(dict.fromkeys(banned))
+    needed = [t for t in terms if not any(other != t and other in t for other in terms)]
 
-    All rules are one alternation, so the line is folded and searched once.
-    """
-    parts = [re.escape(term) for term in dict.fromkeys(banned)]
-    if stamp_pattern:
-        parts.append(_unicode_spaces(stamp_pattern))
-    if bill_id_pattern:
-        parts.append(_unicode_spaces(bill_id_pattern))
-    if not parts:
-        return line.isNotNull() & F.lit(False)
-    return fold_case(line).rlike("|".join(f"(?:{p})" for p in parts))
+    def any_rule(folded: Column) -> Column:
+        tests = [folded.contains(term) for term in needed]
+        if stamp_pattern:
+            tests.append(folded.contains("cd") & folded.rlike(_unicode_spaces(stamp_pattern)))
+        if bill_id_pattern:
+            tests.append(folded.startswith("pl") & folded.rlike(_unicode_spaces(bill_id_pattern)))
+        return reduce(Column.__or__, tests, F.lit(False))
+
+    # The array of one holds the folded line, so that the tests share it.
+    return F.exists(F.array(fold_case(line)), any_rule)
 
 
 def is_annex_title(line: Column, max_words: int = rules.ANNEX_MAX_WORDS) -> Column:
     """A short upper-case ``ANEXO`` heading that is not a sentence."""
+    has_word = line.contains("ANEXO")  # nearly every line stops here
     s = strip(line)
     letters = F.length(F.regexp_replace(s, r"\P{L}", ""))
     uppers = F.length(F.regexp_replace(s, r"\P{Lu}", ""))
     return (
-        s.rlike(_unicode_spaces(rules.ANNEX_PATTERN))
+        has_word
+        & s.rlike(_unicode_spaces(rules.ANNEX_PATTERN))
         & ~s.endswith(".")
         & (F.size(F.split(s, _SPACES)) <= max_words)
         & (uppers * 10 >= letters * 9)

@@ -24,12 +24,12 @@ from pyspark.sql import functions as F
 
 from lawloom import rules
 from lawloom.functions.text import (
+    drop_leaders,
     is_annex_title,
     is_boilerplate,
     is_page_number,
-    normalize_line,
     null_if_blank,
-    split_lines,
+    split_collapsed_lines,
 )
 
 
@@ -44,11 +44,14 @@ def in_bottom(fraction: float = rules.BOTTOM_FRACTION) -> Column:
 def explode_lines(blocks: DataFrame, text_column: str = "text", position: str = "line_in_block") -> DataFrame:
     """Split the text of each block into normalised lines; empty lines are dropped.
 
-    All other columns are kept, so a line has the coordinates of its block.
+    All other columns are kept, so a line has the coordinates of its block. The
+    expensive patterns run on the whole text before the explode: what comes after it
+    is a cheap trim, so filters pushed down onto `line` repeat no pattern.
     """
     others = [c for c in blocks.columns if c != text_column]
-    split = blocks.select(*others, F.posexplode(split_lines(F.col(text_column))).alias(position, "line"))
-    return split.withColumn("line", normalize_line(F.col("line"))).filter(F.col("line") != "")
+    spaced = blocks.select(*others, drop_leaders(F.col(text_column)).alias("_text"))
+    split = spaced.select(*others, F.posexplode(split_collapsed_lines(F.col("_text"))).alias(position, "_line"))
+    return split.select(*others, position, F.trim("_line").alias("line")).filter(F.col("line") != "")
 
 
 def page_counts(pages: DataFrame) -> DataFrame:

@@ -101,7 +101,8 @@ TOPICS = (
 # them. Java's \w and \s are ASCII, so the classes are spelled out.
 WORD_CLASS = r"\p{L}\p{N}_"
 SPACE_CLASS = r"\t-\r\x1c-\x20\x85\p{Z}"
-LINE_END_PATTERN = r"\r\n|[\n\x0b\f\r\x1c-\x1e\x85\u2028\u2029]"
+LINE_END_CLASS = r"\n\x0b\f\r\x1c-\x1e\x85\u2028\u2029"
+LINE_END_PATTERN = rf"[{LINE_END_CLASS}](?:(?<=\r)\n)?"
 LEADER_PATTERN = r"[_'.·•●◦▪▫⋅∙…]{3,}"
 ANNEX_PATTERN = r"^ANEXO(\s+[IVXLCDM0-9]+)?(\s*[-–—:][^\n]*)?\z"
 ANNEX_MAX_WORDS = 10

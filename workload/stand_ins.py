@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lawloom import functions as lf
-from lawloom.operators import group_authors, merge_authors
+from lawloom.operators import explode_lines, group_authors, merge_authors
+from lawloom.sources import spread
 
 TYPES = ("1-URGENT", "2-HIGH", "3-MEDIUM")
 START, END = dt.date(1996, 2, 2), dt.date(1996, 7, 17)
@@ -130,7 +131,7 @@ def bills_with_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,7 +160,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines placed in five slots per page, with page furniture around them."""
-    text = document_lines(spark, sf_dir).select(
+    text = explode_lines(documents(spark, sf_dir).select("doc_id", "text"), position="i").select(
         "doc_id",
         F.expr(f"CAST(i div {LINES_PER_PAGE} AS INT)").alias("page_no"),
         F.lit(100.0).alias("page_height"),
@@ -177,7 +178,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         furniture(page % 3 != 2, 0, 5.0, F.concat(F.lit("RELATORIO "), doc % 7)),
         furniture(F.lit(True), 1, 5.0, (page + 1).cast("string")),
         furniture(annex, 2, 20.0, F.lit("ANEXO I")),
-        furniture(doc % 6 == 0, 50, 50.0, F.lit("Art. 1 ........ 3")),
+        furniture(doc % 6 == 0, 50, 50.0, lf.normalize_line(F.lit("Art. 1 ........ 3"))),
         furniture(F.lit(True), 90, 95.0, F.concat(F.lit("Página "), page + 1, F.lit(" de "), n)),
         furniture(doc % 4 == 0, 91, 95.0, F.concat(F.lit("Gabinete do Deputado "), doc)),
     )
@@ -187,8 +188,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter("p IS NOT NULL")
         .select("doc_id", "page_no", "page_height", "p.*")
     )
-    raw = text.unionByName(added)
-    return raw.withColumn("line", lf.normalize_line(F.col("line"))).filter(F.col("line") != "")
+    return text.unionByName(added)
 
 
 # Fixed values of the SQL side: the same classes as in lawloom.rules, in RE2 syntax.
