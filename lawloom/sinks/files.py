@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -14,6 +17,11 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     df.write.mode(mode).parquet(path)
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="lawloom-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by `spark.checkpoint.dir`.
 
@@ -25,8 +33,4 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    import tempfile
-
-    folder = tempfile.mkdtemp(prefix="lawloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir()

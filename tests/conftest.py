@@ -12,6 +12,7 @@ def spark():
         .appName("tests")
         .config("spark.sql.shuffle.partitions", 4)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", 10000)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
