@@ -180,7 +180,7 @@ def json_root_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = F.to_json(F.struct((-F.col("event_id")).alias("id"), F.col("user_id").cast("string").alias("siglaTipo")))
     root = F.when(F.col("event_id") % 2 == 0, "dados").otherwise("proposicoes")
     text = F.concat(F.lit('{"'), root, F.lit('": ['), first, F.lit(', 5, "text", null, '), second, F.lit("]}"))
-    documents = si.table(spark, sf_dir, "events").select("event_id", text.alias("json"))
+    documents = sources.spread(si.table(spark, sf_dir, "events")).select("event_id", text.alias("json"))
     return sources.explode_root_text(
         documents, "json", EVENT, roots=("dados", "proposicoes"), require_root=True, keep=("event_id",)
     )
@@ -226,7 +226,7 @@ UNION ALL SELECT c_custkey, c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR) F
 def merge_update_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word frequencies of the documents updated by those of the conversations."""
     target = op.word_frequency(si.documents(spark, sf_dir), id_column="doc_id")
-    source = op.word_frequency(si.table(spark, sf_dir, "conversations"), id_column="conv_id")
+    source = op.word_frequency(sources.spread(si.table(spark, sf_dir, "conversations")), id_column="conv_id")
     return op.merge_tables(target, source, ["id", "word"], "update")
 
 
