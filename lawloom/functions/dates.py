@@ -29,7 +29,8 @@ def may_be_between(text: Column, start: dt.date, end: dt.date) -> Column:
     Every accepted form starts with a four-digit year, so no valid date between
     `start` and `end` fails this test.
     """
-    return (text >= f"{start.year:04d}") & (text < f"{end.year + 1:04d}")
+    not_before = text >= f"{start.year:04d}"
+    return not_before if end.year == dt.MAXYEAR else not_before & (text < f"{end.year + 1:04d}")
 
 
 def parse_timestamp(text: Column) -> Column:

@@ -34,7 +34,9 @@ def bills(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("id"),
         F.col("o_orderpriority").alias("siglaTipo"),
         F.col("o_orderstatus").alias("descricaoTipo"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm").alias("dataApresentacao"),
+        F.replace(F.substring(F.col("o_orderdate").cast("string"), 1, 16), F.lit(" "), F.lit("T")).alias(
+            "dataApresentacao"
+        ),
         F.when(F.col("o_orderkey") % 5 != 3, F.concat(F.lit("u/"), "o_orderkey")).alias("urlInteiroTeor"),
     )
 
