@@ -22,15 +22,25 @@ def analyse(
     topic_model: m.Model,
     order_by: Sequence[str] = ("id",),
     stop_words: Iterable[str] | DataFrame | None = None,
-    max_parallel_summaries: int | None = 3,
-    max_parallel_topics: int | None = 10,
+    max_parallel_summaries: int | None = None,
+    max_parallel_topics: int | None = None,
+    responses_path: str | None = None,
+    rounds: int = 1,
     text_column: str = "textoInteiroTeorLimpo",
 ) -> dict[str, int]:
     """Fill the tables under `root`; returns the number of rows merged per table.
 
     Write the bills to Parquet first: they are read once per table here. Model
-    responses are written once, and every later step reads them back.
+    responses are written once, and every later step reads them back. With
+    `responses_path` they stay there, and a later run asks only for ids that have no
+    response yet. Calls use all task slots unless a `max_parallel` caps them; with a
+    cap, raise `rounds` so that a single task does not hold too many requests.
     """
+
+    def ask(questions: DataFrame, model: m.Model, name: str, max_parallel: int | None) -> DataFrame:
+        path = responses_path and f"{responses_path}/{name}"
+        return store_responses(questions, model, path, max_parallel, rounds)
+
     spark = bills.sparkSession
     create_tables(spark, root)
     if stop_words is None:
@@ -45,12 +55,12 @@ def analyse(
     }
 
     questions = m.build_requests(bills, m.summary_instructions(), text_column=text_column)
-    parsed = m.parse_summaries(store_responses(questions, summary_model, max_parallel=max_parallel_summaries))
+    parsed = m.parse_summaries(ask(questions, summary_model, "summaries", max_parallel_summaries))
     merged["proposition_summary"] = upsert(spark, root, schemas.SUMMARY, m.summary_rows(parsed))
     merged["proposition_ner"] = upsert(spark, root, schemas.ENTITIES, m.entity_rows(parsed), mode="ignore")
 
     summaries = texts_to_classify(read_table(spark, root, schemas.SUMMARY))
     questions = m.build_requests(summaries, m.topic_instructions(), text_column="text_summary", user_prefix="proposição: ")
-    topics = m.parse_topics(store_responses(questions, topic_model, max_parallel=max_parallel_topics))
+    topics = m.parse_topics(ask(questions, topic_model, "topics", max_parallel_topics))
     merged["proposition_topics"] = upsert(spark, root, schemas.TOPICS, m.topic_rows(topics))
     return merged

@@ -136,9 +136,12 @@ def test_analyse_end_to_end(spark, tmp_path):
     def topic_model(messages):
         return envelope({"topic": "Cultura" if "lei" in messages[-1]["content"] else None})
 
-    root = str(tmp_path / "db")
-    for _ in range(2):
-        merged = plans.analyse(bills, root, summary_model, topic_model)
+    def no_more_calls(messages):
+        raise AssertionError("asked twice")
+
+    root, responses = str(tmp_path / "db"), str(tmp_path / "responses")
+    for models in ((summary_model, topic_model), (no_more_calls, no_more_calls)):
+        merged = plans.analyse(bills, root, *models, max_parallel_topics=2, responses_path=responses, rounds=2)
         assert merged == {
             "authors": 1,
             "propositions": 3,
