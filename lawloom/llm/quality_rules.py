@@ -4,7 +4,8 @@ Normalised lines are hashed and their distinct documents counted per host; lines
 in more than `max_docs` documents of the host are taken out, and a document of which
 less than `min_share` of the words is left is depleted and rejected. Counting goes from
 (host, line, document) to (host, line), so one host or one line with a third of all rows
-is still counted in parts. Texts are never shuffled.
+is still counted in parts. Line hashes are computed once and staged; texts are never
+shuffled.
 
 Defined results: a null text has no words and fails the base rule; a null host is a host
 of its own; rows equal in id, text and host are one document; an empty table gives an
@@ -23,6 +24,7 @@ from lawloom.llm.common import (
     fold_ascii,
     key_hashes,
     row_key,
+    staged,
     text_or_empty,
     word_count,
     words,
@@ -98,24 +100,23 @@ def base_measures(docs: DataFrame) -> DataFrame:
     return measured.withColumn("base_failed", failed)
 
 
-def _lines(docs: DataFrame, host: str) -> DataFrame:
+def normalised_lines(docs: DataFrame, host: str = "source") -> DataFrame:
     """(row, pos, host, h1, h2, n) for the lines that have words; n: their words."""
-    lines = docs.select(
-        row_key(F.col("doc_id"), F.col("text"), F.col(host)).alias("row"),
-        F.col(host).alias("host"),
-        F.posexplode(F.split(text_or_empty("text"), "\n")).alias("pos", "line"),
-    )
+    # named before the explode: beside it, the name would be computed for every line
+    named = docs.select(row_key(F.col("doc_id"), F.col("text"), F.col(host)).alias("row"), F.col(host).alias("host"), "text")
+    lines = named.select("row", "host", F.posexplode(F.split(text_or_empty("text"), "\n")).alias("pos", "line"))
     key = fold_ascii(F.btrim(F.regexp_replace("line", r"[\x20\x09-\x0D]+", " ")))
     h1, h2 = key_hashes(F.col("key"))
-    keyed = lines.select("row", "pos", "host", F.regexp_count("line", F.lit(WORD_PATTERN)).alias("n"), key.alias("key"))
+    keyed = lines.select(
+        "row", "pos", "host", F.regexp_count("line", F.lit(WORD_PATTERN)).alias("n"), key.alias("key")
+    )
     return keyed.filter(F.col("n") > 0).select("row", "pos", "host", h1.alias("h1"), h2.alias("h2"), "n")
 
 
-def frequent_lines(docs: DataFrame, host: str = "source", max_docs: int = 50) -> DataFrame:
-    """(host, h1, h2, n_docs) of the lines found in more than `max_docs` documents of their host."""
+def frequent_lines(lines: DataFrame, max_docs: int = 50) -> DataFrame:
+    """(host, h1, h2, n_docs) of the normalised lines found in more than `max_docs` documents of their host."""
     return (
-        _lines(docs, host)
-        .groupBy("host", "h1", "h2", "row")
+        lines.groupBy("host", "h1", "h2", "row")
         .agg(F.lit(1).alias("one"))
         .groupBy("host", "h1", "h2")
         .agg(F.count("one").alias("n_docs"))
@@ -131,9 +132,10 @@ def judge_documents(
     kept: the base rule holds, and at least `min_share` of the words is left.
     """
     base = docs.select("doc_id", "text", F.col(host).alias("host"))
-    frequent = frequent_lines(base, "host", max_docs)
+    hashed = staged(normalised_lines(base, "host"), "normalised-lines")
+    frequent = frequent_lines(hashed, max_docs)
     # a row that is there twice has each of its lines once
-    lines = _lines(base, "host").groupBy("host", "h1", "h2", "row", "pos").agg(F.max("n").alias("n"))
+    lines = hashed.groupBy("host", "h1", "h2", "row", "pos").agg(F.max("n").alias("n"))
     same_line = (
         lines["host"].eqNullSafe(frequent["host"]) & (lines["h1"] == frequent["h1"]) & (lines["h2"] == frequent["h2"])
     )
