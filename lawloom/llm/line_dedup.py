@@ -26,10 +26,10 @@ def line_key(line: Column) -> Column:
 
 def _long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc_id, row, pos, h1, h2) of the lines whose key is long enough."""
-    lines = docs.select(
-        "doc_id",
-        row_key(F.col("doc_id"), F.col("text")).alias("row"),
-        F.posexplode(F.split(text_or_empty("text"), "\n")).alias("pos", "line"),
+    # named before the explode: beside it, the name would be computed for every line
+    named = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row"), "text")
+    lines = named.select(
+        "doc_id", "row", F.posexplode(F.split(text_or_empty("text"), "\n")).alias("pos", "line")
     ).filter(F.length("line") >= min_chars)
     keyed = lines.select("doc_id", "row", "pos", line_key(F.col("line")).alias("key"))
     h1, h2 = key_hashes(F.col("key"))
