@@ -5,8 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import line_dedup, mixing, quality_rules
-from lawloom.llm.common import table
+from lawloom.llm import decontaminate, jaccard_join, line_dedup, mixing, quality, quality_rules
+from lawloom.llm.common import crc_fold, table
+
+
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
+    return jaccard_join.near_duplicate_components(table(spark, sf_dir, "documents"), words_per_shingle=3, percent=90)
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with its place and similarity."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt without the labels of the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_fold(F.col("doc_id"), 4) == 2
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out)
+    scored = quality.score_documents(docs, quality.fit_quality(docs, labels), threshold=0.7)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,6 +163,9 @@ FROM marked GROUP BY doc_id
 """
 
 ENTRIES = {
+    "op3_ngram_jaccard_join": (op3_ngram_jaccard_join, None),
+    "op4_benchmark_decontamination": (op4_benchmark_decontamination, None),
+    "op5_quality_classifier": (op5_quality_classifier, None),
     "op7_mix_sources": (op7_mix_sources, OP7_SQL),
     "op9_quality_rules": (op9_quality_rules, OP9_SQL),
     "op10_line_dedup": (op10_line_dedup, OP10_SQL),
