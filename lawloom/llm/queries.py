@@ -5,10 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import decontaminate, jaccard_join, line_dedup, mixing, quality, quality_rules
+from lawloom.llm import pii, decontaminate, jaccard_join, line_dedup, mixing, quality, quality_rules
 from lawloom.llm.common import crc_fold, table
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: the rules' spans, and those with the field's."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(docs, pii.fit_field(docs))
+
+    def joined(spans):
+        named = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+        return F.array_join(F.transform(spans, named), ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+        (F.size("spans") - F.size(base)).cast("long").alias("n_added"),
+    )
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
     return jaccard_join.near_duplicate_components(table(spark, sf_dir, "documents"), words_per_shingle=3, percent=90)
@@ -163,6 +183,7 @@ FROM marked GROUP BY doc_id
 """
 
 ENTRIES = {
+    "op1_personal_data": (op1_personal_data, None),
     "op3_ngram_jaccard_join": (op3_ngram_jaccard_join, None),
     "op4_benchmark_decontamination": (op4_benchmark_decontamination, None),
     "op5_quality_classifier": (op5_quality_classifier, None),
