@@ -13,6 +13,8 @@ from lawloom.sinks.files import shared_dir
 #: White space is exactly these six characters; everything else belongs to a word.
 WHITE = " \t\n\x0b\x0c\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+#: Rows of an Arrow batch of texts.
+TEXTS_PER_BATCH = 500
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -82,5 +84,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def map_texts(docs: DataFrame, function, schema: str) -> DataFrame:
+    """mapInArrow in small batches: texts can be long, and a batch is held as a whole.
+
+    Lowers the session's limit of rows in a batch, since it counts when the result is computed.
+    """
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= TEXTS_PER_BATCH:
+        conf.set(name, TEXTS_PER_BATCH)
+    return docs.mapInArrow(function, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

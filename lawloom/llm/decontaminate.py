@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.common import broadcast_if_small, staged, text_or_empty
+from lawloom.llm.common import broadcast_if_small, map_texts, staged, text_or_empty
 from lawloom.llm.hashing import hash_windows, hash_words, mix64, text_chunks
 
 #: Bits of the bitmap that is sent to all tasks (2 MB).
@@ -93,7 +93,7 @@ def item_profiles(items: DataFrame, words_per_shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names)
 
     plain = items.select(F.col("item_id").cast("long").alias("item_id"), plain_words(F.col("text")).alias("text"))
-    return plain.mapInArrow(profile, "item_id long, size int, fp1 long, fp2 long, shingles array<long>")
+    return map_texts(plain, profile, "item_id long, size int, fp1 long, fp2 long, shingles array<long>")
 
 
 def _bitmap(profiles: DataFrame) -> np.ndarray:
@@ -161,9 +161,7 @@ def marked_windows(
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain_words(F.col("text")).alias("text"))
-    return plain.mapInArrow(
-        scan, "doc_id long, start int, size int, fp1 long, fp2 long, shingles array<long>"
-    )
+    return map_texts(plain, scan, "doc_id long, start int, size int, fp1 long, fp2 long, shingles array<long>")
 
 
 def _blocks(radius: int) -> Column:

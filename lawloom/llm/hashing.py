@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are worked on in groups of about this many bytes, so that memory stays small.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BYTE_KEYS = np.random.default_rng(20240).integers(1, 1 << 63, 256, dtype=np.uint64)
 _LOWER = np.arange(256, dtype=np.uint8)
