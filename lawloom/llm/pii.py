@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.common import text_or_empty
+from lawloom.llm.common import map_texts, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 20
@@ -296,7 +296,7 @@ def _rewritten(kind: str, span: str, rng: random.Random) -> str:
     if kind == "email":
         local, _, host = span.partition("@")
         at, dot = rng.choice([(" at ", " dot "), (" (at) ", " (dot) "), (" [at] ", " [dot] "), ("(at)", ".")])
-        return local.rpartition(".")[2] + at + host.replace(".", dot)
+        return rng.choice([local, local.split(".")[0]]) + at + host.replace(".", dot)
     if kind == "phone":
         digits = re.sub(r"\D", "", span)[-10:]
         return rng.choice(["({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "{} {} {}"]).format(digits[:3], digits[3:6], digits[6:])
@@ -377,7 +377,7 @@ def fit_field(docs: DataFrame, max_docs: int = 4_000, max_zones: int = 800, seed
             )
 
     sample = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen")).select("text")  # max_docs ids
-    found = sample.mapInArrow(stretches, "stretch string, spans array<string>").filter(F.length("stretch") < 1000)
+    found = map_texts(sample, stretches, "stretch string, spans array<string>").filter(F.length("stretch") < 1000)
     rows = found.distinct().orderBy(F.size("spans") == 0, F.xxhash64("stretch"), "stretch").limit(max_zones).collect()
     parse = lambda s: (s.split(":")[0], *map(int, s.split(":")[1:]))
     return train([(r["stretch"], [parse(s) for s in r["spans"]]) for r in rows])
@@ -399,12 +399,10 @@ def find_personal_data(docs: DataFrame, model: SemiMarkovField) -> DataFrame:
 
     def search(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = part.column(1).to_pylist()
-                spans = [[dict(zip(("kind", "start", "end", "base"), s, strict=True)) for s in all_spans(t, model)] for t in texts]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(spans, pa.list_(span))], ["doc_id", "spans"])
+            texts = (t.as_py() for t in batch.column(1))
+            spans = [[dict(zip(("kind", "start", "end", "base"), s, strict=True)) for s in all_spans(t, model)] for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(span))], ["doc_id", "spans"])
 
     kinds = "array<struct<kind: string, start: int, end: int, base: boolean>>"
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
-    return plain.mapInArrow(search, f"doc_id long, spans {kinds}")
+    return map_texts(plain, search, f"doc_id long, spans {kinds}")
