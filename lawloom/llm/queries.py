@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import pii, decontaminate, jaccard_join, line_dedup, mixing, quality, quality_rules
+from lawloom.llm import licenses, pii, decontaminate, jaccard_join, line_dedup, mixing, quality, quality_rules
 from lawloom.llm.common import crc_fold, table
 
 
@@ -29,6 +29,15 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, its own or that of the nearest directory above it.
+
+    The table has no paths; a document's place is source/language/id.
+    """
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan_licenses(docs.withColumn("path", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
     return jaccard_join.near_duplicate_components(table(spark, sf_dir, "documents"), words_per_shingle=3, percent=90)
@@ -183,6 +192,7 @@ FROM marked GROUP BY doc_id
 """
 
 ENTRIES = {
+    "op8_license_scan": (op8_license_scan, None),
     "op1_personal_data": (op1_personal_data, None),
     "op3_ngram_jaccard_join": (op3_ngram_jaccard_join, None),
     "op4_benchmark_decontamination": (op4_benchmark_decontamination, None),
