@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import licenses, pii, decontaminate, jaccard_join, line_dedup, mixing, quality, quality_rules
+from lawloom.llm import ngram_lm, licenses, pii, decontaminate, jaccard_join, line_dedup, mixing, quality, quality_rules
 from lawloom.llm.common import crc_fold, table
 
 
@@ -38,6 +38,15 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(docs.withColumn("path", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document, learnt from all but the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    scored = ngram_lm.score_documents(docs, crc_fold(F.col("doc_id"), 5) != 1)
+    return scored.select(
+        "doc_id", (~F.col("in_training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
     return jaccard_join.near_duplicate_components(table(spark, sf_dir, "documents"), words_per_shingle=3, percent=90)
@@ -192,6 +201,7 @@ FROM marked GROUP BY doc_id
 """
 
 ENTRIES = {
+    "op2_lm_scoring": (op2_lm_scoring, None),
     "op8_license_scan": (op8_license_scan, None),
     "op1_personal_data": (op1_personal_data, None),
     "op3_ngram_jaccard_join": (op3_ngram_jaccard_join, None),
