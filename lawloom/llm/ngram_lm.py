@@ -29,13 +29,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lawloom.llm.common import map_texts, staged, text_or_empty
 from lawloom.llm.elias_fano import NgramTrie
 from lawloom.llm.hashing import hash_words, mix64, text_chunks
+from lawloom.llm.packing import join_packed, pack, runs, schema_batch, unpack
 
 #: Quantum of the stored log10 probabilities.
 STEP = 2.0**-10
@@ -46,32 +46,6 @@ _END = np.uint64(0x9D5C0FB1E2A7C613)
 _BEGIN = 0
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Numbers as bytes, most significant ones apart, compressed."""
-    width = values.dtype.itemsize
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, width).T
-    return bytes([width]) + zstandard.compress(planes.tobytes(), 1)
-
-
-def unpack(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(blob[1:]), dtype=np.uint8).reshape(blob[0], -1)
-    return np.ascontiguousarray(planes.T).view(np.dtype(f"u{blob[0]}")).ravel()
-
-
-def _join(column) -> np.ndarray:
-    return np.concatenate([unpack(b.as_py()) for b in column])
-
-
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
-
-
-def _runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, ends) of the runs of equal keys."""
-    starts = np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1]))) if len(sorted_keys) else np.zeros(0, int)
-    return starts, np.append(starts[1:], len(sorted_keys))
-
-
 # ---- blocks ----
 
 _BLOCK = pa.schema(
@@ -108,7 +82,7 @@ def document_blocks(docs: DataFrame) -> DataFrame:
             name = f"{TaskContext.get().partitionId()}-{made}"
             ids, train = [i for i, _, _ in held], [t for _, t, _ in held]
             columns = (pack(lengths), pack(tokens), pack(words[order]), pack(trained))
-            return _batch([(name, len(tokens), ids, train, *columns)], _BLOCK)
+            return schema_batch([(name, len(tokens), ids, train, *columns)], _BLOCK)
 
         for batch in batches:
             ids, train = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -146,16 +120,16 @@ def word_totals(blocks: DataFrame, parts: int) -> DataFrame:
                 words, counts = unpack(words), unpack(counts)
                 part = _part_of_words(words, parts)
                 order = np.argsort(part, kind="stable")
-                starts, ends = _runs(part[order])
+                starts, ends = runs(part[order])
                 rows = [
                     (name, int(part[order[a]]), pack(words[order[a:b]]), pack(counts[order[a:b]]))
                     for a, b in zip(starts, ends, strict=True)
                 ]
-                yield _batch(rows, _PART)
+                yield schema_batch(rows, _PART)
 
     def add(group: pa.Table) -> pa.Table:
         sizes = [len(unpack(b.as_py())) for b in group["words"]]
-        words, counts = _join(group["words"]), _join(group["counts"])
+        words, counts = join_packed(group["words"]), join_packed(group["counts"])
         distinct, inverse = np.unique(words, return_inverse=True)
         total = np.bincount(inverse, weights=counts).astype(np.uint64)
         part = group["part"][0].as_py()
@@ -241,7 +215,7 @@ def deal_bigrams(numbered: DataFrame, parts: int, part_tokens: int) -> DataFrame
                 context_numbers = np.append(numbers, _BEGIN).astype(np.uint64)
                 key = before.astype(np.uint64) * np.uint64(n + 1) + tokens.astype(np.uint64)
                 order = np.argsort(key, kind="stable")
-                starts, stops = _runs(key[order])
+                starts, stops = runs(key[order])
                 of_type = order[starts]
                 context, word = before[of_type], tokens[of_type]
                 slices = context_totals[context] // np.uint64(part_tokens) + np.uint64(1)
@@ -254,14 +228,14 @@ def deal_bigrams(numbered: DataFrame, parts: int, part_tokens: int) -> DataFrame
                 docs = doc[order][places]
                 cut = np.concatenate(([0], np.cumsum(times[types], dtype=np.int64)))
                 rows = []
-                for a, b in zip(*_runs(part[types]), strict=True):
+                for a, b in zip(*runs(part[types]), strict=True):
                     t = types[a:b]
                     columns = (
                         context_numbers[context[t]], context_totals[context[t]], numbers[word[t]], totals[word[t]],
                         trained[t], times[t], docs[cut[a] : cut[b]],
                     )
                     rows.append((name, int(part[t[0]]), *(pack(_narrow(c)) for c in columns)))
-                yield _batch(rows, _DEALT)
+                yield schema_batch(rows, _DEALT)
 
     columns = numbered.select("block", "train", "lengths", "tokens", "totals", "numbers")
     return columns.mapInArrow(deal, _DEALT_SQL)
@@ -284,7 +258,7 @@ def build_trie(
     seen = counts > 0
     contexts, context_counts, words, probabilities, counts = (x[seen] for x in (contexts, context_counts, words, probabilities, counts))
     smoothed = (counts + strength * probabilities) / (context_counts + strength)
-    starts, ends = _runs(contexts)
+    starts, ends = runs(contexts)
     left_over = strength / (context_counts[starts] + strength)
     return NgramTrie(
         contexts[starts].astype(np.int64), ends - starts, words.astype(np.int64), quantised(smoothed), quantised(left_over)
@@ -297,9 +271,9 @@ def quantised(probabilities: np.ndarray) -> np.ndarray:
 
 def _documents(group: pa.Table, unigrams: Unigrams, strength: float):
     """(block, documents, sums of codes) for each row of a part."""
-    times = _join(group["times"])
+    times = join_packed(group["times"])
     contexts, context_counts, words, word_counts, trained = (
-        _join(group[c]).astype(np.int64) for c in ("contexts", "context_counts", "words", "word_counts", "trained")
+        join_packed(group[c]).astype(np.int64) for c in ("contexts", "context_counts", "words", "word_counts", "trained")
     )
     order = np.lexsort((words, contexts))
     new = np.ones(len(order), dtype=bool)
@@ -354,11 +328,11 @@ def score_documents(docs: DataFrame, train: Column, strength: float = 8.0) -> Da
                 known = np.bincount(doc[counts > 0], minlength=len(lengths)).astype(np.uint32)
                 score = np.bincount(doc, weights=unigrams.log10(counts), minlength=len(lengths))
                 out.append((name, 0, ids, train, pack(lengths), pack(known), score.tobytes()))
-            yield _batch(out, _RESULT)
+            yield schema_batch(out, _RESULT)
 
     def search(group: pa.Table) -> pa.Table:
         found = [(block, 1, None, None, pack(held), pack(sums), b"") for block, held, sums in _documents(group, unigrams, strength)]
-        return pa.Table.from_batches([_batch(found, _RESULT)])
+        return pa.Table.from_batches([schema_batch(found, _RESULT)])
 
     base_rows = numbered.select("block", "ids", "train", "lengths", "tokens", "totals").mapInArrow(base, _RESULT_COLUMNS)
     sums = deal_bigrams(numbered, parts, PART_TOKENS).groupBy("part").applyInArrow(search, _RESULT_COLUMNS)
