@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import ngram_lm, licenses, pii, decontaminate, jaccard_join, line_dedup, mixing, quality, quality_rules
+from lawloom.llm import suffix_dedup, ngram_lm, licenses, pii, decontaminate, jaccard_join, line_dedup, mixing, quality, quality_rules
 from lawloom.llm.common import crc_fold, table
 
 
@@ -47,6 +47,13 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that documents with smaller ids have."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = suffix_dedup.remove_repeats(docs, length=50)
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
     return jaccard_join.near_duplicate_components(table(spark, sf_dir, "documents"), words_per_shingle=3, percent=90)
@@ -201,6 +208,7 @@ FROM marked GROUP BY doc_id
 """
 
 ENTRIES = {
+    "op6_suffix_dedup": (op6_suffix_dedup, None),
     "op2_lm_scoring": (op2_lm_scoring, None),
     "op8_license_scan": (op8_license_scan, None),
     "op1_personal_data": (op1_personal_data, None),
