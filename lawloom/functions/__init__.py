@@ -15,4 +15,21 @@ from lawloom.functions.text import (
     tokenize,
 )
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [
+    "blank_if_null",
+    "drop_leaders",
+    "flatten",
+    "fold_case",
+    "is_annex_title",
+    "is_boilerplate",
+    "is_page_number",
+    "may_be_between",
+    "normalize_line",
+    "null_if_blank",
+    "parse_iso_date",
+    "parse_timestamp",
+    "split_collapsed_lines",
+    "split_lines",
+    "strip",
+    "tokenize",
+]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 _DASHED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 _COMPACT = r"^[0-9]{8}\z"
 _CLOCK = r"(?:[01][0-9]|2[0-3])(?::[0-5][0-9](?::[0-5][0-9](?:[.,][0-9]+)?)?)?"
+_TIMESTAMP = rf"^(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{8}})(?:[T ]{_CLOCK})?\z"
 _DASHED_CLOCK = rf"^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} {_CLOCK}\z"
 
 
@@ -34,5 +35,11 @@ def may_be_between(text: Column, start: dt.date, end: dt.date) -> Column:
 
 
 def parse_timestamp(text: Column) -> Column:
-    """ISO string to a timestamp without time zone, null when it is not one."""
-    return text.try_cast("timestamp_ntz")
+    """ISO string to a timestamp without time zone, null when it is not one.
+
+    The dates that `parse_iso_date` takes, alone or with a clock after ``T`` or a
+    space. An offset, a month or year alone, or any other text gives null.
+    """
+    dashed = F.regexp_replace(text, r"^([0-9]{4})([0-9]{2})([0-9]{2})", "$1-$2-$3")
+    clock = F.regexp_replace(F.replace(dashed, F.lit(","), F.lit(".")), r"([T ][0-9]{2})\z", "$1:00")
+    return F.when(text.rlike(_TIMESTAMP), clock.try_cast("timestamp_ntz"))

@@ -10,11 +10,11 @@ How the work is spread:
 * Only lines in a page's top or bottom region are counted for repetition, first by
   (doc, line, page), then by (doc, line), so that neither a long document nor a
   header that is on every page piles up in one task.
-* A repeated line is on at least 4 of 10 pages, so a document has at most 2.5 times
-  as many of them as it has region lines per page. That bound makes it safe to hold
-  them as one small array per document.
-* All lines move once, by (doc, page); a page is the largest group collected. The
-  cleaned pages then move by document to become its text.
+* Repeated lines are taken out by a join on (doc, line): one row per key on their side,
+  so the lines of a header that is on every page can be split over tasks. The work is
+  linear in the lines of a page.
+* Lines then move by (doc, page); a page is the largest group collected. The cleaned
+  pages move by document to become its text.
 """
 
 from __future__ import annotations
@@ -115,20 +115,8 @@ def annex_start(
 
 def cut_annex(rows: DataFrame, starts: DataFrame) -> DataFrame:
     """Drop the rows (lines or pages) at or after the annex start of their document."""
-    joined = rows.join(starts, "doc_id", "left")
-    kept = joined.filter(F.col("annex_start").isNull() | (F.col("page_no") < F.col("annex_start")))
-    return kept.select(*rows.columns)
-
-
-def _page_facts(pages: DataFrame, repeated: DataFrame, starts: DataFrame | None) -> DataFrame:
-    """Per page of the documents concerned: repeated lines and annex start."""
-    facts = repeated.groupBy("doc_id").agg(
-        F.collect_list(F.when(F.col("top_rep"), F.col("line"))).alias("top_lines"),
-        F.collect_list(F.when(F.col("bot_rep"), F.col("line"))).alias("bottom_lines"),
-    )
-    if starts is not None:
-        facts = facts.join(starts, "doc_id", "full")
-    return pages.select("doc_id", "page_no").join(facts, "doc_id")
+    begins = starts.select(F.col("doc_id").alias("_doc"), F.col("annex_start").alias("_start"))
+    return rows.join(begins, (F.col("doc_id") == F.col("_doc")) & (F.col("page_no") >= F.col("_start")), "left_anti")
 
 
 def clean_lines(
@@ -157,15 +145,10 @@ def clean_lines(
     starts = annex_start(lines, pages, annex_top_fraction) if remove_annex else None
 
     own = lines.filter(~boilerplate & ~((top | bottom) & is_page_number(line)))
-    joined = own.join(_page_facts(pages, repeated, starts), ["doc_id", "page_no"], "left")
-
-    def listed(lines_column: str) -> Column:
-        return F.coalesce(F.array_contains(lines_column, line), F.lit(False))
-
-    kept = joined.filter(~((top & listed("top_lines")) | (bottom & listed("bottom_lines"))))
-    if remove_annex:
-        kept = kept.filter(F.col("annex_start").isNull() | (F.col("page_no") < F.col("annex_start")))
-    return kept.select(*lines.columns)
+    again = repeated.select(F.col("doc_id").alias("_doc"), F.col("line").alias("_line"), "top_rep", "bot_rep")
+    in_its_region = (top & F.col("top_rep")) | (bottom & F.col("bot_rep"))
+    kept = own.join(again, (F.col("doc_id") == F.col("_doc")) & (line == F.col("_line")) & in_its_region, "left_anti")
+    return kept if starts is None else cut_annex(kept, starts)
 
 
 def assemble_text(kept: DataFrame, pages: DataFrame) -> DataFrame:

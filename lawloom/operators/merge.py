@@ -9,15 +9,9 @@ from pyspark.sql import DataFrame
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows whose key is not in the target, one per key.
-
-    The target's keys are first reduced to those in the source. With a small source
-    that is a broadcast join over the target's key columns and no shuffle of the
-    target; with a large one both joins share one partitioning on the keys.
-    """
+    """Source rows whose key is not in the target, one per key. Each side is read once."""
     keys = list(keys)
-    known = target.select(*keys).join(source.select(*keys), keys, "left_semi")
-    return source.dropDuplicates(keys).join(known, keys, "left_anti").select(*source.columns)
+    return source.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti").select(*source.columns)
 
 
 def merge_tables(
@@ -32,9 +26,9 @@ def merge_tables(
     ignore: a source row is added only where its key is new.
 
     Keys must be non-null, and unique in an update source (see `check_contract`).
-    The target is read once. The other side of the anti join is the source's keys
-    alone, so when they are few Spark broadcasts them by measured size and the
-    target is not shuffled.
+    For `update`, the other side of the anti join is the source's keys alone, so when
+    they are few Spark broadcasts them by measured size and the target is not shuffled.
+    Both modes read the target twice at most: its keys, and its rows.
     """
     keys = list(keys)
     source = source.select(*target.columns)

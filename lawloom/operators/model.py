@@ -123,6 +123,12 @@ def _no_error(responses: DataFrame) -> Column:
     return F.col("error").isNull() if "error" in responses.columns else F.lit(True)
 
 
+def _parsed_once(responses: DataFrame, answer: T.StructType) -> DataFrame:
+    """(id, _called, p): the explode keeps later filters from repeating the parse."""
+    opened = F.explode(F.array(_parsed(F.col("response"), answer)))
+    return responses.select("id", _no_error(responses).alias("_called"), opened.alias("p"))
+
+
 def parse_summaries(
     responses: DataFrame,
     sentiments: Iterable[str] = rules.SENTIMENTS,
@@ -134,7 +140,7 @@ def parse_summaries(
     missing field, no entities, or an entity that is not a (type, value) pair.
     `label_ok` tells whether both labels are known ones; it filters nothing.
     """
-    parsed = responses.select("id", _no_error(responses).alias("_called"), _parsed(F.col("response"), schemas.SUMMARY_ANSWER).alias("p"))
+    parsed = _parsed_once(responses, schemas.SUMMARY_ANSWER)
 
     def is_pair(e: Column) -> Column:
         return F.get(e, F.lit(0)).isNotNull() & F.get(e, F.lit(1)).isNotNull()
@@ -169,8 +175,7 @@ def entity_rows(parsed: DataFrame) -> DataFrame:
 
 def parse_topics(responses: DataFrame, topics: Iterable[str] = rules.TOPICS) -> DataFrame:
     """(id, ok, topic, label_ok); a null topic counts as failed."""
-    topic = _parsed(F.col("response"), schemas.TOPIC_ANSWER)["topic"]
-    parsed = responses.select("id", _no_error(responses).alias("_called"), topic.alias("topic"))
+    parsed = _parsed_once(responses, schemas.TOPIC_ANSWER).select("id", "_called", F.col("p.topic").alias("topic"))
     return parsed.select(
         "id",
         (F.col("_called") & F.col("topic").isNotNull()).alias("ok"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lawloom import rules, schemas
 from lawloom.operators.prepare import (
@@ -15,7 +17,7 @@ from lawloom.operators.prepare import (
     merge_authors,
 )
 from lawloom.sinks.files import write_json
-from lawloom.sources.json_root import read_root_json
+from lawloom.sources.json_root import read_root_json, root_schema
 
 
 def prepare(
@@ -27,10 +29,13 @@ def prepare(
 ) -> DataFrame:
     """Filtered bills with their authors and without the dropped fields.
 
-    Bills are filtered before the join, so the shuffle holds only those kept.
+    Bills are filtered first, and authors to those of the bills kept, so that neither
+    shuffle holds what is dropped.
     """
     kept = drop_fields(keep_valid(bills, **rule), dropped)
-    return merge_authors(kept, group_authors(authors, author_order))
+    wanted = kept.select(F.col("id").alias("_kept_id")).distinct()
+    theirs = authors.join(wanted, F.col("idProposicao") == F.col("_kept_id"), "left_semi")
+    return merge_authors(kept, group_authors(theirs, author_order))
 
 
 def prepare_files(
@@ -38,11 +43,21 @@ def prepare_files(
     bills_path: str,
     authors_path: str,
     output_path: str,
+    bill_schema: T.StructType | None = None,
+    keep_order: bool = False,
     **rule: object,
 ) -> DataFrame:
-    """Read the two raw files, write the prepared bills, return (reason, n)."""
-    bills = read_root_json(spark, bills_path, schemas.RAW_BILL)
+    """Read the two raw files, write the prepared bills, return (reason, n).
+
+    Bills keep all their fields but the dropped ones: without `bill_schema`, the files
+    are read once more to find them. `keep_order` also writes `src_file` and `src_pos`,
+    the order of the input, for `analyse(order_by=("src_file", "src_pos"))`. The counts
+    read the two columns of the rules once more.
+    """
+    if bill_schema is None:
+        bill_schema = root_schema(spark, bills_path, schemas.RAW_BILL)
+    bills = read_root_json(spark, bills_path, bill_schema)
     authors = read_root_json(spark, authors_path, schemas.RAW_AUTHOR)
     prepared = prepare(bills, authors, ("src_file", "src_pos"), **rule)
-    write_json(prepared.drop("src_file", "src_pos"), output_path)
+    write_json(prepared if keep_order else prepared.drop("src_file", "src_pos"), output_path)
     return count_rejections(bills, **rule)

@@ -8,8 +8,6 @@ RECOMMENDED = {
     # Rows that a join left sorted by (document, page) are joined to page texts as
     # they come, instead of through a hash table.
     "spark.sql.execution.replaceHashWithSortAgg": "true",
-    # The default of 128 groups makes nearly every list aggregation start over as a sort.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
     # Split the partition of one huge document even where that adds a shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

@@ -1,14 +1,18 @@
-from lawloom.sinks.files import shared_dir, write_json, write_parquet
-from lawloom.sinks.responses import store_responses
-from lawloom.sinks.snapshots import create_tables, latest_version, read_table, upsert
+from lawloom.sinks.files import remove, shared_dir, write_json, write_parquet
+from lawloom.sinks.responses import read_responses, store_responses
+from lawloom.sinks.snapshots import LostRaceError, create_tables, latest_version, read_table, upsert, vacuum
 
 __all__ = [
+    "LostRaceError",
     "create_tables",
     "latest_version",
+    "read_responses",
     "read_table",
+    "remove",
     "shared_dir",
     "store_responses",
     "upsert",
+    "vacuum",
     "write_json",
     "write_parquet",
 ]

@@ -1,8 +1,9 @@
 """Result tables as Parquet snapshots.
 
-A table is a folder with one sub-folder per version. A version counts once Spark has
-written its `_SUCCESS` file; readers take the highest, writers never touch the one
-being read. A writer that fails leaves no visible version behind.
+A table is a folder: every attempt to write it has a data folder of its own, and a
+version is published by creating its entry in `_versions`, which holds the name of the
+data folder. Only one writer can create an entry. A writer that fails, or loses that
+race, leaves a data folder that nobody reads; `vacuum` removes those.
 """
 
 from __future__ import annotations
@@ -18,19 +19,61 @@ from lawloom.operators.merge import merge_tables
 from lawloom.schemas import TABLES, Table
 
 
+class LostRaceError(RuntimeError):
+    """Another writer published the same version first; nothing was changed."""
+
+
 def _folder(spark: SparkSession, path: str):
     jvm = spark._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def _versions(spark: SparkSession, root: str, table: Table, published: bool = True) -> list[int]:
+    """Published versions; or all that have an entry, empty ones of failed writers too."""
+    fs, folder = _folder(spark, f"{root}/{table.name}/_versions")
+    if not fs.exists(folder):
+        return []
+    entries = [(s.getPath().getName(), s.getLen()) for s in fs.listStatus(folder)]
+    return sorted(int(name) for name, size in entries if name.isdigit() and (size or not published))
+
+
 def latest_version(spark: SparkSession, root: str, table: Table) -> int | None:
-    fs, base = _folder(spark, f"{root}/{table.name}")
-    if not fs.exists(base):
-        return None
-    success = spark._jvm.org.apache.hadoop.fs.Path(base, "version-*/_SUCCESS")
-    done = [s.getPath().getParent().getName() for s in fs.globStatus(success)]
-    return max((int(name.split("-")[1]) for name in done), default=None)
+    return max(_versions(spark, root, table), default=None)
+
+
+def _entry(root: str, table: Table, version: int) -> str:
+    return f"{root}/{table.name}/_versions/{version:08d}"
+
+
+def _data_folder(spark: SparkSession, root: str, table: Table, version: int) -> str:
+    fs, entry = _folder(spark, _entry(root, table, version))
+    stream = fs.open(entry)
+    try:
+        name = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return f"{root}/{table.name}/{name}"
+
+
+def _publish(spark: SparkSession, root: str, table: Table, version: int, name: str) -> None:
+    fs, entry = _folder(spark, _entry(root, table, version))
+    try:
+        stream = fs.create(entry, False)  # fails if the entry is there
+    except Exception as exc:
+        if fs.exists(entry):
+            raise LostRaceError(f"version {version} of {table.name} was published by another writer") from exc
+        raise
+    try:
+        stream.write(bytearray(name.encode()))
+    finally:
+        stream.close()
+
+
+def _write(spark: SparkSession, root: str, table: Table, version: int, rows: DataFrame) -> None:
+    name = f"data-{version:08d}-{uuid.uuid4().hex}"
+    rows.write.parquet(f"{root}/{table.name}/{name}")
+    _publish(spark, root, table, version, name)
 
 
 def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
@@ -38,18 +81,15 @@ def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
     version = latest_version(spark, root, table)
     if version is None:
         return spark.createDataFrame([], table.schema)
-    return spark.read.schema(table.schema).parquet(_version_path(root, table, version))
-
-
-def _version_path(root: str, table: Table, version: int) -> str:
-    return f"{root}/{table.name}/version-{version:08d}"
+    return spark.read.schema(table.schema).parquet(_data_folder(spark, root, table, version))
 
 
 def create_tables(spark: SparkSession, root: str, tables: Iterable[Table] = tuple(TABLES.values())) -> None:
     """Write an empty first version of every table that does not exist."""
     for table in tables:
         if latest_version(spark, root, table) is None:
-            spark.createDataFrame([], table.schema).write.parquet(_version_path(root, table, 0))
+            version = max(_versions(spark, root, table, published=False), default=-1) + 1
+            _write(spark, root, table, version, spark.createDataFrame([], table.schema))
 
 
 def upsert(
@@ -62,7 +102,8 @@ def upsert(
     """Merge `source` into the table, all or nothing; returns the number of source rows.
 
     The source is computed once, into a staging folder; the contract check and the
-    merge read the staged Parquet. No source rows: nothing is written.
+    merge read the staged Parquet. No source rows: nothing is written. If another
+    writer was faster, LostRaceError is raised and the call can be repeated.
     """
     staging = f"{root}/{table.name}/_staging/{uuid.uuid4().hex}"
     fs, staging_path = _folder(spark, staging)
@@ -71,9 +112,28 @@ def upsert(
         staged = spark.read.schema(table.schema).parquet(staging)
         rows = check_contract(staged, table, unique_keys=mode == "update")
         if rows:
-            version = latest_version(spark, root, table)
+            version = max(_versions(spark, root, table, published=False), default=-1) + 1
             merged = merge_tables(read_table(spark, root, table), staged, table.keys, mode)
-            merged.write.parquet(_version_path(root, table, 0 if version is None else version + 1))
+            _write(spark, root, table, version, merged)
         return rows
     finally:
         fs.delete(staging_path, True)
+
+
+def vacuum(spark: SparkSession, root: str, table: Table, keep: int = 2) -> int:
+    """Delete the data of all but the last `keep` versions, and of failed attempts; returns the number of folders.
+
+    Run it while nobody writes the table or reads an older version of it.
+    """
+    if keep < 1:
+        raise ValueError("keep at least one version")
+    fs, base = _folder(spark, f"{root}/{table.name}")
+    versions = _versions(spark, root, table)
+    kept = {_data_folder(spark, root, table, v).rsplit("/", 1)[1] for v in versions[-keep:]}
+    for version in set(_versions(spark, root, table, published=False)) - set(versions[-keep:]):
+        fs.delete(_folder(spark, _entry(root, table, version))[1], False)
+    gone = [s.getPath() for s in fs.listStatus(base) if s.getPath().getName().startswith("data-")] if fs.exists(base) else []
+    gone = [path for path in gone if path.getName() not in kept]
+    for path in gone:
+        fs.delete(path, True)
+    return len(gone)

@@ -12,7 +12,7 @@ from lawloom.functions.structs import flatten
 
 
 def _wrapper(roots: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(r, T.ArrayType(T.StringType())) for r in roots])
+    return T.StructType([T.StructField(r, T.ArrayType(T.VariantType())) for r in roots])
 
 
 def explode_root(
@@ -21,20 +21,25 @@ def explode_root(
     schema: T.StructType,
     require_root: bool = False,
     keep: Sequence[str] = (),
+    spread: bool = False,
 ) -> DataFrame:
     """One row per object of the root array, with its position in `src_pos`.
 
-    `documents` has one column of type array<string> per root. Elements that are
-    not objects are skipped; a field of the wrong type is null. A document without
-    any root has no rows, or is an error with `require_root`.
+    `documents` has one column of type array<variant> per root, so that an element
+    has a type: those that are not objects are skipped, also texts that look like
+    one. A field of the wrong type is null. A document without any root has no rows,
+    or is an error with `require_root`. `spread` deals the elements out before they
+    are parsed, for documents that are large files.
     """
     array = F.coalesce(*[F.col(r) for r in roots])
     if require_root:
         missing = F.raise_error(F.lit("JSON document has none of the expected root keys"))
         array = F.coalesce(array, missing)
     elements = documents.select(*keep, F.posexplode(array).alias("src_pos", "_element"))
-    objects = elements.filter(F.ltrim("_element").startswith("{"))
-    parsed = objects.select(*keep, "src_pos", F.from_json("_element", schema).alias("_row"))
+    if spread:
+        elements = elements.repartition(*keep, "src_pos")
+    objects = elements.filter(F.schema_of_variant("_element").startswith("OBJECT"))
+    parsed = objects.select(*keep, "src_pos", F.from_json(F.to_json("_element"), schema).alias("_row"))
     return parsed.select(*keep, "src_pos", "_row.*")
 
 
@@ -60,9 +65,9 @@ def read_root_json(
 ) -> DataFrame:
     """Read whole-file JSON; a missing path or a malformed file fails the job.
 
-    Rows carry (`src_file`, `src_pos`), the order of the input. A multi-line file
-    is one task, so large inputs should come as many files and be converted to
-    Parquet once.
+    Rows carry (`src_file`, `src_pos`), the order of the input. A multi-line file is
+    opened by one task; its elements are dealt out before they are parsed. Large
+    inputs should come as many files and be converted to Parquet once.
     """
     files = (
         spark.read.schema(_wrapper(roots))
@@ -71,7 +76,21 @@ def read_root_json(
         .json(path)
         .select(F.col("_metadata.file_path").alias("src_file"), *roots)
     )
-    return explode_root(files, roots, schema, require_root, keep=("src_file",))
+    return explode_root(files, roots, schema, require_root, keep=("src_file",), spread=True)
+
+
+def root_schema(
+    spark: SparkSession, path: str | list[str], base: T.StructType, roots: Sequence[str] = ("dados",)
+) -> T.StructType:
+    """`base` and, after it, every other field that objects under the root have, with inferred types."""
+    found = spark.read.option("multiLine", True).option("mode", "FAILFAST").json(path).schema
+    fields = {f.name: f for f in base.fields}
+    for root in roots:
+        element = found[root].dataType.elementType if root in found.names and isinstance(found[root].dataType, T.ArrayType) else None
+        if isinstance(element, T.StructType):
+            for field in element.fields:
+                fields.setdefault(field.name, field)
+    return T.StructType(list(fields.values()))
 
 
 def read_bills(

@@ -16,12 +16,3 @@ def texts_to_classify(summaries: DataFrame, limit: int | None = None) -> DataFra
     )
     return rows if limit is None else rows.limit(limit)
 
-
-def spread(df: DataFrame, below_bytes: int = 1 << 28) -> DataFrame:
-    """Spread a small input over all cores; a larger one is returned as it is.
-
-    A file with a single row group is one task whatever its size. Below the limit
-    moving its rows is cheap; above it, inputs have row groups enough.
-    """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < below_bytes else df

@@ -25,6 +25,9 @@ def test_year_bounds_hold_for_every_valid_form(evaluate):
 def test_parse_timestamp(evaluate):
     got = evaluate(["2025-03-01T10:20", "2025-03-01", "x", None], lf.parse_timestamp)
     assert got == [dt.datetime(2025, 3, 1, 10, 20), dt.datetime(2025, 3, 1), None, None]
+    texts = ["20250301", "2025-03-01 10", "2025-03-01T10:20:30,5", "2025", "2025-03", "2025-13-01", "2025-03-01T10:20-03:00", "2025-03-01T25:00"]
+    full = [dt.datetime(2025, 3, 1), dt.datetime(2025, 3, 1, 10), dt.datetime(2025, 3, 1, 10, 20, 30, 500000)]
+    assert evaluate(texts, lf.parse_timestamp) == full + [None] * 5
 
 
 def test_flatten(spark):

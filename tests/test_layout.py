@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import random
 import re
 
@@ -182,3 +184,16 @@ def test_clean_attaches_text_by_bill(spark):
     bills = spark.createDataFrame([(1, "u"), (2, None), (3, "u"), (4, "u"), (5, "")], "id long, urlInteiroTeor string")
     got = {r.id: r.textoInteiroTeorLimpo for r in plans.clean(bills, lines, pages).collect()}
     assert got == {1: "texto", 2: None, 3: None, 4: None, 5: None}
+
+
+def test_cleaning_is_linear_in_the_lines_of_a_page(spark):
+    """Every line of a long one-page document is in a region and repeats."""
+    n = 160_000
+    lines = spark.range(n).selectExpr(
+        "1L AS doc_id", "0 AS page_no", "100.0D AS page_height", "CAST(id AS INT) AS line_no",
+        "IF(id % 2 = 0, 1.0D, 50.0D) AS y0", "concat('linha ', id) AS line",
+    )
+    pages = spark.sql("SELECT 1L AS doc_id, 0 AS page_no, 100.0D AS page_height")
+    started = time.perf_counter()
+    assert op.clean_lines(lines, pages).count() == n // 2
+    assert time.perf_counter() - started < 60

@@ -120,6 +120,28 @@ def test_stored_responses_are_computed_once_and_resumed(spark, tmp_path):
     assert all(p.read_text() == "x" for p in calls.iterdir()) and len(list(calls.iterdir())) == 25
 
 
+def test_failed_ids_are_asked_again(spark, tmp_path):
+    requests = op.build_requests(spark.range(6).select("id", F.col("id").cast("string").alias("text")), "x", user_prefix="")
+    path = str(tmp_path / "responses")
+    asked = tmp_path / "asked"
+    asked.mkdir()
+
+    def outage(messages):
+        if int(messages[-1]["content"]) < 3:
+            raise TimeoutError("down")
+        return "early"
+
+    def healthy(messages):
+        (asked / messages[-1]["content"]).touch()
+        return "late"
+
+    first = {r.id: r.error for r in sinks.store_responses(requests, outage, path).collect()}
+    assert sorted(i for i, e in first.items() if e) == [0, 1, 2]
+    again = {r.id: (r.response, r.error) for r in sinks.store_responses(requests, healthy, path, rounds=2).collect()}
+    assert again == {i: ("late" if i < 3 else "early", None) for i in range(6)}
+    assert sorted(p.name for p in asked.iterdir()) == ["0", "1", "2"]
+
+
 def test_analyse_end_to_end(spark, tmp_path):
     author = "array(named_struct('idDeputadoAutor', {}L, 'nomeAutor', '{}', 'siglaPartidoAutor', 'P', 'siglaUFAutor', 'SP'))"
     bills = spark.sql(

@@ -7,12 +7,18 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from lawloom import operators as op
 from lawloom import plans, schemas
 from tests.conftest import plan_of
+from workload import bill_queries, model_queries, text_queries
 
 SF = "/root/testdata/sf0.001"
+ENTRIES = {**text_queries.ENTRIES, **bill_queries.ENTRIES, **model_queries.ENTRIES}
+
+
+@pytest.fixture(scope="module")
+def plan_by_name(spark):
+    return {name: plan_of(query(spark, SF)) for name, (query, _) in ENTRIES.items()}
 
 
 @pytest.fixture
@@ -23,14 +29,13 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_python_runs_only_in_model_calls(spark):
-    with_python = {name for name, query in entry.queries().items() if "InArrow" in plan_of(query(spark, SF)) or "Python" in plan_of(query(spark, SF))}
+def test_python_runs_only_in_model_calls(plan_by_name):
+    with_python = {name for name, plan in plan_by_name.items() if "InArrow" in plan or "Python" in plan}
     assert with_python == {"enrich_summary", "enrich_entities", "enrich_topic"}
 
 
-def test_no_cross_joins(spark):
-    for name, query in entry.queries().items():
-        plan = plan_of(query(spark, SF))
+def test_no_cross_joins(plan_by_name):
+    for name, plan in plan_by_name.items():
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
 
@@ -60,14 +65,43 @@ def test_word_frequency_shuffles_once_after_counting(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
 
 
-def test_clean_text_moves_lines_once(spark, tmp_path, no_broadcast):
-    """By (doc, page) for all lines; only region lines and small facts move otherwise."""
+def test_answers_are_parsed_once(plan_by_name):
+    for name in ("parse_summary", "entities_exploded", "enrich_summary", "enrich_entities", "parse_topic"):
+        assert plan_by_name[name].count("from_json") == 1, name
+
+
+def test_plans_do_not_depend_on_size(spark, tmp_path):
+    """The same operators over little and over much; Spark alone picks the kind of join."""
+    shapes = set()
+    for rows in (1, 200_000):
+        path = str(tmp_path / str(rows))
+        spark.range(rows).selectExpr("id AS doc_id", "repeat('a ', 20) AS text").write.parquet(path)
+        plan = plan_of(op.word_frequency(spark.read.parquet(path), ["x"], "doc_id"))
+        shapes.add(tuple(line.strip(" :+-*()0123456789").split(" ")[0].split("(")[0] for line in plan.splitlines()))
+    assert len(shapes) == 1
+
+
+def test_prepare_drops_authors_of_other_bills_first(spark, no_broadcast):
+    bills = spark.createDataFrame([], schemas.RAW_BILL)
+    authors = spark.createDataFrame([], schemas.RAW_AUTHOR).withColumn("pos", F.lit(1))
+    plan = plan_of(plans.prepare(bills, authors, ["pos"]))
+    assert plan.index("collect_list") < plan.index("LeftSemi")
+
+
+def test_new_rows_read_each_side_once(spark, tmp_path):
+    for name in ("target", "source"):
+        spark.range(3).write.parquet(str(tmp_path / name))
+    target, source = (spark.read.parquet(str(tmp_path / name)) for name in ("target", "source"))
+    assert plan_of(op.merge_tables(target, source, ["id"], "ignore")).count("Scan parquet") == 3
+
+
+def test_clean_text_moves_lines_by_key(spark, tmp_path, no_broadcast):
+    """Repeated lines and annexes go by joins on their keys; no lists of lines, no windows."""
     lines, pages = str(tmp_path / "lines"), str(tmp_path / "pages")
     spark.createDataFrame([], schemas.LINES).write.parquet(lines)
     spark.createDataFrame([], schemas.PAGES).write.parquet(pages)
     plan = plan_of(op.clean_text(spark.read.parquet(lines), spark.read.parquet(pages), remove_annex=True))
-    page_key = [l for l in plan.splitlines() if "Exchange hashpartitioning(doc_id" in l and "page_no" in l and "line#" not in l]
-    assert len(page_key) == 2  # the lines, and the facts of their pages
+    assert plan.count("LeftAnti") == 2 and "array_contains" not in plan and "collect_list" not in plan
     assert "Window" not in plan and "SinglePartition" not in plan and "RangePartitioning" not in plan
 
 

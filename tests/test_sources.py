@@ -6,6 +6,7 @@ import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
+from lawloom import operators as op
 from lawloom import plans, schemas, sources
 from lawloom.schemas import RAW_AUTHOR
 
@@ -62,10 +63,26 @@ def test_texts_to_classify(spark):
     assert sources.texts_to_classify(df).schema["id"].dataType.simpleString() == "bigint"
 
 
-def test_spread_leaves_large_input_alone(spark):
-    df = spark.range(0, 1000, 1, 2)
-    assert sources.spread(df, below_bytes=10) is df
-    assert sources.spread(df).rdd.getNumPartitions() == 4
+def test_text_that_looks_like_an_object_is_no_object(spark, tmp_path):
+    path = write(tmp_path / "a.json", r'{"dados": [{"idProposicao": 1}, "{\"idProposicao\": 77}", {"idProposicao": 2}]}')
+    rows = sources.read_root_json(spark, path, RAW_AUTHOR).collect()
+    assert sorted((r.src_pos, r.idProposicao) for r in rows) == [(0, 1), (2, 2)]
+
+
+def test_prepare_files_keeps_other_fields_and_order(spark, tmp_path):
+    bill = {"siglaTipo": "PL", "dataApresentacao": "2025-03-01", "ementa": "é", "numero": 7, "relator": {"id": 3, "tags": ["a"]}}
+    bills = [{"id": 9, **bill}, {"id": 2, **bill}]
+    people = [{"idProposicao": i, "idDeputadoAutor": 5, "nomeAutor": n} for i, n in ((9, "first"), (2, "second"))]
+    b = write(tmp_path / "b.json", json.dumps({"dados": bills}))
+    a = write(tmp_path / "a.json", json.dumps({"dados": people}))
+    out = str(tmp_path / "out")
+    plans.prepare_files(spark, b, a, out, keep_order=True)
+    prepared = spark.read.json(out)
+    row = prepared.filter("id = 9").first()
+    assert row.ementa == "é" and row.numero == 7 and row.relator.id == 3 and list(row.relator.tags) == ["a"]
+    # the first bill of the file counts, not the lowest id
+    names = lambda order: [r.full_name for r in op.unique_authors(prepared, order).collect()]
+    assert names(("src_file", "src_pos")) == ["first"] and names(("id",)) == ["second"]
 
 
 def test_prepare_files(spark, tmp_path):

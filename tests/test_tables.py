@@ -4,7 +4,9 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from lawloom.sinks import snapshots
 from lawloom import operators as op
 from lawloom import schemas, sinks
 from lawloom.operators import ContractError
@@ -123,6 +125,57 @@ def test_array_and_timestamp_columns_survive(spark, tmp_path):
     assert [tuple(r) for r in sinks.read_table(spark, root, table).collect()] == [row]
 
 
+def _people(spark, *ids):
+    return spark.createDataFrame([(i, f"n{i}", "P", "SP") for i in ids], schemas.AUTHORS.schema)
+
+
+def test_upsert_after_a_failed_write(spark, tmp_path):
+    """Neither a leftover folder nor an entry that a writer left empty stops the next call."""
+    root, table = str(tmp_path / "db"), schemas.AUTHORS
+    sinks.create_tables(spark, root, [table])
+    (tmp_path / "db" / "authors" / "data-00000001-x").mkdir()
+    (tmp_path / "db" / "authors" / "_versions" / "00000001").touch()
+    assert sinks.upsert(spark, root, table, _people(spark, 1)) == 1
+    assert sinks.latest_version(spark, root, table) == 2
+
+    failing = _people(spark, 2).withColumn("uf", F.expr("raise_error('half-way')").cast("string"))
+    with pytest.raises(Exception, match="half-way"):
+        sinks.upsert(spark, root, table, failing)
+    assert [r.id for r in sinks.read_table(spark, root, table).collect()] == [1]
+    assert sinks.upsert(spark, root, table, _people(spark, 3)) == 1
+    assert sorted(r.id for r in sinks.read_table(spark, root, table).collect()) == [1, 3]
+
+
+def test_the_slower_of_two_writers_is_told(spark, tmp_path, monkeypatch):
+    root, table = str(tmp_path / "db"), schemas.AUTHORS
+    sinks.create_tables(spark, root, [table])
+    publish = snapshots._publish
+
+    def overtaken(spark, root, table, version, name):
+        monkeypatch.setattr(snapshots, "_publish", publish)
+        sinks.upsert(spark, root, table, _people(spark, 1))
+        publish(spark, root, table, version, name)
+
+    monkeypatch.setattr(snapshots, "_publish", overtaken)
+    with pytest.raises(sinks.LostRaceError):
+        sinks.upsert(spark, root, table, _people(spark, 2))
+    assert [r.id for r in sinks.read_table(spark, root, table).collect()] == [1]
+    assert sinks.upsert(spark, root, table, _people(spark, 2)) == 1
+    assert sinks.read_table(spark, root, table).count() == 2
+
+
+def test_vacuum_keeps_the_last_versions(spark, tmp_path):
+    root, table = str(tmp_path / "db"), schemas.AUTHORS
+    for i in range(4):
+        sinks.upsert(spark, root, table, _people(spark, i))
+    (tmp_path / "db" / "authors" / "data-00000009-lost").mkdir()
+    assert sinks.vacuum(spark, root, table, keep=2) == 3
+    assert sinks.read_table(spark, root, table).count() == 4
+    assert len(list((tmp_path / "db" / "authors").glob("data-*"))) == 2
+    sinks.upsert(spark, root, table, _people(spark, 9))
+    assert sinks.read_table(spark, root, table).count() == 5
+
+
 class Session:
     """Just the two things that are asked of a session."""
 

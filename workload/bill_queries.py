@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lawloom import functions as lf
 from lawloom import operators as op
-from lawloom import plans, sources
+from lawloom import plans, schemas, sinks, sources
 from workload import stand_ins as si
 from workload.text_queries import TOKENS
 
@@ -114,20 +118,28 @@ FROM (SELECT *, row_number() OVER (PARTITION BY "idDeputadoAutor" ORDER BY "idPr
 
 
 def propositions_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = op.proposition_rows(si.bills_with_authors(spark, sf_dir))
+    """Bills with every kind of date text."""
+    grouped = op.group_authors(si.authors(spark, sf_dir), si.AUTHOR_ORDER)
+    rows = op.proposition_rows(op.merge_authors(si.irregular_bills(spark, sf_dir), grouped))
     return rows.withColumn("authors", F.array_join(F.col("authors").cast("array<string>"), ","))
 
 
+_TIMESTAMP_FORM = (
+    "([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{8})"
+    "([T ]([01][0-9]|2[0-3])(:[0-5][0-9](:[0-5][0-9]([.,][0-9]+)?)?)?)?"
+)
 PROPOSITIONS_SQL = f"""
-WITH {si.BILLS}, {si.AUTHORS},
+WITH {si.IRREGULAR_BILLS}, {si.AUTHORS},
 firsts AS (
   SELECT "idProposicao", "idDeputadoAutor", min(place) AS place FROM (
     SELECT *, row_number() OVER (PARTITION BY "idProposicao" ORDER BY {si.AUTHOR_SORT}) AS place
     FROM authors WHERE "idProposicao" <> 0) WHERE "idDeputadoAutor" <> 0 GROUP BY ALL),
 ids AS (SELECT "idProposicao", string_agg("idDeputadoAutor", ',' ORDER BY place) AS authors FROM firsts GROUP BY ALL)
 SELECT CAST(id AS INTEGER) AS id, "urlInteiroTeor" AS url_full_text, "descricaoTipo" AS proposition_type,
-       CAST("dataApresentacao" AS TIMESTAMP) AS submission_date, coalesce(authors, '') AS authors
-FROM bills LEFT JOIN ids ON "idProposicao" = id"""
+       CASE WHEN regexp_full_match("dataApresentacao", '{_TIMESTAMP_FORM}') THEN try_cast(
+         regexp_replace("dataApresentacao", '^([0-9]{{4}})([0-9]{{2}})([0-9]{{2}})', '\\1-\\2-\\3') AS TIMESTAMP)
+       END AS submission_date, coalesce(authors, '') AS authors
+FROM irregular LEFT JOIN ids ON "idProposicao" = id"""
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,13 +191,31 @@ def json_root_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("siglaTipo"), F.col("value").alias("valor"), "props"))
     second = F.to_json(F.struct((-F.col("event_id")).alias("id"), F.col("user_id").cast("string").alias("siglaTipo")))
     root = F.when(F.col("event_id") % 2 == 0, "dados").otherwise("proposicoes")
-    text = F.concat(F.lit('{"'), root, F.lit('": ['), first, F.lit(', 5, "text", null, '), second, F.lit("]}"))
-    documents = sources.spread(si.table(spark, sf_dir, "events")).select("event_id", text.alias("json"))
+    odd = F.lit(r', 5, "{\"id\": 7}", null, ')
+    text = F.concat(F.lit('{"'), root, F.lit('": ['), first, odd, second, F.lit("]}"))
+    documents = si.table(spark, sf_dir, "events").hint("rebalance").select("event_id", text.alias("json"))
     return sources.explode_root_text(
         documents, "json", EVENT, roots=("dados", "proposicoes"), require_root=True, keep=("event_id",)
     )
 
 
+def json_files_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents written as files to the shared folder and read from there."""
+    first = F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("siglaTipo"), F.col("value").alias("valor"), "props")
+    folder = f"{sinks.shared_dir(spark)}/events-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, folder)
+    events = si.table(spark, sf_dir, "events").withColumn("file", F.col("event_id") % 16)
+    documents = events.groupBy("file").agg(F.to_json(F.struct(F.collect_list(first).alias("dados"))).alias("value"))
+    documents.write.partitionBy("file").text(folder)  # one document per file
+    rows = sources.read_root_json(spark, folder, EVENT)
+    return rows.select("id", "siglaTipo", "valor", "props")
+
+
+def _forget(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended
+        sinks.remove(spark, folder)
+
+
 JSON_ROOT_SQL = """
 SELECT event_id, 0 AS src_pos, event_id AS id, event_type AS "siglaTipo", value AS valor, props FROM events
 UNION ALL SELECT event_id, 4, -event_id, CAST(user_id AS VARCHAR), NULL, NULL FROM events"""
@@ -226,7 +256,7 @@ UNION ALL SELECT c_custkey, c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR) F
 def merge_update_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word frequencies of the documents updated by those of the conversations."""
     target = op.word_frequency(si.documents(spark, sf_dir), id_column="doc_id")
-    source = op.word_frequency(sources.spread(si.table(spark, sf_dir, "conversations")), id_column="conv_id")
+    source = op.word_frequency(si.table(spark, sf_dir, "conversations").hint("rebalance"), id_column="conv_id")
     return op.merge_tables(target, source, ["id", "word"], "update")
 
 
@@ -256,6 +286,34 @@ SELECT user_id AS id, event_type AS entity_type, props AS entity FROM events
 UNION SELECT user_id + 1, event_type, props FROM events"""
 
 
+def upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as authors, written to a table, updated by suppliers, and read back."""
+    root = f"{sinks.shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, root)
+
+    def people(table: str, key: str, factor: int) -> DataFrame:
+        return si.table(spark, sf_dir, table).select(
+            (F.col(f"{key}_{'custkey' if key == 'c' else 'suppkey'}") * factor).cast("int").alias("id"),
+            F.col(f"{key}_name").alias("full_name"),
+            F.lit(table).alias("poli_party"),
+            F.col(f"{key}_nationkey").cast("string").alias("uf"),
+        )
+
+    sinks.create_tables(spark, root, [schemas.AUTHORS])
+    sinks.upsert(spark, root, schemas.AUTHORS, people("customer", "c", 1))
+    sinks.upsert(spark, root, schemas.AUTHORS, people("supplier", "s", 3))
+    return sinks.read_table(spark, root, schemas.AUTHORS)
+
+
+UPSERT_TWICE_SQL = """
+WITH suppliers AS (
+  SELECT CAST(s_suppkey * 3 AS INTEGER) AS id, s_name AS full_name, 'supplier' AS poli_party,
+         CAST(s_nationkey AS VARCHAR) AS uf FROM supplier)
+SELECT * FROM suppliers
+UNION ALL SELECT CAST(c_custkey AS INTEGER), c_name, 'customer', CAST(c_nationkey AS VARCHAR) FROM customer
+  WHERE c_custkey NOT IN (SELECT id FROM suppliers)"""
+
+
 def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = si.table(spark, sf_dir, "lineitem").withColumn("l_shipmode", F.nullif("l_returnflag", F.lit("R")))
     return op.contract_violations(rows, ["l_orderkey", "l_quantity", "l_shipmode"], ["l_orderkey", "l_linenumber"])
@@ -294,6 +352,11 @@ ENTRIES = {
         " o_totalprice AS status_detail_weight, o_custkey AS owner FROM orders",
     ),
     "json_root_explode": (json_root_explode, JSON_ROOT_SQL),
+    "json_files_explode": (
+        json_files_explode,
+        'SELECT event_id AS id, event_type AS "siglaTipo", value AS valor, props FROM events',
+    ),
+    "upsert_twice": (upsert_twice, UPSERT_TWICE_SQL),
     "merge_update": (merge_update, MERGE_UPDATE_SQL),
     "merge_update_composite": (merge_update_composite, MERGE_COMPOSITE_SQL),
     "merge_ignore": (merge_ignore, MERGE_IGNORE_SQL),

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lawloom import operators as op
-from lawloom import rules, sources
+from lawloom import rules, sinks, sources
 from workload import stand_ins as si
 
 LABELED = "labeled AS (SELECT d.*, quality, toxic FROM documents d LEFT JOIN labels USING (doc_id))"
@@ -146,17 +149,38 @@ def topic_model(messages: list[dict[str, str]]) -> str:
 
 def enrich_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = op.build_requests(si.documents(spark, sf_dir), op.summary_instructions(), id_column="doc_id")
-    return op.summary_rows(op.parse_summaries(op.run_model(requests, summary_model, max_parallel=8)))
+    return op.summary_rows(op.parse_summaries(op.run_model(requests, summary_model)))
 
 
 def enrich_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = op.build_requests(si.documents(spark, sf_dir), op.summary_instructions(), id_column="doc_id")
-    return op.entity_rows(op.parse_summaries(op.run_model(requests, summary_model, max_parallel=8)))
+    return op.entity_rows(op.parse_summaries(op.run_model(requests, summary_model)))
 
 
 def enrich_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = op.build_requests(si.documents(spark, sf_dir), op.topic_instructions(), id_column="doc_id")
-    return op.topic_rows(op.parse_topics(op.run_model(requests, topic_model, max_parallel=8)))
+    return op.topic_rows(op.parse_topics(op.run_model(requests, topic_model)))
+
+
+def stored_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An outage first, then a healthy model: failed ids are asked again, answered ones are not."""
+    path = f"{sinks.shared_dir(spark)}/responses-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, path)
+    requests = op.build_requests(si.documents(spark, sf_dir), op.topic_instructions(), id_column="doc_id")
+
+    def failing(messages: list[dict[str, str]]) -> str:
+        if len(messages[-1]["content"]) % 2:
+            raise TimeoutError("down")
+        return topic_model(messages)
+
+    sinks.store_responses(requests, failing, path)
+    responses = sinks.store_responses(requests, topic_model, path, rounds=2)
+    return op.topic_rows(op.parse_topics(responses))
+
+
+def _forget(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended
+        sinks.remove(spark, folder)
 
 
 def _sql_list(values: tuple[str, ...]) -> str:
@@ -200,4 +224,5 @@ ENTRIES = {
     "enrich_summary": (enrich_summary, ENRICH_SUMMARY_SQL),
     "enrich_entities": (enrich_entities, ENRICH_ENTITIES_SQL),
     "enrich_topic": (enrich_topic, ENRICH_TOPIC_SQL),
+    "stored_topics": (stored_topics, ENRICH_TOPIC_SQL),
 }

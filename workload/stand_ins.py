@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lawloom import functions as lf
+from lawloom import rules
 from lawloom.operators import explode_lines, group_authors, merge_authors
-from lawloom.sources import spread
 
 TYPES = ("1-URGENT", "2-HIGH", "3-MEDIUM")
 START, END = dt.date(1996, 2, 2), dt.date(1996, 7, 17)
@@ -133,7 +133,8 @@ def bills_with_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"))
+    """The texts, dealt out evenly: a file of one row group is one task, and plans share the exchange."""
+    return table(spark, sf_dir, "documents").hint("rebalance")
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,25 +214,10 @@ def sql_folded(line: str) -> str:
     return f"replace(replace(lower({line}), 'ß', 'ss'), 'ſ', 's')"
 
 
-# The terms that no shorter term covers.
-SQL_TERMS = (
-    "câmara dos deputados",
-    "gabinete",
-    "assinado eletronicamente",
-    "para verificar a assinatura",
-    "@camara.leg.br",
-    "praça dos três poderes",
-    "cep 70160",
-    "mesa",
-    "deputado federal",
-    "projeto de lei n",
-)
-
-
 def sql_boilerplate(line: str) -> str:
     folded = sql_folded(line)
     s = f"[{SQL_SPACE}]"
-    tests = [f"contains({folded}, '{term}')" for term in SQL_TERMS]
+    tests = [f"contains({folded}, '{term}')" for term in rules.BANNED_TERMS]
     tests.append(rf"regexp_matches({folded}, '(\*|^){s}*cd\p{{Nd}}{{6,}}{s}*(\*|$)')")
     tests.append(rf"regexp_full_match({folded}, 'pl{s}*n?[.ºo°]*{s}*\p{{Nd}}{{1,6}}[/-]\p{{Nd}}{{2,4}}')")
     return "(" + " OR ".join(tests) + ")"
