@@ -1,14 +1,15 @@
 """N-gram Jaccard join by prefix trees.
 
-Each document's distinct word shingles are put in one global order: shingles that are
-frequent in the corpus last, else by hash. Two sets with the required similarity share
+Each document's distinct word shingles are put in one global order: by how frequent
+their counter is in the corpus, then by hash. Two sets with the required similarity share
 tokens at their beginnings, which gives the places where they must meet:
 
 1. Documents with equal sets become one class; the smallest id stands for it.
 2. Classes whose beginning shares too few tokens with any other class can have no link.
-3. Every class left has a home: its first shared token. A home with many classes is cut
-   into parts of about `home_size`, and two of its classes are put into every part, to tie
-   the parts together. A prefix tree over each part finds its links; subtrees that are
+3. Every class left has a home: the commonest of its shared tokens that are not much more
+   common than its middle one, so that copies of one text have few homes between them.
+   A home with many classes is cut into parts of about `home_size`, and two of its
+   classes are put into every part, to tie the parts together. A prefix tree over each part finds its links; subtrees that are
    already connected or cannot reach the similarity are passed over.
 4. Homes that still hold different components, and share enough tokens, are compared:
    the classes of the smaller one visit the prefix tree of the larger, in parts again.
@@ -32,17 +33,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.common import broadcast_if_small, staged
+from lawloom.llm.common import broadcast_if_small, map_texts, staged
 from lawloom.llm.components import connected_components
 from lawloom.llm.hashing import hash_words, mix64, shingle_sets, text_chunks
 from lawloom.llm.prefix_tree import links_among, links_between
 
-#: Shingle counters for the global order; at most this many (counter, class) pairs are broadcast.
+#: Shingle counters for the global order: one number each reaches the driver and all tasks.
 COUNTERS = 1 << 18
-#: Survivor ids known to fit a broadcast (8 bytes each).
+#: Survivor ids, with a place or two each, known to fit a broadcast (at most 40 bytes a row).
 MAX_BROADCAST_IDS = 200_000
+#: Rounds of dropping sets that share too little; each is cheaper than the one before.
+ROUNDS = 2
 #: Extra beginning, in percent of a set, that similar sets must also share in part.
-EXTRA_PERCENT = 5
+EXTRA_PERCENT = 3
 
 
 def _sets(batch: pa.RecordBatch, words_per_shingle: int):
@@ -66,11 +69,11 @@ def set_digests(docs: DataFrame, words_per_shingle: int) -> DataFrame:
                     out.append(pa.array(sums.view(np.int64)))
                 yield pa.RecordBatch.from_arrays(out, ["doc_id", "n", "s1", "s2"])
 
-    return docs.select("doc_id", "text").mapInArrow(digest, "doc_id long, n long, s1 long, s2 long")
+    return map_texts(docs.select("doc_id", "text"), digest, "doc_id long, n long, s1 long, s2 long")
 
 
-def frequent_counters(docs: DataFrame, words_per_shingle: int) -> dict[int, int]:
-    """counter -> class (1, 2, ...: twice, four times ... the mean) for counters well above the mean."""
+def shingle_counts(docs: DataFrame, words_per_shingle: int) -> np.ndarray:
+    """How many documents' shingles fall to each of COUNTERS counters."""
 
     def count(batches):
         counts = np.zeros(COUNTERS, dtype=np.int64)
@@ -80,34 +83,21 @@ def frequent_counters(docs: DataFrame, words_per_shingle: int) -> dict[int, int]
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["counter", "n"])
 
-    counts = docs.select("doc_id", "text").mapInArrow(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
-    counts = staged(counts, "shingle-counters")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    mean = max(1.0, total / COUNTERS)
-    high = counts.filter(F.col("n") >= 2 * mean).collect()  # at most COUNTERS / 2 rows
-    return {row["counter"]: int(np.log2(row["n"] / mean)) for row in high}
+    counted = map_texts(docs.select("doc_id", "text"), count, "counter long, n long")
+    total = np.zeros(COUNTERS, dtype=np.int64)
+    for row in counted.groupBy("counter").agg(F.sum("n").alias("n")).collect():  # at most COUNTERS rows
+        total[row["counter"]] = row["n"]
+    return total
 
 
-def _in_global_order(texts: np.ndarray, hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    rank = classes[(hashes % np.uint64(COUNTERS)).astype(np.int64)]
-    return np.lexsort((hashes, rank, texts))
-
-
-def _class_table(frequent: dict[int, int]) -> np.ndarray:
-    classes = np.zeros(COUNTERS, dtype=np.int8)
-    for counter, level in frequent.items():
-        classes[counter] = level
-    return classes
-
-
-def set_beginnings(docs: DataFrame, words_per_shingle: int, percent: int, frequent: dict[int, int]) -> DataFrame:
+def set_beginnings(docs: DataFrame, words_per_shingle: int, percent: int, counts_of: np.ndarray) -> DataFrame:
     """(doc_id, n, pos, token): the first tokens of each set, as many as the similarity needs."""
 
     def beginnings(batches):
-        table = _class_table(frequent)
         for batch in batches:
             for ids, counts, texts, hashes in _sets(batch, words_per_shingle):
-                order = _in_global_order(texts, hashes, table)
+                frequency = counts_of[(hashes % np.uint64(COUNTERS)).astype(np.int64)]
+                order = np.lexsort((hashes, frequency, texts))
                 first = np.concatenate(([0], np.cumsum(counts)))
                 position = np.arange(len(texts)) - first[texts]
                 n = counts[texts]
@@ -123,7 +113,7 @@ def set_beginnings(docs: DataFrame, words_per_shingle: int, percent: int, freque
                     ["doc_id", "n", "pos", "token"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(beginnings, "doc_id long, n int, pos int, token long")
+    return map_texts(docs.select("doc_id", "text"), beginnings, "doc_id long, n int, pos int, token long")
 
 
 def whole_sets(docs: DataFrame, words_per_shingle: int) -> DataFrame:
@@ -136,7 +126,7 @@ def whole_sets(docs: DataFrame, words_per_shingle: int) -> DataFrame:
                 tokens = [hashes[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([ids, pa.array(tokens, pa.binary())], ["doc_id", "tokens"])
 
-    return docs.select("doc_id", "text").mapInArrow(whole, "doc_id long, tokens binary")
+    return map_texts(docs.select("doc_id", "text"), whole, "doc_id long, tokens binary")
 
 
 def _still_shared(rows: DataFrame, percent: int) -> DataFrame:
@@ -183,8 +173,9 @@ def link_sets(
     docs = docs.filter(F.col("doc_id").isNotNull())
     digests = digests.filter("n > 0 AND doc_id IS NOT NULL")
     classes = digests.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    frequent = frequent_counters(docs, words_per_shingle)
-    alive = staged(_still_shared(set_beginnings(docs, words_per_shingle, percent, frequent), percent), "alive")
+    counts_of = shingle_counts(docs, words_per_shingle)
+    beginnings = staged(set_beginnings(docs, words_per_shingle, percent, counts_of), "beginnings")
+    alive = staged(_still_shared(beginnings, percent), "alive")
 
     # only the representative of each class goes on
     digest_of = digests.join(
@@ -193,14 +184,24 @@ def link_sets(
     )
     reps = digest_of.filter("doc_id = rep").select(F.col("doc_id").alias("rep_id"), F.col("n").alias("rep_n")).distinct()
     alive = alive.join(reps, (F.col("doc_id") == F.col("rep_id")) & (F.col("n") == F.col("rep_n"))).drop("rep_id", "rep_n")
-    alive = staged(_still_shared(staged(alive, "alive-reps"), percent), "alive-twice")
+    for _ in range(ROUNDS):  # what one round drops can leave others alone
+        alive = staged(_still_shared(staged(alive, "alive-reps"), percent), "alive")
 
     ids = staged(alive.select(F.col("doc_id").alias("live_id")).distinct(), "live-ids")
     live = docs.join(broadcast_if_small(ids, MAX_BROADCAST_IDS), F.col("doc_id") == F.col("live_id"), "left_semi")
     sets = staged(whole_sets(live, words_per_shingle).distinct(), "sets")
 
-    # home: the first shared token, and a part of it
-    first = alive.groupBy("doc_id").agg(F.min_by("token", F.struct("pos", "token")).alias("home"))
+    # home: of the tokens about as common as most of the set's, the commonest, and a part of it
+    common = alive.groupBy(F.col("token").alias("t")).agg(F.count("*").alias("df"))
+    ranked = (
+        alive.select("doc_id", "token").join(common, F.col("token") == F.col("t"))
+        .groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
+    )
+    middle = F.get("tokens", F.floor(F.size("tokens") / 2).cast("int"))["df"]
+    usual = ranked.select("doc_id", "tokens", middle.alias("middle"))
+    first = usual.select(
+        "doc_id", F.array_max(F.filter("tokens", lambda t: t["df"] * 4 <= F.col("middle") * 5))["token"].alias("home")
+    )
     crowd = first.groupBy(F.col("home").alias("crowd")).agg(
         F.ceil(F.count("*") / home_size).cast("int").alias("parts"),
         F.min("doc_id").alias("tie_low"),
@@ -220,7 +221,8 @@ def link_sets(
         return _as_links(links_among(group["doc_id"].to_numpy(), _decode(group["tokens"]), percent))
 
     links = staged(
-        members.select("doc_id", "home", "part").join(sets, "doc_id").groupBy("home", "part").applyInArrow(within, _LINKS),
+        sets.join(broadcast_if_small(members.select("doc_id", "home", "part"), MAX_BROADCAST_IDS), "doc_id")
+        .groupBy("home", "part").applyInArrow(within, _LINKS),
         "links-within",
     )
 
@@ -283,9 +285,9 @@ def link_sets(
         )
         return _as_links(found)
 
-    more = (
-        guests.unionByName(hosts).join(sets, "doc_id").groupBy("to_home", "to_part", "round").applyInArrow(across, _LINKS)
-    )
+    company = staged(guests.unionByName(hosts), "company")
+    meeting = sets.join(broadcast_if_small(company, MAX_BROADCAST_IDS), "doc_id")
+    more = meeting.groupBy("to_home", "to_part", "round").applyInArrow(across, _LINKS)
     # the classes of one id belong together
     least = digest_of.groupBy(F.col("doc_id").alias("id")).agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
     same_id = (
