@@ -133,18 +133,18 @@ def judge_documents(
     """
     base = docs.select("doc_id", "text", F.col(host).alias("host"))
     hashed = staged(normalised_lines(base, "host"), "normalised-lines")
-    frequent = frequent_lines(hashed, max_docs)
+    frequent = frequent_lines(hashed, max_docs).withColumnsRenamed({"host": "f_host", "h1": "f_h1", "h2": "f_h2"})
     # a row that is there twice has each of its lines once
     lines = hashed.groupBy("host", "h1", "h2", "row", "pos").agg(F.max("n").alias("n"))
     same_line = (
-        lines["host"].eqNullSafe(frequent["host"]) & (lines["h1"] == frequent["h1"]) & (lines["h2"] == frequent["h2"])
+        F.col("host").eqNullSafe(F.col("f_host")) & (F.col("h1") == F.col("f_h1")) & (F.col("h2") == F.col("f_h2"))
     )
     removed = (
         lines.join(frequent, same_line)
-        .groupBy(lines["row"].alias("lost_row"))
+        .groupBy(F.col("row").alias("lost_row"))
         .agg(F.sum("n").cast("long").alias("words_removed"))
     )
-    measured = base_measures(base.withColumn("row", row_key(F.col("doc_id"), F.col("text")))).drop("text", "host")
+    measured = base_measures(base.withColumn("row", row_key(F.col("doc_id"), F.col("text"), F.col("host")))).drop("text", "host")
     joined = measured.join(removed, F.col("row") == F.col("lost_row"), "left").drop("row", "lost_row")
     lost = F.coalesce(F.col("words_removed"), F.lit(0)).cast("long")
     enough = F.col("n_words") - lost >= F.lit(min_share) * F.col("n_words")

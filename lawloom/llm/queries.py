@@ -157,9 +157,11 @@ WITH d AS (
   FROM worded JOIN frequent ON worded.key = frequent.key AND worded.source IS NOT DISTINCT FROM frequent.source
   GROUP BY doc_id
 ), starts AS (
-  SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3
+  SELECT doc_id, unnest(range(1, len(w) - 1)) AS i,
+    unnest(list_transform(range(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])) AS gram
+  FROM d WHERE len(w) >= 3
 ), grams AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS times FROM starts
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS times FROM starts
 ), covered AS (
   SELECT doc_id, count(DISTINCT p) AS n_repeat_words
   FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM grams WHERE times >= 2) GROUP BY doc_id
