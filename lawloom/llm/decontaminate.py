@@ -232,7 +232,7 @@ def find_leaks(
         exploded.groupBy("item_id", "text_no", "shingle").agg(F.count("*").cast("int").alias("times"))
         .join(rarity, F.col("shingle") == F.col("s"))
         .groupBy(F.col("item_id").alias("w_item"), F.col("text_no").alias("w_text"))
-        .agg(F.collect_list(F.struct("shingle", "times", F.log(1 + F.lit(n_items) / F.col("df")).alias("weight"))).alias("profile"))
+        .agg(F.collect_list(F.struct("shingle", "times", F.log(1 + F.lit(n_items) / F.greatest("df", F.lit(1))).alias("weight"))).alias("profile"))
     )
 
     def verify(batches):
