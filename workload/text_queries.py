@@ -66,6 +66,19 @@ STOPWORD_FILTER_SQL = "WITH {} SELECT id, word FROM tokens WHERE word NOT IN ({}
 )
 
 
+def stopword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stop words are a table: all words of the benchmark."""
+    stop_words = op.explode_words(si.table(spark, sf_dir, "benchmark"), "item_id").select("word").distinct()
+    return op.drop_stop_words(op.explode_words(si.documents(spark, sf_dir), "doc_id"), stop_words)
+
+
+STOPWORD_TABLE_SQL = f"""
+WITH {TOKENS}, stop AS (
+  SELECT DISTINCT unnest(regexp_split_to_array(
+    regexp_replace(lower(text), '{si.SQL_NOT_WORD}', '', 'g'), '[{si.SQL_SPACE}]+')) AS word FROM benchmark)
+SELECT id, word FROM tokens WHERE word NOT IN (SELECT word FROM stop)"""
+
+
 # --- single lines ---------------------------------------------------------------
 
 # Line ends put after each sentence, by document.
@@ -177,9 +190,9 @@ def boilerplate_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     variants = [
         line,
         F.concat(F.lit("CÂMARA DOS DEPUTADOS "), line),
-        F.concat(F.lit("*CD"), i + 257150518, F.lit("*")),
+        F.concat(F.lit("*CD"), i + 340001000, F.lit("*")),
         F.concat(F.lit("CD123"), i % 100),
-        F.concat(F.lit("xCD25715"), i),
+        F.concat(F.lit("xCD90210"), i),
         F.concat(line, F.lit(" mesada")),
         F.concat(F.lit("PL "), i, F.lit("/2025")),
         F.concat(F.lit("pl nº "), i, F.lit("-25")),
@@ -194,9 +207,9 @@ BOILERPLATE_SQL = _flags_sql(
     [
         "line",
         "'CÂMARA DOS DEPUTADOS ' || line",
-        "'*CD' || (i + 257150518) || '*'",
+        "'*CD' || (i + 340001000) || '*'",
         "'CD123' || (i % 100)",
-        "'xCD25715' || i",
+        "'xCD90210' || i",
         "line || ' mesada'",
         "'PL ' || i || '/2025'",
         "'pl nº ' || i || '-25'",
@@ -279,6 +292,7 @@ ENTRIES = {
     "word_frequency": (word_frequency, WORD_FREQUENCY_SQL),
     "tokenize": (tokenize, TOKENIZE_SQL),
     "stopword_filter": (stopword_filter, STOPWORD_FILTER_SQL),
+    "stopword_table": (stopword_table, STOPWORD_TABLE_SQL),
     "explode_lines": (explode_lines, EXPLODE_LINES_SQL),
     "normalize_line": (normalize_line, NORMALIZE_LINE_SQL),
     "page_number_flag": (page_number_flag, PAGE_NUMBER_SQL),
