@@ -76,7 +76,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
     atexit.register(_delete, spark, path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._staged_path = path
+    return back
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more."""
+    _delete(df.sparkSession, df._staged_path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

@@ -26,12 +26,15 @@ extra columns are carried. A removed span may cut a character; `kept` is bytes.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lawloom.llm.common import broadcast_if_small, map_texts, staged, text_or_empty
+from lawloom.llm.common import forget, map_texts, staged, text_or_empty
 from lawloom.llm.hashing import mix64
 from lawloom.llm.packing import join_packed, pack, runs, to_batch, unpack
 
@@ -39,12 +42,12 @@ GRAM = 24
 #: Anchors are compared by this many bits; a collision costs a comparison, no result.
 ANCHOR_BITS = 48
 #: Grams of text and stretches per part, about.
-PART_BYTES = 1 << 24
+PART_BYTES = 1 << 22
 _NULL_ID = (1 << 63) - 1
 _BYTE_KEYS = np.random.default_rng(977).integers(1, 1 << 63, 256, dtype=np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-#: Documents with spans known to fit a broadcast, and their spans.
-MAX_BROADCAST_DOCS = 200_000
+#: Spans, and two for each of their documents, known to fit a broadcast (about 32 bytes each).
+MAX_BROADCAST_SPANS = 1_000_000
 
 
 # ---- anchors ----
@@ -125,7 +128,8 @@ def deal_anchors(docs: DataFrame, length: int, parts: int) -> DataFrame:
                     h, i = hashes[a:b], ids[a:b]
                     starts, ends = runs(h)
                     key = np.repeat(np.arange(len(starts), dtype=np.uint32), ends - starts)
-                    blobs = (h[starts], i[starts], i[ends - 1], key, i, places[a:b])
+                    # the highest id as its distance from the lowest, which is mostly 0
+                    blobs = (h[starts], i[starts], i[ends - 1] - i[starts], key, i, places[a:b])
                     rows.append((_batch_name(made), int(h[0] % np.uint64(parts)), *(pack(x) for x in blobs)))
             yield to_batch(rows, ["batch", "part", "hashes", "lows", "highs", "keys", "ids", "places"])
 
@@ -133,14 +137,19 @@ def deal_anchors(docs: DataFrame, length: int, parts: int) -> DataFrame:
 
 
 def _extremes(group: pa.Table) -> pa.Table:
-    """Lowest and highest id of every hash of a part, in the order of each batch's hashes."""
+    """Lowest and highest id of every hash of a part, in the order of each batch's hashes.
+
+    0 and 0 for a hash of one document; a highest id is never 0.
+    """
     hashes, lows, highs = (join_packed(group[c]) for c in ("hashes", "lows", "highs"))
+    highs = lows + highs
     order = np.argsort(hashes, kind="stable")
     starts, ends = runs(hashes[order])
     which = np.empty(len(order), dtype=np.int64)
     which[order] = np.repeat(np.arange(len(starts)), ends - starts)
     low = np.minimum.reduceat(lows[order], starts)[which]
     high = np.maximum.reduceat(highs[order], starts)[which]
+    low, high = np.where(low < high, low, np.uint64(0)), np.where(low < high, high, np.uint64(0))
     cut = np.cumsum([len(unpack(b.as_py())) for b in group["hashes"]])[:-1]
     return pa.table(
         {
@@ -152,64 +161,107 @@ def _extremes(group: pa.Table) -> pa.Table:
     )
 
 
-def _flags(batches):
-    """(id, place, flags) of the anchors with a smaller id elsewhere (1) or a larger one (2)."""
+def _shared_anchors(batches):
+    """(id, place) of the anchors that documents with a smaller or a larger id have, too."""
     for batch in batches:
         for keys, ids, places, low, high in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
             key, own, place = unpack(keys), unpack(ids), unpack(places)
-            flags = (unpack(low)[key] < own) + 2 * (unpack(high)[key] > own)
-            kept = flags > 0
+            kept = unpack(high)[key] > 0  # then another document has it
             back = (own[kept] ^ np.uint64(1 << 63)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(back), pa.array(place[kept].astype(np.int32)), pa.array(flags[kept].astype(np.int8))],
-                ["anchor_id", "place", "flags"],
+                [pa.array(back), pa.array(place[kept].astype(np.int32))], ["anchor_id", "place"]
             )
 
 
 # ---- stretches ----
 
-_STRETCHES = "batch string, part long, texts binary, lengths binary, lows binary, keys binary, ids binary, starts binary"
+_STRETCHES = "batch string, part long, texts binary, lengths binary, lows binary, keys binary, ids binary, tags binary, starts binary"
+
+
+#: Texts that are dealt together, about.
+_DEALT_BYTES = 1 << 22
+
+
+def _stretch_hashes(text: np.ndarray, first: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """128 bits that name the bytes of each stretch."""
+    out = []
+    for salt in (0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47):
+        base = np.full(len(text), np.uint64(salt | 1))
+        base[:1] = 1
+        powers = np.multiply.accumulate(base)
+        base[1:] = np.uint64(pow(salt | 1, -1, 1 << 64))
+        inverse = np.multiply.accumulate(base)
+        sums = np.zeros(len(text) + 1, dtype=np.uint64)
+        np.cumsum(mix64(_BYTE_KEYS ^ np.uint64(salt))[text] * powers, out=sums[1:])
+        out.append(mix64((sums[end] - sums[first]) * inverse[first] + (end - first).astype(np.uint64)))
+    return out
+
+
+def _pieces(text: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The bytes of the stretches, one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return text[np.repeat(first - before, lengths) + np.arange(lengths.sum())]
+
+
+def _dealt(name: str, texts, firsts, ends, ids, tags, anchors, parts: int) -> pa.RecordBatch:
+    """Rows (batch, part, ...) of the stretches of some texts; equal stretches travel once."""
+    offsets = np.repeat(np.cumsum([0] + [len(t) for t in texts[:-1]]), [len(f) for f in firsts])
+    text, first, end, own, tag, anchor = (np.concatenate(x) for x in (texts, firsts, ends, ids, tags, anchors))
+    own = _ordered(own)
+    part = mix64(anchor) % np.uint64(parts)
+    one, two = _stretch_hashes(text, first, end)
+    order = np.lexsort((own, two, one, part))
+    first, end, own, tag, part, one, two, offsets = (x[order] for x in (first, end, own, tag, part, one, two, offsets))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (part[1:] != part[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    distinct = np.cumsum(new) - 1
+    rows = []
+    for a, b in zip(*runs(part), strict=True):
+        lead = np.flatnonzero(new[a:b]) + a  # the first of equal ones has the lowest id
+        lengths = end[lead] - first[lead]
+        blobs = (
+            _pieces(text, first[lead], lengths), lengths.astype(np.uint32), own[lead],
+            (distinct[a:b] - distinct[a]).astype(np.uint32), own[a:b], tag[a:b], (first[a:b] - offsets[a:b]).astype(np.uint32),
+        )
+        rows.append((name, int(part[a]), *(pack(x) for x in blobs)))
+    return to_batch(rows, ["batch", "part", "texts", "lengths", "lows", "keys", "ids", "tags", "starts"])
 
 
 def deal_stretches(docs: DataFrame, length: int, parts: int) -> DataFrame:
     """Per batch and part: distinct stretches with their lowest id, and where they are.
 
-    docs: (id, text, anchors), anchors being the flagged (place, flags) of the document.
+    docs: (id, text, anchors), anchors being the places of those that other documents have.
     """
 
     def deal(batches):
         for made, batch in enumerate(batches):
-            by_part: dict[int, tuple[dict, list]] = {}
-            for own, data, anchors in zip(_own_ids(batch.column(0)), _texts(batch.column(1)), batch.column(2), strict=True):
-                marked = anchors.as_py()
-                if not marked or len(data) < length:
+            texts, firsts, ends, ids, tags, anchors, size = [], [], [], [], [], [], 0
+            for own, data, marked in zip(_own_ids(batch.column(0)), _texts(batch.column(1)), batch.column(2), strict=True):
+                places = marked.values.to_numpy(zero_copy_only=False)
+                if not len(places) or len(data) < length:
                     continue
                 grams, anchor = anchor_of_strings(data, length)
-                flags = np.zeros(len(grams), dtype=np.int8)
-                flags[[m["place"] for m in marked]] = [m["flags"] for m in marked]
-                starts = np.flatnonzero(flags[anchor] > 0)
+                repeated = np.zeros(len(grams), dtype=bool)
+                repeated[places[places < len(grams)]] = True  # other texts of the same id have places, too
+                starts = np.flatnonzero(repeated[anchor])
                 if not len(starts):
                     continue
-                breaks = np.flatnonzero((np.diff(starts) > 1) | (np.diff(anchor[starts]) != 0)) + 1
-                firsts, lasts = starts[np.concatenate(([0], breaks))], starts[np.append(breaks - 1, len(starts) - 1)]
-                raw = data.tobytes()
-                for first, last in zip(firsts.tolist(), lasts.tolist(), strict=True):
-                    part = int(mix64(grams[anchor[first]][None])[0] % np.uint64(parts))
-                    known, held = by_part.setdefault(part, ({}, []))
-                    stretch = raw[first : last + length]
-                    key = known.setdefault(stretch, len(known))
-                    held.append((key, own, first))
-            rows = []
-            for part, (known, held) in by_part.items():
-                keys, ids, starts = (np.array(x) for x in zip(*held, strict=True))
-                unsigned = _ordered(ids.astype(np.int64))
-                lows = np.full(len(known), np.uint64((1 << 64) - 1))
-                np.minimum.at(lows, keys, unsigned)
-                lengths = np.array([len(s) for s in known], dtype=np.uint32)
-                text = np.frombuffer(b"".join(known), dtype=np.uint8)
-                blobs = (text, lengths, lows, keys.astype(np.uint32), unsigned, starts.astype(np.uint32))
-                rows.append((_batch_name(made), part, *(pack(x) for x in blobs)))
-            yield to_batch(rows, ["batch", "part", "texts", "lengths", "lows", "keys", "ids", "starts"])
+                new = np.ones(len(starts), dtype=bool)
+                new[1:] = (np.diff(starts) > 1) | (np.diff(anchor[starts]) != 0)
+                first = starts[new]
+                last = starts[np.append(new[1:], True)]
+                texts.append(data)
+                firsts.append(first + size)
+                ends.append(last + length + size)
+                ids.append(np.full(len(first), own))
+                tags.append(np.full(len(first), zlib.crc32(data.tobytes()), dtype=np.uint32))
+                anchors.append(grams[anchor[first]])
+                size += len(data)
+                if size > _DEALT_BYTES:
+                    yield _dealt(_batch_name(made) + f"-{size}-{own}", texts, firsts, ends, ids, tags, anchors, parts)
+                    texts, firsts, ends, ids, tags, anchors, size = [], [], [], [], [], [], 0
+            if texts:
+                yield _dealt(_batch_name(made), texts, firsts, ends, ids, tags, anchors, parts)
 
     return map_texts(docs, deal, _STRETCHES)
 
@@ -217,15 +269,21 @@ def deal_stretches(docs: DataFrame, length: int, parts: int) -> DataFrame:
 # ---- the suffix sort of a part ----
 
 
-def _named(keys: list[np.ndarray]) -> np.ndarray:
-    """Rank of each tuple of keys among the distinct ones."""
-    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = False
-    for key in keys:
-        new[1:] |= key[order][1:] != key[order][:-1]
+def _ranks(key: np.ndarray) -> np.ndarray:
+    """Rank of each key among the distinct ones."""
+    order = np.argsort(key)
+    new = np.zeros(len(order), dtype=np.uint64)
+    new[1:] = key[order][1:] != key[order][:-1]
     names = np.empty(len(order), dtype=np.uint64)
-    names[order] = np.cumsum(new) - 1
+    names[order] = np.cumsum(new)
+    return names
+
+
+def _named(parts: list[np.ndarray]) -> np.ndarray:
+    """Rank of each tuple of numbers below 2^32: a part of the corpus has fewer places than that."""
+    names = parts[0]
+    for part in parts[1:]:
+        names = _ranks(names << np.uint64(32) | part)
     return names
 
 
@@ -241,40 +299,48 @@ def lowest_ids(text: np.ndarray, starts: np.ndarray, ids: np.ndarray, length: in
     character = np.zeros(len(padded) - 7, dtype=np.uint64)
     for k in range(8):
         character |= padded[k : len(padded) - 7 + k].astype(np.uint64) << np.uint64(56 - 8 * k)
+    character = _ranks(character)
     reach = 24  # bytes that a name stands for
-    wanted = np.zeros(len(padded) + 3, dtype=bool)
-    for shift in (0, 1, 2):
-        for steps in (0, reach):
-            wanted[starts + shift + steps] = True
-    wanted[::3] = False
-    sampled = np.flatnonzero(wanted[: len(character) - 16])
-    names = np.zeros(len(padded) + 3, dtype=np.uint64)
-    names[sampled] = _named([character[sampled], character[sampled + 8], character[sampled + 16]])
+
+    def sampled(steps: tuple[int, ...]) -> np.ndarray:
+        wanted = np.zeros(len(padded), dtype=bool)
+        for shift in (0, 1, 2):
+            for step in steps:
+                wanted[starts + shift + step] = True
+        wanted[::3] = False
+        return np.flatnonzero(wanted)
+
+    # triples of characters
+    at = sampled((0, reach))
+    names = np.zeros(len(padded), dtype=np.uint64)
+    names[at] = _named([character[at], character[at + 8], character[at + 16]])
     # recursion: the name of two names reaches twice as far; 24 is a multiple of 3
-    needed = np.zeros(len(padded) + 3, dtype=bool)
-    for shift in (0, 1, 2):
-        needed[starts + shift] = True
-    needed[::3] = False
-    sampled = np.flatnonzero(needed)
-    ranks = np.zeros(len(padded) + 3, dtype=np.uint64)
-    ranks[sampled] = _named([names[sampled], names[sampled + reach]])
-    # merges: bytes before the name, the name of 48 bytes, bytes after it
+    at = sampled((0,))
+    ranks = np.zeros(len(padded), dtype=np.uint64)
+    ranks[at] = _named([names[at], names[at + reach]])
+
+    def spelt(at: np.ndarray, first: int, end: int) -> list[np.ndarray]:
+        """The bytes first to end after each place, four to a number."""
+        out = []
+        for k in range(first, end, 4):
+            number = np.zeros(len(at), dtype=np.uint64)
+            for j in range(k, min(k + 4, end)):
+                number = number << np.uint64(8) | padded[at + j].astype(np.uint64)
+            out.append(number)
+        return out
+
+    # merges: the bytes before the name, the name of 48 bytes, the bytes after it
     best = ids.copy()
     for shift in (0, 1, 2):
         mine = np.flatnonzero((starts + shift) % 3 != 0)
+        if not len(mine):
+            continue
         at = starts[mine]
-        keys = [padded[at + k].astype(np.uint64) for k in range(shift)] + [ranks[at + shift]]
-        keys += [padded[at + k].astype(np.uint64) for k in range(shift + 2 * reach, length)]
-        order = np.lexsort(keys[::-1])
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = False
-        for key in keys:  # neighbours with equal prefixes
-            new[1:] |= key[order][1:] != key[order][:-1]
-        if len(order):
-            groups = np.flatnonzero(new)
-            least = np.minimum.reduceat(ids[mine][order], groups)
-            lowest = np.repeat(least, np.diff(np.append(groups, len(order))))
-            best[mine[order]] = np.minimum(best[mine[order]], lowest)
+        key = _named([*spelt(at, 0, shift), ranks[at + shift], *spelt(at, shift + 2 * reach, length)])
+        order = np.argsort(key)
+        groups, ends = runs(key[order])  # neighbours with equal prefixes
+        lowest = np.repeat(np.minimum.reduceat(ids[mine][order], groups), ends - groups)
+        best[mine[order]] = np.minimum(best[mine[order]], lowest)
     return best
 
 
@@ -297,33 +363,34 @@ def _sort_part(length: int):
 def _removed_starts(length: int):
     def expand(batches):
         for batch in batches:
-            for lengths, keys, ids, starts, best in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for lengths, keys, ids, tags, starts, best in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                 counts = unpack(lengths).astype(np.int64) - length + 1
-                keys, ids, starts, best = unpack(keys), unpack(ids), unpack(starts).astype(np.int64), unpack(best)
+                keys, ids, tags, best = unpack(keys), unpack(ids), unpack(tags), unpack(best)
+                starts = unpack(starts).astype(np.int64)
                 first = (np.cumsum(counts) - counts)[keys]
                 times = counts[keys]
                 at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
                 gone = best[np.repeat(first, times) + at] < np.repeat(ids, times)
-                own, place = np.repeat(ids, times)[gone], (np.repeat(starts, times) + at)[gone]
-                order = np.lexsort((place, own))
-                own, place = own[order], place[order]
+                own, tag, place = np.repeat(ids, times)[gone], np.repeat(tags, times)[gone], (np.repeat(starts, times) + at)[gone]
+                order = np.lexsort((place, tag, own))
+                own, tag, place = own[order], tag[order], place[order]
                 new = np.ones(len(own), dtype=bool)
-                new[1:] = (own[1:] != own[:-1]) | (place[1:] > place[:-1] + 1)
+                new[1:] = (own[1:] != own[:-1]) | (tag[1:] != tag[:-1]) | (place[1:] > place[:-1] + 1)
                 begins = np.flatnonzero(new)
                 ends = np.append(begins[1:], len(own)) - 1 if len(begins) else begins
                 back = (own[begins] ^ np.uint64(1 << 63)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(back), pa.array(place[begins]), pa.array(place[ends] + length)], ["span_id", "first", "end"]
+                    [pa.array(back), pa.array(tag[begins].astype(np.int64)), pa.array(place[begins]), pa.array(place[ends] + length)],
+                    ["span_id", "tag", "first", "end"],
                 )
 
     return expand
 
 
 def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
-    """(span_id, spans): for each id with removed bytes its spans (first, end), merged, in order.
+    """(span_id, tag, spans) of (id, text) rows: spans (first, end), in order, of ids with removed bytes.
 
-    Rows with the same id share their spans' places only if their texts are equal, so ids
-    should be unique; `remove_repeats` sees to that.
+    tag: crc32 of the text, since rows with one id can have several texts.
     """
     plain = docs.select("id", "text")
     size = plain.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
@@ -335,8 +402,12 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     flags = (
         dealt.select("batch", "part", "keys", "ids", "places").join(extremes, ["batch", "part"])
         .select("keys", "ids", "places", "low", "high")
-        .mapInArrow(_flags, "anchor_id long, place int, flags byte")
-        .groupBy("anchor_id").agg(F.collect_list(F.struct("place", "flags")).alias("anchors"))
+        .mapInArrow(_shared_anchors, "anchor_id long, place int")
+    )
+    flags = staged(flags, "shared-anchors")
+    forget(dealt)
+    flags = (
+        flags.groupBy("anchor_id").agg(F.collect_list("place").alias("anchors"))
     )
     marked = plain.join(flags, F.col("id") == F.col("anchor_id")).select("id", "text", "anchors")
     stretches = staged(deal_stretches(marked, length, parts), "stretches")
@@ -344,11 +415,20 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
         _sort_part(length), "batch string, part long, best binary"
     )
     pieces = (
-        stretches.select("batch", "part", "lengths", "keys", "ids", "starts").join(best, ["batch", "part"])
-        .select("lengths", "keys", "ids", "starts", "best")
-        .mapInArrow(_removed_starts(length), "span_id long, first long, end long")
+        stretches.select("batch", "part", "lengths", "keys", "ids", "tags", "starts").join(best, ["batch", "part"])
+        .select("lengths", "keys", "ids", "tags", "starts", "best")
+        .mapInArrow(_removed_starts(length), "span_id long, tag long, first long, end long")
     )
-    return pieces.groupBy("span_id").agg(F.sort_array(F.collect_list(F.struct("first", "end"))).alias("spans"))
+    collected = pieces.groupBy("span_id", "tag").agg(F.sort_array(F.collect_list(F.struct("first", "end"))).alias("spans"))
+
+    def merge(batches):
+        place = pa.struct([("first", pa.int64()), ("end", pa.int64())])
+        for batch in batches:
+            spans = [[{"first": a, "end": b} for a, b in merged(row)] for row in batch.column(2).to_pylist()]
+            columns = [batch.column(0), batch.column(1), pa.array(spans, pa.list_(place))]
+            yield pa.RecordBatch.from_arrays(columns, ["span_id", "tag", "spans"])
+
+    return map_texts(collected, merge, "span_id long, tag long, spans array<struct<first: bigint, end: bigint>>")
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -375,7 +455,7 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
             rows = []
             for value, spans in zip(batch.column(-2), batch.column(-1).to_pylist(), strict=True):
                 raw = (value.as_py() or "").encode()
-                gone = merged(spans or [])
+                gone = [(span["first"], span["end"]) for span in spans or []]
                 kept, at = [], 0
                 for first, end in gone:
                     kept.append(raw[at:first])
@@ -386,10 +466,13 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
             names = [*batch.schema.names[:-2], "kept", "n_bytes", "n_removed", "n_spans"]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *columns], names)
 
-    joined = docs.join(broadcast_if_small(spans, MAX_BROADCAST_DOCS), id_ == F.col("span_id"), "left").select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.col("text").alias("_cut_text"), F.col("spans").alias("_cut_spans")
+    spans = spans.withColumnsRenamed({"span_id": "_cut_id", "tag": "_cut_tag", "spans": "_cut_spans"})
+    same = (id_ == F.col("_cut_id")) & (F.crc32(text_or_empty("text")) == F.col("_cut_tag"))
+    held = spans.agg(F.coalesce(F.sum(F.size("_cut_spans") + 2), F.lit(0))).first()[0]
+    joined = docs.join(F.broadcast(spans) if held <= MAX_BROADCAST_SPANS else spans, same, "left").select(
+        *[F.col(f"`{c}`") for c in docs.columns], F.col("text").alias("_cut_text"), "_cut_spans"
     )
-    schema = docs.limit(0).schema
+    schema = T.StructType(list(docs.schema.fields))
     for name, kind in (("kept", "binary"), ("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long")):
         schema = schema.add(name, kind)
     return map_texts(joined, cut, schema)
