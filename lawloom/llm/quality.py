@@ -179,5 +179,7 @@ def fit_quality(
 def score_documents(docs: DataFrame, model: QualityModel, threshold: float = 0.7) -> DataFrame:
     """The documents with `score` and `predicted` (1 from the threshold on); both are replaced if there."""
     kept = docs.drop("score", "predicted")
-    scored = with_features(kept).withColumn("score", model.score(F.col("_features"))).drop("_features")
+    # the explode keeps a later filter from computing the features again for each of its terms
+    once = F.explode(F.array(model.score(F.col("_features"))))
+    scored = with_features(kept).withColumn("score", once).drop("_features")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
