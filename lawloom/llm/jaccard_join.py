@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.common import broadcast_if_small, map_texts, staged
+from lawloom.llm.common import broadcast_if_small, forget, map_texts, staged
 from lawloom.llm.components import connected_components
 from lawloom.llm.hashing import hash_words, mix64, shingle_sets, text_chunks
 from lawloom.llm.prefix_tree import links_among, links_between
@@ -130,7 +130,9 @@ def whole_sets(docs: DataFrame, words_per_shingle: int) -> DataFrame:
 
 
 def _still_shared(rows: DataFrame, percent: int) -> DataFrame:
-    """Rows of tokens found in two documents or more, of documents with enough such tokens.
+    """Staged rows of tokens found in two documents or more, of documents with enough such tokens.
+
+    The given staged rows are deleted: they are the largest table here.
 
     A partner has at least `percent` of this set's size, so its beginning holds at least
     the tokens counted here, and similar sets share all of those.
@@ -142,6 +144,7 @@ def _still_shared(rows: DataFrame, percent: int) -> DataFrame:
         .select("shared_token")
     )
     alive = staged(rows.join(shared, F.col("token") == F.col("shared_token")).drop("shared_token"), "shared")
+    forget(rows)
     partner = F.expr(f"({percent} * n + 99) div 100")
     needed = (F.lit(EXTRA_PERCENT) * partner / 100).cast("long") + 1
     enough = (
@@ -151,7 +154,10 @@ def _still_shared(rows: DataFrame, percent: int) -> DataFrame:
         .filter(F.col("alive") >= needed)
         .select("live_id", "live_n")
     )
-    return alive.join(enough, (F.col("doc_id") == F.col("live_id")) & (F.col("n") == F.col("live_n"))).drop("live_id", "live_n")
+    same = (F.col("doc_id") == F.col("live_id")) & (F.col("n") == F.col("live_n"))
+    left = staged(alive.join(enough, same).drop("live_id", "live_n"), "alive")
+    forget(alive)
+    return left
 
 
 def _decode(column: pa.ChunkedArray) -> list[np.ndarray]:
@@ -175,7 +181,7 @@ def link_sets(
     classes = digests.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
     counts_of = shingle_counts(docs, words_per_shingle)
     beginnings = staged(set_beginnings(docs, words_per_shingle, percent, counts_of), "beginnings")
-    alive = staged(_still_shared(beginnings, percent), "alive")
+    alive = _still_shared(beginnings, percent)
 
     # only the representative of each class goes on
     digest_of = digests.join(
@@ -183,9 +189,12 @@ def link_sets(
         (F.col("n") == F.col("c_n")) & (F.col("s1") == F.col("c_s1")) & (F.col("s2") == F.col("c_s2")),
     )
     reps = digest_of.filter("doc_id = rep").select(F.col("doc_id").alias("rep_id"), F.col("n").alias("rep_n")).distinct()
-    alive = alive.join(reps, (F.col("doc_id") == F.col("rep_id")) & (F.col("n") == F.col("rep_n"))).drop("rep_id", "rep_n")
+    is_rep = (F.col("doc_id") == F.col("rep_id")) & (F.col("n") == F.col("rep_n"))
+    of_reps = staged(alive.join(reps, is_rep).drop("rep_id", "rep_n"), "alive-reps")
+    forget(alive)
+    alive = of_reps
     for _ in range(ROUNDS):  # what one round drops can leave others alone
-        alive = staged(_still_shared(staged(alive, "alive-reps"), percent), "alive")
+        alive = _still_shared(alive, percent)
 
     ids = staged(alive.select(F.col("doc_id").alias("live_id")).distinct(), "live-ids")
     live = docs.join(broadcast_if_small(ids, MAX_BROADCAST_IDS), F.col("doc_id") == F.col("live_id"), "left_semi")
