@@ -82,8 +82,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def forget(df: DataFrame) -> None:
-    """Delete a staged table that nothing reads any more."""
+    """Delete a staged table that nothing reads any more.
+
+    The collection lets Spark's cleaner delete the shuffle files of finished jobs, too.
+    """
     _delete(df.sparkSession, df._staged_path)
+    df.sparkSession._jvm.System.gc()
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

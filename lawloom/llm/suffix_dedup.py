@@ -115,7 +115,7 @@ def deal_anchors(docs: DataFrame, length: int, parts: int) -> DataFrame:
             for own, data in zip(_own_ids(batch.column(0)), _texts(batch.column(1)), strict=True):
                 if len(data) >= length:
                     grams, anchor = anchor_of_strings(data, length)
-                    at = np.unique(anchor)
+                    at = anchor[np.append(True, anchor[1:] != anchor[:-1])]  # anchors never go back
                     hashes.append(grams[at])
                     places.append(at)
                     ids.append(np.full(len(at), own))
@@ -182,15 +182,24 @@ _STRETCHES = "batch string, part long, texts binary, lengths binary, lows binary
 _DEALT_BYTES = 1 << 22
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 ... base ** (n - 1) modulo 2 ** 64, kept for the next call."""
+    if len(_POWERS.get(base, ())) < n:
+        factors = np.full(n, np.uint64(base))
+        factors[:1] = 1
+        _POWERS[base] = np.multiply.accumulate(factors)
+    return _POWERS[base][:n]
+
+
 def _stretch_hashes(text: np.ndarray, first: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
     """128 bits that name the bytes of each stretch."""
     out = []
     for salt in (0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47):
-        base = np.full(len(text), np.uint64(salt | 1))
-        base[:1] = 1
-        powers = np.multiply.accumulate(base)
-        base[1:] = np.uint64(pow(salt | 1, -1, 1 << 64))
-        inverse = np.multiply.accumulate(base)
+        powers = _powers(salt | 1, len(text))
+        inverse = _powers(pow(salt | 1, -1, 1 << 64), len(text))
         sums = np.zeros(len(text) + 1, dtype=np.uint64)
         np.cumsum(mix64(_BYTE_KEYS ^ np.uint64(salt))[text] * powers, out=sums[1:])
         out.append(mix64((sums[end] - sums[first]) * inverse[first] + (end - first).astype(np.uint64)))
@@ -344,14 +353,35 @@ def lowest_ids(text: np.ndarray, starts: np.ndarray, ids: np.ndarray, length: in
     return best
 
 
+def _counted(counts: np.ndarray) -> np.ndarray:
+    """0 ... counts[0] - 1, 0 ... counts[1] - 1, ..."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _string_starts(lengths: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the starts of all strings of stretches that lie one after the other, the first string of each stretch)"""
+    begin = np.cumsum(lengths) - lengths
+    return np.repeat(begin, counts) + _counted(counts), np.cumsum(counts) - counts
+
+
 def _sort_part(length: int):
     def sort(group: pa.Table) -> pa.Table:
         text, lengths, lows = (join_packed(group[c]) for c in ("texts", "lengths", "lows"))
         lengths = lengths.astype(np.int64)
         counts = lengths - length + 1  # strings of each stretch
         begin = np.cumsum(lengths) - lengths
-        starts = np.repeat(begin - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        best = lowest_ids(text, starts, np.repeat(lows, counts), length)
+        # stretches that several batches have are sorted once, with their lowest id
+        one, two = _stretch_hashes(text, begin, begin + lengths)
+        order = np.lexsort((two, one))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+        heads = np.flatnonzero(new)
+        lead, lowest = order[heads], np.minimum.reduceat(lows[order], heads)
+        which = np.empty(len(order), dtype=np.int64)
+        which[order] = np.cumsum(new) - 1
+        places, place = _string_starts(lengths[lead], counts[lead])
+        found = lowest_ids(_pieces(text, begin[lead], lengths[lead]), places, np.repeat(lowest, counts[lead]), length)
+        best = found[np.repeat(place[which], counts) + _counted(counts)]
         of_row = np.add.reduceat(counts, np.cumsum([0] + [len(unpack(b.as_py())) for b in group["lengths"]][:-1]))
         cut = np.cumsum(of_row)[:-1]
         answers = [pack(x) for x in np.split(best, cut)]
@@ -404,13 +434,14 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
         .select("keys", "ids", "places", "low", "high")
         .mapInArrow(_shared_anchors, "anchor_id long, place int")
     )
-    flags = staged(flags, "shared-anchors")
+    shared = staged(flags, "shared-anchors")
     forget(dealt)
     flags = (
-        flags.groupBy("anchor_id").agg(F.collect_list("place").alias("anchors"))
+        shared.groupBy("anchor_id").agg(F.collect_list("place").alias("anchors"))
     )
     marked = plain.join(flags, F.col("id") == F.col("anchor_id")).select("id", "text", "anchors")
     stretches = staged(deal_stretches(marked, length, parts), "stretches")
+    forget(shared)
     best = stretches.select("batch", "part", "texts", "lengths", "lows").groupBy("part").applyInArrow(
         _sort_part(length), "batch string, part long, best binary"
     )
@@ -428,7 +459,9 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
             columns = [batch.column(0), batch.column(1), pa.array(spans, pa.list_(place))]
             yield pa.RecordBatch.from_arrays(columns, ["span_id", "tag", "spans"])
 
-    return map_texts(collected, merge, "span_id long, tag long, spans array<struct<first: bigint, end: bigint>>")
+    spans = staged(map_texts(collected, merge, "span_id long, tag long, spans array<struct<first: bigint, end: bigint>>"), "spans")
+    forget(stretches)
+    return spans
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -448,7 +481,7 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
         raise ValueError(f"strings of at least {2 * GRAM} bytes, not {length}")
     docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans")
     id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID))
-    spans = staged(repeated_spans(docs.select(id_.alias("id"), text_or_empty("text").alias("text")), length), "spans")
+    spans = repeated_spans(docs.select(id_.alias("id"), text_or_empty("text").alias("text")), length)
 
     def cut(batches):
         for batch in batches:
