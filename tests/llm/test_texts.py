@@ -387,6 +387,45 @@ def test_license_similarity_is_the_cosine(spark):
     assert {r.similarity for r in licenses.best_templates(docs, templates).collect()} == best
 
 
+BSD_HEADER = """\
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:"""
+MPL_HEADER = """\
+This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
+def test_wrapped_headers_above_long_code(spark):
+    import textwrap
+
+    rng = random.Random(4)
+    code = "\n".join(f"    x{rng.randrange(999)} = f{rng.randrange(99)}(y{rng.randrange(999)}, {i})" for i in range(200))
+    full = {k: max(licenses.TEMPLATES[k], key=len) for k in ("MIT", "BSD-3-Clause", "Apache-2.0", "GPL-3.0")}
+    texts = {"BSD-3-Clause": [BSD_HEADER], "MPL-2.0": [MPL_HEADER], None: ["with or without the conditions of use"]}
+    for name, text in full.items():
+        texts.setdefault(name, []).extend("\n".join(textwrap.wrap(text, width)) for width in (36, 70))
+    rows, want = [], {}
+    for name, headers in texts.items():
+        for header in headers:
+            for mark, before in (("", ""), ("# ", ""), (" * ", "#!/bin/x\n\n/*\n"), ("// ", code + "\n")):
+                commented = "\n".join(mark + line for line in header.split("\n"))
+                rows.append((len(rows), f"{before}{commented}\n\n{code}"))
+                want[len(rows) - 1] = name
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("path", F.lit("a"))
+    got = {r.doc_id: r.license if r.origin == "own" else None for r in licenses.scan_licenses(docs).collect()}
+    assert got == want
+
+
+def test_cues_lose_no_similar_segment():
+    weights = {t: 1.0 + (i % 7) for i, t in enumerate(sorted({t for x in licenses.TEMPLATES.values() for y in x for t in licenses._terms_of(y)}))}
+    for template in licenses._weighted(licenses.TEMPLATES, weights):
+        found = licenses.cues(template, weights, 0.7)
+        rest = math.sqrt(sum(w * w for t, w in template.weights.items() if t not in found)) / template.norm
+        assert rest < 0.7 and found
+
+
 # ---- rules and lines ----
 
 
