@@ -8,6 +8,9 @@ segments of at most MAX_TOKENS tokens chooses boundaries and kinds jointly.
 
 Training maximises the conditional likelihood on at most `max_zones` stretches of text
 from at most `max_docs` documents, chosen by a hash of their ids, labelled by the rules.
+Stretches with and without a rule span have quotas of their own (CLEAN_SHARE of
+`max_zones` for those without), each drawn by a hash, so that numbers which are no
+personal data are in the sample on a table of any size.
 Rule spans are also rewritten there in the ways that the rules do not know, so that the
 field learns those. Only stretches around digits, "@" and spelt-out "dot" or "(at)" can
 hold an entity; elsewhere the best labelling is known to have none, so the program runs
@@ -29,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.common import map_texts, text_or_empty
+from lawloom.llm.common import map_texts, staged, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 20
 #: Longer training stretches are left out; searching has no such limit.
 MAX_TRAINING_TOKENS = 80
+#: Of the training stretches, those without a rule span at most: a quota of its own, whatever the size of the input.
+CLEAN_SHARE = 0.2
 
 _LOCAL_PART = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _EMAIL_TAIL = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -378,7 +383,14 @@ def fit_field(docs: DataFrame, max_docs: int = 4_000, max_zones: int = 800, seed
 
     sample = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen")).select("text")  # max_docs ids
     found = map_texts(sample, stretches, "stretch string, spans array<string>").filter(F.length("stretch") < 1000)
-    rows = found.distinct().orderBy(F.size("spans") == 0, F.xxhash64("stretch"), "stretch").limit(max_zones).collect()
+    drawn = staged(found.distinct(), "training-stretches")  # of max_docs documents
+    clean_zones = int(max_zones * CLEAN_SHARE)
+    order = (F.xxhash64("stretch"), "stretch")
+    rows = [
+        row
+        for own, quota in ((F.size("spans") > 0, max_zones - clean_zones), (F.size("spans") == 0, clean_zones))
+        for row in drawn.filter(own).orderBy(*order).limit(quota).collect()
+    ]
     parse = lambda s: (s.split(":")[0], *map(int, s.split(":")[1:]))
     return train([(r["stretch"], [parse(s) for s in r["spans"]]) for r in rows])
 

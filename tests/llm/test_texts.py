@@ -192,6 +192,17 @@ def test_personal_data_of_odd_documents(spark, odd_documents, no_documents):
     assert pii.find_personal_data(no_documents, pii.fit_field(no_documents)).count() == 0
 
 
+def test_sample_keeps_clean_stretches(spark, monkeypatch):
+    with_span = [(i, f"mail user{i}@host{i}.example.org now") for i in range(120)]
+    clean = [(1000 + i, f"order number {7_000_000 + i} shipped") for i in range(40)]
+    docs = spark.createDataFrame(with_span + clean, "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(pii, "train", lambda stretches: seen.append(stretches))
+    pii.fit_field(docs, max_zones=50)
+    kinds = Counter(bool(spans) for _, spans in seen[0])
+    assert kinds == {True: 40, False: 10}
+
+
 # ---- language model ----
 
 
