@@ -8,7 +8,10 @@ a smaller id. Strings are UTF-8 bytes, never cross documents, and may overlap.
    all documents, rule their strings out; so do anchors without a smaller or a larger id.
 2. What is left of the texts is cut into stretches of neighbouring strings with one
    anchor, and each part of the anchors gets the stretches of its own: equal strings
-   meet there. Equal stretches of a batch of documents travel once.
+   meet there. Equal stretches of a batch of documents travel once. Strings of an anchor
+   that is found more than HOT_ANCHOR times go one by one to the part of the hash of all
+   their bytes: around a common passage each document has strings of its own with an
+   anchor of the passage, which would otherwise all come to one part.
 3. A part sorts its suffixes by the difference cover {1, 2} modulo 3, as deep as needed:
    triples of 8-byte characters at sampled places are sorted and named, a recursion on
    the names doubles their reach, and the other suffixes are merged by their first bytes
@@ -16,7 +19,7 @@ a smaller id. Strings are UTF-8 bytes, never cross documents, and may overlap.
    bytes are one string, and its smallest id is known.
 4. Starts with a smaller id elsewhere become spans, and the texts are rewritten.
 
-Both exchanges pre-aggregate in the batch, so a passage of a third of all documents comes
+Both exchanges pre-aggregate in the batch, so a string of a third of all documents comes
 to its part once for every batch.
 
 Defined results: a null text is empty; rows with the same id never remove each other's
@@ -43,6 +46,8 @@ GRAM = 24
 ANCHOR_BITS = 48
 #: Grams of text and stretches per part, about.
 PART_BYTES = 1 << 22
+#: An anchor found more often is dealt by whole strings; the parts of rarer ones stay bounded.
+HOT_ANCHOR = 1 << 14
 _NULL_ID = (1 << 63) - 1
 _BYTE_KEYS = np.random.default_rng(977).integers(1, 1 << 63, 256, dtype=np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -103,7 +108,7 @@ def _batch_name(made: int) -> str:
     return f"{TaskContext.get().partitionId()}-{made}"
 
 
-_ANCHORS = "batch string, part long, hashes binary, lows binary, highs binary, keys binary, ids binary, places binary"
+_ANCHORS = "batch string, part long, hashes binary, lows binary, highs binary, counts binary, keys binary, ids binary, places binary"
 
 
 def deal_anchors(docs: DataFrame, length: int, parts: int) -> DataFrame:
@@ -129,19 +134,20 @@ def deal_anchors(docs: DataFrame, length: int, parts: int) -> DataFrame:
                     starts, ends = runs(h)
                     key = np.repeat(np.arange(len(starts), dtype=np.uint32), ends - starts)
                     # the highest id as its distance from the lowest, which is mostly 0
-                    blobs = (h[starts], i[starts], i[ends - 1] - i[starts], key, i, places[a:b])
+                    times = (ends - starts).astype(np.uint32)
+                    blobs = (h[starts], i[starts], i[ends - 1] - i[starts], times, key, i, places[a:b])
                     rows.append((_batch_name(made), int(h[0] % np.uint64(parts)), *(pack(x) for x in blobs)))
-            yield to_batch(rows, ["batch", "part", "hashes", "lows", "highs", "keys", "ids", "places"])
+            yield to_batch(rows, ["batch", "part", "hashes", "lows", "highs", "counts", "keys", "ids", "places"])
 
     return map_texts(docs, deal, _ANCHORS)
 
 
 def _extremes(group: pa.Table) -> pa.Table:
-    """Lowest and highest id of every hash of a part, in the order of each batch's hashes.
+    """Lowest and highest id of every hash of a part, in the order of each batch's hashes, and the hot ones.
 
     0 and 0 for a hash of one document; a highest id is never 0.
     """
-    hashes, lows, highs = (join_packed(group[c]) for c in ("hashes", "lows", "highs"))
+    hashes, lows, highs, counts = (join_packed(group[c]) for c in ("hashes", "lows", "highs", "counts"))
     highs = lows + highs
     order = np.argsort(hashes, kind="stable")
     starts, ends = runs(hashes[order])
@@ -150,6 +156,8 @@ def _extremes(group: pa.Table) -> pa.Table:
     low = np.minimum.reduceat(lows[order], starts)[which]
     high = np.maximum.reduceat(highs[order], starts)[which]
     low, high = np.where(low < high, low, np.uint64(0)), np.where(low < high, high, np.uint64(0))
+    times = np.add.reduceat(counts[order].astype(np.int64), starts)[which]
+    hot = np.where(times > HOT_ANCHOR, hashes, np.uint64(0))
     cut = np.cumsum([len(unpack(b.as_py())) for b in group["hashes"]])[:-1]
     return pa.table(
         {
@@ -157,19 +165,26 @@ def _extremes(group: pa.Table) -> pa.Table:
             "part": group["part"],
             "low": pa.array([pack(x) for x in np.split(low, cut)], pa.binary()),
             "high": pa.array([pack(x) for x in np.split(high, cut)], pa.binary()),
+            "hot": pa.array([pack(x) for x in np.split(hot, cut)], pa.binary()),
         }
     )
 
 
 def _shared_anchors(batches):
-    """(id, place) of the anchors that documents with a smaller or a larger id have, too."""
+    """(id, place, hot) of the anchors that documents with a smaller or a larger id have, too.
+
+    hot: the hash, if the anchor is dealt by whole strings. A place would not do, since rows
+    with one id can have several texts.
+    """
     for batch in batches:
-        for keys, ids, places, low, high in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+        for keys, ids, places, high, hot in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
             key, own, place = unpack(keys), unpack(ids), unpack(places)
             kept = unpack(high)[key] > 0  # then another document has it
             back = (own[kept] ^ np.uint64(1 << 63)).view(np.int64)
+            hashes = unpack(hot)[key][kept].astype(np.int64)  # of ANCHOR_BITS
             yield pa.RecordBatch.from_arrays(
-                [pa.array(back), pa.array(place[kept].astype(np.int32))], ["anchor_id", "place"]
+                [pa.array(back), pa.array(place[kept].astype(np.int32)), pa.array(hashes, mask=hashes == 0)],
+                ["anchor_id", "place", "hot"],
             )
 
 
@@ -239,14 +254,17 @@ def _dealt(name: str, texts, firsts, ends, ids, tags, anchors, parts: int) -> pa
 def deal_stretches(docs: DataFrame, length: int, parts: int) -> DataFrame:
     """Per batch and part: distinct stretches with their lowest id, and where they are.
 
-    docs: (id, text, anchors), anchors being the places of those that other documents have.
+    docs: (id, text, anchors, hot), anchors being the places of those that other documents
+    have, hot the hashes of those that are dealt by whole strings.
     """
 
     def deal(batches):
         for made, batch in enumerate(batches):
             texts, firsts, ends, ids, tags, anchors, size = [], [], [], [], [], [], 0
-            for own, data, marked in zip(_own_ids(batch.column(0)), _texts(batch.column(1)), batch.column(2), strict=True):
+            columns = _own_ids(batch.column(0)), _texts(batch.column(1)), batch.column(2), batch.column(3)
+            for own, data, marked, common in zip(*columns, strict=True):
                 places = marked.values.to_numpy(zero_copy_only=False)
+                hot = common.values.to_numpy(zero_copy_only=False).astype(np.uint64)
                 if not len(places) or len(data) < length:
                     continue
                 grams, anchor = anchor_of_strings(data, length)
@@ -257,6 +275,12 @@ def deal_stretches(docs: DataFrame, length: int, parts: int) -> DataFrame:
                     continue
                 new = np.ones(len(starts), dtype=bool)
                 new[1:] = (np.diff(starts) > 1) | (np.diff(anchor[starts]) != 0)
+                key = grams[anchor[starts]]
+                if len(hot):
+                    alone = np.isin(key, hot)
+                    new |= alone
+                    new[1:] |= alone[:-1]
+                    key[alone] = _stretch_hashes(data, starts[alone], starts[alone] + length)[0]
                 first = starts[new]
                 last = starts[np.append(new[1:], True)]
                 texts.append(data)
@@ -264,7 +288,7 @@ def deal_stretches(docs: DataFrame, length: int, parts: int) -> DataFrame:
                 ends.append(last + length + size)
                 ids.append(np.full(len(first), own))
                 tags.append(np.full(len(first), zlib.crc32(data.tobytes()), dtype=np.uint32))
-                anchors.append(grams[anchor[first]])
+                anchors.append(key[new])
                 size += len(data)
                 if size > _DEALT_BYTES:
                     yield _dealt(_batch_name(made) + f"-{size}-{own}", texts, firsts, ends, ids, tags, anchors, parts)
@@ -426,20 +450,20 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     size = plain.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     parts = int(size // PART_BYTES) + 1
     dealt = staged(deal_anchors(plain, length, parts), "anchors")
-    extremes = dealt.select("batch", "part", "hashes", "lows", "highs").groupBy("part").applyInArrow(
-        _extremes, "batch string, part long, low binary, high binary"
+    extremes = dealt.select("batch", "part", "hashes", "lows", "highs", "counts").groupBy("part").applyInArrow(
+        _extremes, "batch string, part long, low binary, high binary, hot binary"
     )
     flags = (
         dealt.select("batch", "part", "keys", "ids", "places").join(extremes, ["batch", "part"])
-        .select("keys", "ids", "places", "low", "high")
-        .mapInArrow(_shared_anchors, "anchor_id long, place int")
+        .select("keys", "ids", "places", "high", "hot")
+        .mapInArrow(_shared_anchors, "anchor_id long, place int, hot long")
     )
     shared = staged(flags, "shared-anchors")
     forget(dealt)
     flags = (
-        shared.groupBy("anchor_id").agg(F.collect_list("place").alias("anchors"))
+        shared.groupBy("anchor_id").agg(F.collect_list("place").alias("anchors"), F.collect_set("hot").alias("hot"))
     )
-    marked = plain.join(flags, F.col("id") == F.col("anchor_id")).select("id", "text", "anchors")
+    marked = plain.join(flags, F.col("id") == F.col("anchor_id")).select("id", "text", "anchors", "hot")
     stretches = staged(deal_stretches(marked, length, parts), "stretches")
     forget(shared)
     best = stretches.select("batch", "part", "texts", "lengths", "lows").groupBy("part").applyInArrow(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -170,6 +171,35 @@ def test_suffix_dedup_of_odd_documents(spark, odd_documents, no_documents):
         suffix_dedup.remove_repeats(no_documents, length=20)
 
 
+def test_a_common_passage_is_spread_over_the_parts(spark, monkeypatch):
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage = word(60)
+    texts = [(i, f"{word(70)}{passage}{word(70)}") for i in range(150)] + [(7, f"{passage}{word(20)}"), (7, word(90))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    largest, deal = {}, suffix_dedup.deal_stretches
+
+    def counted(marked, length, parts):
+        dealt = deal(marked, length, parts).cache()
+        by_part = Counter()
+        for r in dealt.select("part", "lengths").collect():
+            by_part[r.part] += len(suffix_dedup.unpack(r.lengths))
+        largest[suffix_dedup.HOT_ANCHOR] = max(by_part.values()) / sum(by_part.values())
+        return dealt
+
+    monkeypatch.setattr(suffix_dedup, "deal_stretches", counted)
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 1 << 9)
+    kept = []
+    for hot in (1 << 14, 30):
+        monkeypatch.setattr(suffix_dedup, "HOT_ANCHOR", hot)
+        rows = suffix_dedup.remove_repeats(docs).collect()
+        kept.append(sorted((r.doc_id, r.text, r.n_removed, bytes(r.kept)) for r in rows))
+    assert kept[0] == kept[1]
+    wanted = dict(zip(texts, brute.removed(texts), strict=True))
+    assert all((removed, raw) == (wanted[i, text][1], wanted[i, text][3]) for i, text, removed, raw in kept[1] if i != 7)
+    assert largest[1 << 14] > 0.2 > 5 * largest[30] / 2
+
+
 # ---- decontamination ----
 
 
