@@ -1,4 +1,4 @@
-"""Exact substring deduplication with a distributed difference-cover suffix sort.
+"""Exact substring deduplication: strings grouped by anchors and difference-cover names.
 
 A byte goes if it lies in a string of `length` bytes that also starts in a document with
 a smaller id. Strings are UTF-8 bytes, never cross documents, and may overlap.
@@ -12,11 +12,11 @@ a smaller id. Strings are UTF-8 bytes, never cross documents, and may overlap.
    that is found more than HOT_ANCHOR times go one by one to the part of the hash of all
    their bytes: around a common passage each document has strings of its own with an
    anchor of the passage, which would otherwise all come to one part.
-3. A part sorts its suffixes by the difference cover {1, 2} modulo 3, as deep as needed:
-   triples of 8-byte characters at sampled places are sorted and named, a recursion on
-   the names doubles their reach, and the other suffixes are merged by their first bytes
-   and the name that follows. Neighbours in the order with equal prefixes of `length`
-   bytes are one string, and its smallest id is known.
+3. A part groups its strings by names at the places of the difference cover {1, 2} modulo
+   3: triples of 8-byte characters are sorted and named, and names are doubled once, to 48
+   bytes. Of a string or the places one or two behind, one is sampled; three sorts, by that
+   shift, of the name and the bytes around it bring equal strings together, with their
+   smallest id. There is no order of suffixes beyond `length` bytes, and none is needed.
 4. Starts with a smaller id elsewhere become spans, and the texts are rewritten.
 
 Both exchanges pre-aggregate in the batch, so a string of a third of all documents comes
@@ -299,7 +299,7 @@ def deal_stretches(docs: DataFrame, length: int, parts: int) -> DataFrame:
     return map_texts(docs, deal, _STRETCHES)
 
 
-# ---- the suffix sort of a part ----
+# ---- the strings of a part ----
 
 
 def _ranks(key: np.ndarray) -> np.ndarray:
@@ -324,7 +324,7 @@ def lowest_ids(text: np.ndarray, starts: np.ndarray, ids: np.ndarray, length: in
     """For each start, the smallest id among the starts with the same `length` bytes.
 
     Difference cover {1, 2} modulo 3: of two starts, or of the places one or two behind
-    both, one pair is sampled; so all equal strings meet in one of three merges.
+    both, one pair is sampled; so all equal strings meet in one of three sorts.
     """
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
@@ -347,7 +347,7 @@ def lowest_ids(text: np.ndarray, starts: np.ndarray, ids: np.ndarray, length: in
     at = sampled((0, reach))
     names = np.zeros(len(padded), dtype=np.uint64)
     names[at] = _named([character[at], character[at + 8], character[at + 16]])
-    # recursion: the name of two names reaches twice as far; 24 is a multiple of 3
+    # the name of two names reaches twice as far; 24 is a multiple of 3
     at = sampled((0,))
     ranks = np.zeros(len(padded), dtype=np.uint64)
     ranks[at] = _named([names[at], names[at + reach]])
@@ -362,7 +362,7 @@ def lowest_ids(text: np.ndarray, starts: np.ndarray, ids: np.ndarray, length: in
             out.append(number)
         return out
 
-    # merges: the bytes before the name, the name of 48 bytes, the bytes after it
+    # sorts: the bytes before the name, the name of 48 bytes, the bytes after it
     best = ids.copy()
     for shift in (0, 1, 2):
         mine = np.flatnonzero((starts + shift) % 3 != 0)
