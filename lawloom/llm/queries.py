@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lawloom.llm import bpe, importance, periodic_runs
 from lawloom.llm import suffix_dedup, ngram_lm, licenses, pii, decontaminate, jaccard_join, line_dedup, mixing, quality, quality_rules
-from lawloom.llm.common import crc_fold, table
+from lawloom.llm.common import crc_fold, table, words
 
 
 def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,6 +210,109 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone)
 FROM marked GROUP BY doc_id
 """
 
+
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents with 20 words or more, drawn to be like the benchmark's texts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, table(spark, sf_dir, "benchmark").select("text"))
+
+
+OP11_SQL = r"""
+WITH steps AS (
+  SELECT i, list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+  FROM range(256) t(i)
+), crc_table AS (SELECT list(c ORDER BY i) AS tab FROM steps),
+texts AS (
+  SELECT 'd' AS side, doc_id, text FROM documents UNION ALL SELECT 'b', NULL, text FROM benchmark
+), split AS (
+  SELECT side, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts
+), occurrences AS (
+  SELECT side, doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]))) AS feature
+  FROM split
+), counted AS (SELECT side, doc_id, feature, count(*) AS n FROM occurrences GROUP BY ALL),
+hashed AS (
+  SELECT feature, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(range(1, length(hex(feature)), 2),
+      lambda k: CAST('0x' || substr(hex(feature), k, 2) AS BIGINT))),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+  FROM (SELECT DISTINCT feature FROM counted), crc_table
+), placed AS (SELECT * FROM counted JOIN hashed USING (feature)),
+by_bucket AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t FROM placed GROUP BY bucket
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+    / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM by_bucket
+), weighed AS (
+  SELECT doc_id, sum(n) AS n_features, sum(n * gain) AS total
+  FROM placed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY doc_id
+), scored AS (
+  SELECT split.doc_id, len(w) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features,
+    CAST(coalesce((total - (total % n_features + n_features) % n_features) // n_features, 0) AS BIGINT) AS weight,
+    CAST(('0x' || substr(sha256('7:' || CAST(split.doc_id AS VARCHAR)), 1, 8)) AS BIGINT) AS h
+  FROM split LEFT JOIN weighed USING (doc_id) WHERE side = 'd'
+), noised AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM scored
+), places AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, 25 * count(*) OVER () // 100 AS wanted
+  FROM noised WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= wanted THEN CAST(place AS BIGINT) END AS rank
+FROM noised LEFT JOIN places USING (doc_id)
+"""
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by crc32 of its id (a null id counts as ''), gets a tail that repeats itself."""
+    hashed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    split = docs.select("doc_id", "text", F.when(hashed % 10 == 0, words(F.col("text"))).alias("_words"), F.floor(hashed / 10).alias("_g"))
+    placed = split.withColumn("_n", F.size("_words")).withColumn("_a", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")))
+    placed = placed.withColumn("_p", F.floor((F.col("_n") - F.col("_a")) / (3 + F.col("_g") % 8)) + 1)
+    tail = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("_n") - F.col("_a") - 1),
+        lambda k: F.get("_words", (F.col("_a") + k % F.col("_p")).cast("int")),
+    )
+    changed = F.array_join(F.concat(F.slice("_words", F.lit(1), F.col("_a").cast("int")), tail), " ")
+    return placed.select("doc_id", F.when(F.col("_n") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, tails planted in every tenth, and the text without repeats."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.find_runs(with_periodic_tails(docs))
+    listed = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    ranked = F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period")))
+    longest = F.array_min(ranked)
+    length, period = -longest["shorter"], longest["period"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        longest["start"].alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and the text they decode to."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode_documents(docs, bpe.ByteBPE.from_file(public_tokenizers.path("byte_bpe_50k.json")))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 ENTRIES = {
     "op6_suffix_dedup": (op6_suffix_dedup, None),
     "op2_lm_scoring": (op2_lm_scoring, None),
@@ -220,4 +324,7 @@ ENTRIES = {
     "op7_mix_sources": (op7_mix_sources, OP7_SQL),
     "op9_quality_rules": (op9_quality_rules, OP9_SQL),
     "op10_line_dedup": (op10_line_dedup, OP10_SQL),
+    "op11_importance_resampling": (op11_importance_resampling, OP11_SQL),
+    "op12_periodic_runs": (op12_periodic_runs, None),
+    "op13_byte_bpe": (op13_byte_bpe, None),
 }
