@@ -1,9 +1,13 @@
+from lawloom.sinks.commits import CommitLog, LostRaceError
 from lawloom.sinks.files import remove, shared_dir, write_json, write_parquet
 from lawloom.sinks.responses import read_responses, store_responses
-from lawloom.sinks.snapshots import LostRaceError, create_tables, latest_version, read_table, upsert, vacuum
+from lawloom.sinks.snapshots import bucket_folders, compact, create_tables, latest_version, read_table, upsert, vacuum
 
 __all__ = [
+    "CommitLog",
     "LostRaceError",
+    "bucket_folders",
+    "compact",
     "create_tables",
     "latest_version",
     "read_responses",

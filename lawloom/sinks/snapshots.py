@@ -1,95 +1,168 @@
-"""Result tables as Parquet snapshots.
+"""Result tables as versions of hash buckets in Parquet.
 
-A table is a folder: every attempt to write it has a data folder of its own, and a
-version is published by creating its entry in `_versions`, which holds the name of the
-data folder. Only one writer can create an entry. A writer that fails, or loses that
-race, leaves a data folder that nobody reads; `vacuum` removes those.
+A table's rows are dealt to buckets by a hash of key columns. A version is an entry of
+the log in `_versions`: it lists the data folders of every bucket. An upsert reads and
+writes the buckets of its keys only, into a folder of its own, and publishes an entry
+that names this folder for those buckets and the folders of the version before for all
+others. A writer that fails, or loses the race for the next version, leaves a data
+folder that nobody reads; `vacuum` removes those.
+
+How many buckets: so that one of them holds about a gigabyte. An update then costs the
+buckets it touches, and an ignoring insert the keys of these buckets and its new rows.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Iterable
-from typing import Literal
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, field
+from typing import Any, Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lawloom.operators.contracts import check_contract, conform
-from lawloom.operators.merge import merge_tables
+from lawloom.operators.merge import merge_tables, new_rows
 from lawloom.schemas import TABLES, Table
+from lawloom.sinks.commits import CommitLog, LostRaceError, hadoop_path
 
+__all__ = [
+    "LostRaceError",
+    "bucket_folders",
+    "compact",
+    "create_tables",
+    "latest_version",
+    "read_table",
+    "upsert",
+    "vacuum",
+]
 
-class LostRaceError(RuntimeError):
-    """Another writer published the same version first; nothing was changed."""
+_BUCKET = "_bucket"
 
 
-def _folder(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+@dataclass(frozen=True)
+class Manifest:
+    """A version: the folders of each bucket, relative to the table's, and the last batch of each named writer."""
 
+    buckets: int = 1
+    bucket_by: tuple[str, ...] = ()
+    folders: dict[int, tuple[str, ...]] = field(default_factory=dict)
+    batches: dict[str, int] = field(default_factory=dict)
 
-def _versions(spark: SparkSession, root: str, table: Table, published: bool = True) -> list[int]:
-    """Published versions; or all that have an entry, empty ones of failed writers too."""
-    fs, folder = _folder(spark, f"{root}/{table.name}/_versions")
-    if not fs.exists(folder):
-        return []
-    entries = [(s.getPath().getName(), s.getLen()) for s in fs.listStatus(folder)]
-    return sorted(int(name) for name, size in entries if name.isdigit() and (size or not published))
+    @classmethod
+    def parse(cls, text: str) -> Manifest:
+        if not text.startswith("{"):  # a version of one bucket, written before there were several
+            return cls(folders={0: (text,)})
+        read = json.loads(text)
+        folders = {int(b): tuple(parts) for b, parts in read["folders"].items()}
+        return cls(read["buckets"], tuple(read["bucket_by"]), folders, read["batches"])
 
+    def content(self) -> dict[str, Any]:
+        return {"buckets": self.buckets, "bucket_by": self.bucket_by, "folders": self.folders, "batches": self.batches}
 
-def latest_version(spark: SparkSession, root: str, table: Table) -> int | None:
-    return max(_versions(spark, root, table), default=None)
+    def bucket(self, table: Table) -> Column:
+        return F.pmod(F.xxhash64(*(self.bucket_by or table.keys)), F.lit(self.buckets)).cast("int")
 
 
-def _entry(root: str, table: Table, version: int) -> str:
-    return f"{root}/{table.name}/_versions/{version:08d}"
+def _log(spark: SparkSession, root: str, table: Table) -> CommitLog:
+    return CommitLog(spark, f"{root}/{table.name}/_versions")
 
 
-def _data_folder(spark: SparkSession, root: str, table: Table, version: int) -> str:
-    fs, entry = _folder(spark, _entry(root, table, version))
-    stream = fs.open(entry)
-    try:
-        name = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return f"{root}/{table.name}/{name}"
+def _manifest(log: CommitLog, version: int | None) -> Manifest | None:
+    return None if version is None else Manifest.parse(log.read(version))
 
 
-def _publish(spark: SparkSession, root: str, table: Table, version: int, name: str) -> None:
-    fs, entry = _folder(spark, _entry(root, table, version))
-    try:
-        stream = fs.create(entry, False)  # fails if the entry is there
-    except Exception as exc:
-        if fs.exists(entry):
-            raise LostRaceError(f"version {version} of {table.name} was published by another writer") from exc
-        raise
-    try:
-        stream.write(bytearray(name.encode()))
-    finally:
-        stream.close()
+def _publish(spark: SparkSession, root: str, table: Table, version: int, manifest: Manifest) -> None:
+    _log(spark, root, table).publish(version, manifest.content())
 
 
-def _write(spark: SparkSession, root: str, table: Table, version: int, rows: DataFrame) -> None:
-    name = f"data-{version:08d}-{uuid.uuid4().hex}"
-    rows.write.parquet(f"{root}/{table.name}/{name}")
-    _publish(spark, root, table, version, name)
+def latest_version(spark: SparkSession, root: str, table: Table) -> int | None:
+    return _log(spark, root, table).state().latest
 
 
-def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    """Current rows of a table; no rows when it was never written."""
-    version = latest_version(spark, root, table)
-    if version is None:
+def bucket_folders(spark: SparkSession, root: str, table: Table, version: int | None = None) -> dict[int, tuple[str, ...]]:
+    """The folders, relative to the table's, that hold each bucket in a version (the latest, if none is given)."""
+    log = _log(spark, root, table)
+    manifest = _manifest(log, log.state().latest if version is None else version)
+    return manifest.folders if manifest else {}
+
+
+def _read(spark: SparkSession, root: str, table: Table, folders: Iterable[str]) -> DataFrame:
+    paths = [f"{root}/{table.name}/{name}" for name in folders]
+    if not paths:
         return spark.createDataFrame([], table.schema)
-    return spark.read.schema(table.schema).parquet(_data_folder(spark, root, table, version))
+    return spark.read.schema(table.schema).parquet(*paths)
+
 
+def read_table(spark: SparkSession, root: str, table: Table, version: int | None = None) -> DataFrame:
+    """Rows of a table, of the latest version if none is given; no rows when it was never written."""
+    folders = bucket_folders(spark, root, table, version)
+    return _read(spark, root, table, [name for parts in folders.values() for name in parts])
 
-def create_tables(spark: SparkSession, root: str, tables: Iterable[Table] = tuple(TABLES.values())) -> None:
-    """Write an empty first version of every table that does not exist."""
+
+def create_tables(
+    spark: SparkSession,
+    root: str,
+    tables: Iterable[Table] = tuple(TABLES.values()),
+    buckets: int = 1,
+    bucket_by: Sequence[str] = (),
+) -> None:
+    """Publish an empty first version of every table that does not exist.
+
+    `bucket_by` are the key columns that name the bucket, all of the key if none are
+    given: with the leading one, rows that come together lie together, but a value with
+    very many rows makes a large bucket.
+    """
+    if buckets < 1:
+        raise ValueError("a table has one bucket at least")
     for table in tables:
-        if latest_version(spark, root, table) is None:
-            version = max(_versions(spark, root, table, published=False), default=-1) + 1
-            _write(spark, root, table, version, spark.createDataFrame([], table.schema))
+        if not set(bucket_by) <= set(table.keys):
+            raise ValueError(f"{table.name}: buckets are named by key columns")
+        log = _log(spark, root, table)
+        state = log.state()
+        if state.latest is None:
+            _publish(spark, root, table, state.following, Manifest(buckets, tuple(bucket_by)))
+
+
+def _write(spark: SparkSession, root: str, table: Table, version: int, manifest: Manifest, rows: DataFrame) -> dict[int, str]:
+    """Write rows into a data folder of their own; the folder of each bucket that has rows."""
+    name = f"data-{version:08d}-{uuid.uuid4().hex}"
+    path = f"{root}/{table.name}/{name}"
+    if manifest.buckets == 1:
+        rows.write.parquet(path)
+        return {0: name}
+    # Rebalanced, a small bucket is one file and a large one is split into several.
+    dealt = rows.withColumn(_BUCKET, manifest.bucket(table)).hint("rebalance", F.col(_BUCKET))
+    dealt.write.partitionBy(_BUCKET).parquet(path)
+    fs, folder = hadoop_path(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return {int(n.split("=")[1]): f"{name}/{n}" for n in names if n.startswith(f"{_BUCKET}=")}
+
+
+def _merge_once(
+    spark: SparkSession, root: str, table: Table, staged: DataFrame, mode: str, batch: tuple[str, int] | None
+) -> bool:
+    """Merge staged rows into the version that is the latest now; False if the batch is in it already."""
+    log = _log(spark, root, table)
+    state = log.state()
+    manifest = _manifest(log, state.latest) or Manifest()
+    if batch and manifest.batches.get(batch[0], -1) >= batch[1]:
+        return False
+    touched = {0}
+    if manifest.buckets > 1:
+        found = staged.select(manifest.bucket(table).alias("b")).distinct()
+        touched = {r["b"] for r in found.collect()}  # no more rows than buckets
+    old = [name for b in sorted(touched) for name in manifest.folders.get(b, ())]
+    target = _read(spark, root, table, old)
+    adds = mode == "ignore" and manifest.buckets > 1
+    rows = new_rows(target, staged, table.keys) if adds else merge_tables(target, staged, table.keys, mode)
+    written = _write(spark, root, table, state.following, manifest, rows)
+    kept = {b: manifest.folders.get(b, ()) if adds else () for b in written}
+    folders = manifest.folders | {b: (*kept[b], name) for b, name in written.items()}
+    batches = manifest.batches | ({batch[0]: batch[1]} if batch else {})
+    _publish(spark, root, table, state.following, Manifest(manifest.buckets, manifest.bucket_by, folders, batches))
+    return True
 
 
 def upsert(
@@ -98,42 +171,79 @@ def upsert(
     table: Table,
     source: DataFrame,
     mode: Literal["update", "ignore"] = "update",
+    attempts: int = 1,
+    batch: tuple[str, int] | None = None,
 ) -> int:
     """Merge `source` into the table, all or nothing; returns the number of source rows.
 
     The source is computed once, into a staging folder; the contract check and the
     merge read the staged Parquet. No source rows: nothing is written. If another
-    writer was faster, LostRaceError is raised and the call can be repeated.
+    writer was faster, the merge is done again on its version, up to `attempts` times in
+    all; then LostRaceError is raised and the call can be repeated. `batch` is a writer's
+    name and the number of its batch: a number up to the last one merged under that name
+    changes nothing, and 0 is returned.
     """
     staging = f"{root}/{table.name}/_staging/{uuid.uuid4().hex}"
-    fs, staging_path = _folder(spark, staging)
+    fs, staging_path = hadoop_path(spark, staging)
     try:
         conform(source, table).write.parquet(staging)
         staged = spark.read.schema(table.schema).parquet(staging)
         rows = check_contract(staged, table, unique_keys=mode == "update")
-        if rows:
-            version = max(_versions(spark, root, table, published=False), default=-1) + 1
-            merged = merge_tables(read_table(spark, root, table), staged, table.keys, mode)
-            _write(spark, root, table, version, merged)
+        for attempt in range(attempts if rows else 0):
+            try:
+                return rows if _merge_once(spark, root, table, staged, mode, batch) else 0
+            except LostRaceError:
+                if attempt + 1 == attempts:
+                    raise
         return rows
     finally:
         fs.delete(staging_path, True)
 
 
+def compact(spark: SparkSession, root: str, table: Table, buckets: int | None = None) -> int:
+    """Write every bucket of several folders as one; with `buckets`, deal all rows to that many buckets.
+
+    Returns the number of buckets written; the rows stay as they are.
+    """
+    log = _log(spark, root, table)
+    state = log.state()
+    manifest = _manifest(log, state.latest)
+    if manifest is None:
+        return 0
+    if buckets in (None, manifest.buckets):
+        changed = {b: parts for b, parts in manifest.folders.items() if len(parts) > 1}
+        after = manifest
+    else:
+        changed, after = manifest.folders, Manifest(buckets, manifest.bucket_by, {}, manifest.batches)
+    if not changed and after is manifest:
+        return 0
+    rows = _read(spark, root, table, [name for parts in changed.values() for name in parts])
+    written = _write(spark, root, table, state.following, after, rows)
+    folders = after.folders | {b: (name,) for b, name in written.items()}
+    _publish(spark, root, table, state.following, Manifest(after.buckets, after.bucket_by, folders, after.batches))
+    return len(written)
+
+
 def vacuum(spark: SparkSession, root: str, table: Table, keep: int = 2) -> int:
-    """Delete the data of all but the last `keep` versions, and of failed attempts; returns the number of folders.
+    """Delete the data that is in none of the last `keep` versions, and of failed attempts; returns the number of folders.
 
     Run it while nobody writes the table or reads an older version of it.
     """
     if keep < 1:
         raise ValueError("keep at least one version")
-    fs, base = _folder(spark, f"{root}/{table.name}")
-    versions = _versions(spark, root, table)
-    kept = {_data_folder(spark, root, table, v).rsplit("/", 1)[1] for v in versions[-keep:]}
-    for version in set(_versions(spark, root, table, published=False)) - set(versions[-keep:]):
-        fs.delete(_folder(spark, _entry(root, table, version))[1], False)
-    gone = [s.getPath() for s in fs.listStatus(base) if s.getPath().getName().startswith("data-")] if fs.exists(base) else []
-    gone = [path for path in gone if path.getName() not in kept]
+    log = _log(spark, root, table)
+    last = log.versions()[-keep:]
+    kept = {name for v in last for parts in Manifest.parse(log.read(v)).folders.values() for name in parts}
+    log.forget(set(log.entries()) - set(last))
+    fs, base = hadoop_path(spark, f"{root}/{table.name}")
+    gone = []
+    for status in fs.listStatus(base) if fs.exists(base) else []:
+        name = status.getPath().getName()
+        if not name.startswith("data-") or name in kept:
+            continue
+        inner = [s.getPath() for s in fs.listStatus(status.getPath()) if s.getPath().getName().startswith(f"{_BUCKET}=")]
+        unused = [p for p in inner if f"{name}/{p.getName()}" not in kept]
+        gone += unused if len(unused) < len(inner) else [status.getPath()]
     for path in gone:
         fs.delete(path, True)
     return len(gone)
