@@ -10,6 +10,7 @@ from lawloom.operators.layout import (
     page_counts,
     repeated_lines,
 )
+from lawloom.operators.calls import Calls
 from lawloom.operators.merge import merge_tables, new_rows
 from lawloom.operators.model import (
     build_requests,

@@ -7,9 +7,8 @@ where Python runs on the data.
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterable, Iterator
-from typing import Any
+from collections.abc import Iterable, Iterator
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -18,11 +17,11 @@ from pyspark.sql import types as T
 
 from lawloom import rules, schemas
 from lawloom.functions.text import blank_if_null
-
-Model = Callable[[list[dict[str, str]]], Any]
+from lawloom.operators.calls import Calls, Model, ask_all
 
 RESPONSE_SCHEMA = "id BIGINT, response STRING, error STRING"
-_CALLS_PER_BATCH = 256
+#: A batch of responses is handed on when it has so many rows, or so many characters.
+_ROWS_PER_BATCH, _CHARS_PER_BATCH = 256, 1 << 22
 _ARROW_RESPONSE = pa.schema([("id", pa.int64()), ("response", pa.string()), ("error", pa.string())])
 
 
@@ -76,35 +75,37 @@ def build_requests(
 # --- model calls ------------------------------------------------------------
 
 
-def _answer(model: Model, messages: list[dict[str, str]]) -> tuple[str | None, str | None]:
-    try:
-        answer = model(messages)
-        return (answer if isinstance(answer, str) else json.dumps(answer, ensure_ascii=False)), None
-    except Exception as exc:  # a failed call is a row, not a failed job
-        return None, f"{type(exc).__name__}: {exc}"
-
+def run_model(requests: DataFrame, model: Model, max_parallel: int | None = None, calls: Calls = Calls()) -> DataFrame:
+    """(id, response, error): the model's answer to every request.
 
-def run_model(requests: DataFrame, model: Model, max_parallel: int | None = None) -> DataFrame:
-    """(id, response, error): one model call per request.
-
-    Calls run in the tasks of the stage, one at a time per task. `max_parallel`
-    caps them by spreading the requests over that many partitions.
+    Calls run in the tasks of the stage, `calls.threads` at a time in each; `calls` also
+    says how often a failed one is tried. `max_parallel` caps the calls at a time of the
+    whole job: the requests are spread over so many tasks that tasks times threads stay
+    below it (a cap under the number of threads lowers that).
 
     Spark may run a task again, so write the result once before it feeds more than
     one output (`lawloom.sinks.store_responses`).
     """
+    if max_parallel is not None:
+        calls = replace(calls, threads=min(calls.threads, max_parallel))
+        requests = requests.repartition(calls.tasks(max_parallel))
 
-    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict[str, str]]]]:
         for batch in batches:
-            for start in range(0, batch.num_rows, _CALLS_PER_BATCH):
-                rows = []
-                for row in batch.slice(start, _CALLS_PER_BATCH).to_pylist():
-                    response, error = _answer(model, row["messages"])
-                    rows.append({"id": row["id"], "response": response, "error": error})
-                yield pa.RecordBatch.from_pylist(rows, schema=_ARROW_RESPONSE)
+            for i in range(batch.num_rows):
+                yield batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, chars = [], 0
+        for key, response, error in ask_all(model, rows(batches), calls):
+            held.append({"id": key, "response": response, "error": error})
+            chars += len(response or "")
+            if len(held) >= _ROWS_PER_BATCH or chars >= _CHARS_PER_BATCH:
+                yield pa.RecordBatch.from_pylist(held, schema=_ARROW_RESPONSE)
+                held, chars = [], 0
+        if held:
+            yield pa.RecordBatch.from_pylist(held, schema=_ARROW_RESPONSE)
 
-    if max_parallel is not None:
-        requests = requests.repartition(max_parallel)
     return requests.select("id", "messages").mapInArrow(call, RESPONSE_SCHEMA)
 
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 
 from lawloom import schemas
 from lawloom.operators import model as m
+from lawloom.operators.calls import Calls
 from lawloom.operators.normalize import proposition_rows, unique_authors
 from lawloom.operators.words import default_stop_words, word_frequency
+from lawloom.sinks.files import remove, shared_dir
 from lawloom.sinks.responses import store_responses
 from lawloom.sinks.snapshots import create_tables, read_table, upsert
 from lawloom.sources.tables import texts_to_classify
@@ -27,22 +30,47 @@ def analyse(
     responses_path: str | None = None,
     rounds: int = 1,
     text_column: str = "textoInteiroTeorLimpo",
+    summary_calls: Calls = Calls(),
+    topic_calls: Calls = Calls(),
+    buckets: int = 16,
 ) -> dict[str, int]:
     """Fill the tables under `root`; returns the number of rows merged per table.
 
     Write the bills to Parquet first: they are read once per table here. Model
     responses are written once, and every later step reads them back. With
     `responses_path` they stay there, and a later run asks only for ids that have no
-    response yet. Calls use all task slots unless a `max_parallel` caps them; with a
-    cap, raise `rounds` so that a single task does not hold too many requests.
+    response yet; without it they are deleted at the end. Calls use all task slots, and
+    in each as many threads as `summary_calls` and `topic_calls` say, unless a
+    `max_parallel` caps them; with a cap, raise `rounds` so that a single task does not
+    hold too many requests. Tables that do not exist are made with so many `buckets`.
     """
+    spark = bills.sparkSession
+    kept = responses_path or f"{shared_dir(spark)}/responses-{uuid.uuid4().hex}"
+    try:
+        return _analyse(
+            bills, root, order_by, stop_words, text_column, buckets,
+            lambda questions: store_responses(
+                questions, summary_model, f"{kept}/summaries", max_parallel_summaries, rounds, summary_calls
+            ),
+            lambda questions: store_responses(questions, topic_model, f"{kept}/topics", max_parallel_topics, rounds, topic_calls),
+        )
+    finally:
+        if responses_path is None:
+            remove(spark, kept)
 
-    def ask(questions: DataFrame, model: m.Model, name: str, max_parallel: int | None) -> DataFrame:
-        path = responses_path and f"{responses_path}/{name}"
-        return store_responses(questions, model, path, max_parallel, rounds)
 
+def _analyse(
+    bills: DataFrame,
+    root: str,
+    order_by: Sequence[str],
+    stop_words: Iterable[str] | DataFrame | None,
+    text_column: str,
+    buckets: int,
+    ask_summaries: Callable[[DataFrame], DataFrame],
+    ask_topics: Callable[[DataFrame], DataFrame],
+) -> dict[str, int]:
     spark = bills.sparkSession
-    create_tables(spark, root)
+    create_tables(spark, root, buckets=buckets)
     if stop_words is None:
         stop_words = default_stop_words(spark)
 
@@ -55,12 +83,12 @@ def analyse(
     }
 
     questions = m.build_requests(bills, m.summary_instructions(), text_column=text_column)
-    parsed = m.parse_summaries(ask(questions, summary_model, "summaries", max_parallel_summaries))
+    parsed = m.parse_summaries(ask_summaries(questions))
     merged["proposition_summary"] = upsert(spark, root, schemas.SUMMARY, m.summary_rows(parsed))
     merged["proposition_ner"] = upsert(spark, root, schemas.ENTITIES, m.entity_rows(parsed), mode="ignore")
 
     summaries = texts_to_classify(read_table(spark, root, schemas.SUMMARY))
     questions = m.build_requests(summaries, m.topic_instructions(), text_column="text_summary", user_prefix="proposição: ")
-    topics = m.parse_topics(ask(questions, topic_model, "topics", max_parallel_topics))
+    topics = m.parse_topics(ask_topics(questions))
     merged["proposition_topics"] = upsert(spark, root, schemas.TOPICS, m.topic_rows(topics))
     return merged

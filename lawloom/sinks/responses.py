@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.operators.model import RESPONSE_SCHEMA, Model, run_model
+from lawloom.operators.calls import Calls, Model
+from lawloom.operators.model import RESPONSE_SCHEMA, run_model
 from lawloom.sinks.files import remove, shared_dir
 
 
@@ -17,13 +18,15 @@ def store_responses(
     path: str | None = None,
     max_parallel: int | None = None,
     rounds: int = 1,
+    calls: Calls = Calls(),
 ) -> DataFrame:
     """Call the model for every request, write the responses, and return them as read back.
 
     Outputs made from the result never repeat a call. With a `path`, ids that have an
     answer there are skipped and failed ones asked again, so a job that was lost goes
     on where it stopped; `rounds` sets how many parts are written one after the other,
-    that is, how much work a lost job can cost. Without a `path`, responses are in the
+    that is, how much work a lost job can cost. `calls` says how tasks call the model
+    (see `run_model`). Without a `path`, responses are in the
     shared folder, under a name of their own, until the caller removes them.
     """
     spark = requests.sparkSession
@@ -43,7 +46,7 @@ def store_responses(
         if resumable:
             answered = read_responses(spark, path).filter("error IS NULL").select("id")
             part = part.join(answered, "id", "left_anti")
-        run_model(part, model, max_parallel).write.mode("append").parquet(path)
+        run_model(part, model, max_parallel, calls).write.mode("append").parquet(path)
     if rounds > 1:
         remove(spark, staged)
     return read_responses(spark, path) if resumable else spark.read.schema(RESPONSE_SCHEMA).parquet(path)

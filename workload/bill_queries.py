@@ -314,6 +314,44 @@ UNION ALL SELECT CAST(c_custkey AS INTEGER), c_name, 'customer', CAST(c_nationke
   WHERE c_custkey NOT IN (SELECT id FROM suppliers)"""
 
 
+def incremental_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as authors in 16 buckets, one per cent updated by their orders, and suppliers added where ids are new."""
+    root = f"{sinks.shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, root)
+    table = schemas.AUTHORS
+
+    def people(name: str, key: str, full_name: str, uf: str) -> DataFrame:
+        return si.table(spark, sf_dir, name).select(
+            F.col(key).cast("int").alias("id"),
+            F.col(full_name).alias("full_name"),
+            F.lit(name).alias("poli_party"),
+            F.col(uf).cast("string").alias("uf"),
+        )
+
+    customers = people("customer", "c_custkey", "c_name", "c_nationkey")
+    ordered = people("orders", "o_custkey", "o_orderpriority", "o_orderstatus").filter("id % 100 = 7")
+    changes = ordered.groupBy("id").agg(F.max("full_name").alias("full_name"), F.min("uf").alias("uf"))
+    suppliers = people("supplier", "s_suppkey", "s_name", "s_nationkey").withColumn("id", F.col("id") * 50)
+    sinks.create_tables(spark, root, [table], buckets=16)
+    sinks.upsert(spark, root, table, customers)
+    sinks.upsert(spark, root, table, changes.withColumn("poli_party", F.lit("orders")))
+    sinks.upsert(spark, root, table, suppliers, mode="ignore")
+    return sinks.read_table(spark, root, table)
+
+
+INCREMENTAL_UPSERTS_SQL = """
+WITH changes AS (
+  SELECT CAST(o_custkey AS INTEGER) AS id, max(o_orderpriority) AS full_name, 'orders' AS poli_party,
+         min(o_orderstatus) AS uf FROM orders WHERE o_custkey % 100 = 7 GROUP BY o_custkey),
+updated AS (
+  SELECT * FROM changes UNION ALL
+  SELECT CAST(c_custkey AS INTEGER), c_name, 'customer', CAST(c_nationkey AS VARCHAR) FROM customer
+  WHERE c_custkey NOT IN (SELECT id FROM changes))
+SELECT * FROM updated UNION ALL
+SELECT CAST(s_suppkey * 50 AS INTEGER), s_name, 'supplier', CAST(s_nationkey AS VARCHAR) FROM supplier
+  WHERE s_suppkey * 50 NOT IN (SELECT id FROM updated)"""
+
+
 def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = si.table(spark, sf_dir, "lineitem").withColumn("l_shipmode", F.nullif("l_returnflag", F.lit("R")))
     return op.contract_violations(rows, ["l_orderkey", "l_quantity", "l_shipmode"], ["l_orderkey", "l_linenumber"])
@@ -357,6 +395,7 @@ ENTRIES = {
         'SELECT event_id AS id, event_type AS "siglaTipo", value AS valor, props FROM events',
     ),
     "upsert_twice": (upsert_twice, UPSERT_TWICE_SQL),
+    "incremental_upserts": (incremental_upserts, INCREMENTAL_UPSERTS_SQL),
     "merge_update": (merge_update, MERGE_UPDATE_SQL),
     "merge_update_composite": (merge_update_composite, MERGE_COMPOSITE_SQL),
     "merge_ignore": (merge_ignore, MERGE_IGNORE_SQL),

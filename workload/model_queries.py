@@ -162,6 +162,22 @@ def enrich_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.topic_rows(op.parse_topics(op.run_model(requests, topic_model)))
 
 
+def concurrent_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics from eight calls at a time in each task, by a model that fails the first time it is asked anything."""
+    requests = op.build_requests(si.documents(spark, sf_dir), op.topic_instructions(), id_column="doc_id")
+    asked: set[str] = set()
+
+    def flaky(messages: list[dict[str, str]]) -> str:
+        content = messages[-1]["content"]
+        if content not in asked:
+            asked.add(content)
+            raise TimeoutError("busy")
+        return topic_model(messages)
+
+    calls = op.Calls(threads=8, tries=2, wait=0.001)
+    return op.topic_rows(op.parse_topics(op.run_model(requests, flaky, calls=calls)))
+
+
 def stored_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An outage first, then a healthy model: failed ids are asked again, answered ones are not."""
     path = f"{sinks.shared_dir(spark)}/responses-{uuid.uuid4().hex}"
@@ -225,4 +241,5 @@ ENTRIES = {
     "enrich_entities": (enrich_entities, ENRICH_ENTITIES_SQL),
     "enrich_topic": (enrich_topic, ENRICH_TOPIC_SQL),
     "stored_topics": (stored_topics, ENRICH_TOPIC_SQL),
+    "concurrent_topics": (concurrent_topics, ENRICH_TOPIC_SQL),
 }
