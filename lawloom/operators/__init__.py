@@ -27,12 +27,16 @@ from lawloom.operators.normalize import distinct_author_ids, proposition_rows, u
 from lawloom.operators.prepare import (
     count_rejections,
     count_stages,
+    count_steps,
     drop_fields,
     group_authors,
     has_id,
+    is_valid,
     keep_valid,
     merge_authors,
     rejection_reason,
+    watch_rejections,
+    watched_counts,
 )
 from lawloom.operators.words import default_stop_words, drop_stop_words, explode_words, word_frequency
 

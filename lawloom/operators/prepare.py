@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lawloom import rules
@@ -60,33 +60,58 @@ def rejection_reason(
     )
 
 
-def keep_valid(
-    bills: DataFrame,
+def is_valid(
     types: Iterable[str] = rules.VALID_TYPES,
     start: dt.date = rules.START_DATE,
     end: dt.date = rules.END_DATE,
     type_column: str = "siglaTipo",
     date_column: str = "dataApresentacao",
-) -> DataFrame:
-    """Bills of a valid type presented within [start, end].
+) -> Column:
+    """Whether a bill passes the rules.
 
     The type list and the year bounds are plain comparisons that the scan takes
     over; the exact date test runs on what is left.
     """
     raw_date = F.col(date_column)
-    return bills.filter(
+    return (
         F.col(type_column).isin(*types)
         & may_be_between(raw_date, start, end)
         & parse_iso_date(raw_date).between(F.lit(start), F.lit(end))
     )
 
 
+def keep_valid(bills: DataFrame, **rule: object) -> DataFrame:
+    """Bills of a valid type presented within [start, end]; the arguments are those of `is_valid`."""
+    return bills.filter(is_valid(**rule))
+
+
 def count_rejections(bills: DataFrame, **rule: object) -> DataFrame:
     """(reason, n) over all bills in one pass; kept bills have the reason 'ok'."""
     reason = F.coalesce(rejection_reason(**rule), F.lit("ok"))
     return bills.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
 
 
+#: Every outcome of the rules: kept, and the reasons in the order in which they are tested.
+REASONS = ("ok", "tipo", "vazia", "data")
+
+
+def watch_rejections(bills: DataFrame, **rule: object) -> tuple[DataFrame, Observation]:
+    """The bills, and their outcomes counted by the job that reads them.
+
+    Put the result right before the filter and write that at once: in the stage that
+    writes, a task that runs twice is counted once. Then see `watched_counts`.
+    """
+    reason = F.coalesce(rejection_reason(**rule), F.lit("ok"))
+    watch = Observation()
+    return bills.observe(watch, *[F.count_if(reason == r).alias(r) for r in REASONS]), watch
+
+
+def watched_counts(spark: SparkSession, watch: Observation) -> DataFrame:
+    """(reason, n), as `count_rejections` gives them; waits for the job that counts."""
+    counts = watch.get
+    return spark.createDataFrame([(r, counts[r]) for r in REASONS if counts[r]], "reason string, n long")
+
+
 def drop_fields(bills: DataFrame, fields: Iterable[str] = rules.DROPPED_FIELDS) -> DataFrame:
     """Drop the fields that exist; the others are no error."""
     return bills.drop(*fields)
@@ -99,3 +124,10 @@ def count_stages(**stages: DataFrame) -> DataFrame:
     for other in counted[1:]:
         out = out.unionByName(other)
     return out
+
+
+def count_steps(rows: DataFrame, total: str, **steps: Column) -> DataFrame:
+    """(stage, n): all rows under the name `total`, and those that meet each condition, in one pass."""
+    counts = [F.count("*").alias(total), *[F.count_if(F.coalesce(c, F.lit(False))).alias(name) for name, c in steps.items()]]
+    named = [F.struct(F.lit(name).alias("stage"), F.col(f"`{name}`").alias("n")) for name in (total, *steps)]
+    return rows.agg(*counts).select(F.inline(F.array(*named)))

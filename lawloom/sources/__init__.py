@@ -1,4 +1,23 @@
-from lawloom.sources.json_root import explode_root, explode_root_text, read_bills, read_root_json, root_schema
+from lawloom.sources.json_root import (
+    explode_root,
+    explode_root_text,
+    read_bills,
+    read_root_json,
+    read_staged_json,
+    root_elements,
+    root_schema,
+    stage_root_json,
+)
 from lawloom.sources.tables import texts_to_classify
 
-__all__ = ["explode_root", "explode_root_text", "read_bills", "read_root_json", "root_schema", "texts_to_classify"]
+__all__ = [
+    "explode_root",
+    "explode_root_text",
+    "read_bills",
+    "read_root_json",
+    "read_staged_json",
+    "root_elements",
+    "root_schema",
+    "stage_root_json",
+    "texts_to_classify",
+]

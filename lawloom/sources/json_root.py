@@ -31,6 +31,15 @@ def explode_root(
     or is an error with `require_root`. `spread` deals the elements out before they
     are parsed, for documents that are large files.
     """
+    objects = root_elements(documents, roots, require_root, keep, spread)
+    parsed = objects.select(*keep, "src_pos", F.from_json(F.to_json("_element"), schema).alias("_row"))
+    return parsed.select(*keep, "src_pos", "_row.*")
+
+
+def root_elements(
+    documents: DataFrame, roots: Sequence[str], require_root: bool = False, keep: Sequence[str] = (), spread: bool = False
+) -> DataFrame:
+    """(keep, src_pos, _element): the objects of the root arrays as variants, see `explode_root`."""
     array = F.coalesce(*[F.col(r) for r in roots])
     if require_root:
         missing = F.raise_error(F.lit("JSON document has none of the expected root keys"))
@@ -38,9 +47,7 @@ def explode_root(
     elements = documents.select(*keep, F.posexplode(array).alias("src_pos", "_element"))
     if spread:
         elements = elements.repartition(*keep, "src_pos")
-    objects = elements.filter(F.schema_of_variant("_element").startswith("OBJECT"))
-    parsed = objects.select(*keep, "src_pos", F.from_json(F.to_json("_element"), schema).alias("_row"))
-    return parsed.select(*keep, "src_pos", "_row.*")
+    return elements.filter(F.schema_of_variant("_element").startswith("OBJECT"))
 
 
 def explode_root_text(
@@ -56,6 +63,17 @@ def explode_root_text(
     return explode_root(documents.select(*keep, opened.alias("_doc")).select(*keep, "_doc.*"), roots, schema, require_root, keep)
 
 
+def _files(spark: SparkSession, path: str | list[str], roots: Sequence[str]) -> DataFrame:
+    """(src_file, one array of variants per root) of whole JSON files; a malformed or missing file fails the job."""
+    return (
+        spark.read.schema(_wrapper(roots))
+        .option("multiLine", True)
+        .option("mode", "FAILFAST")
+        .json(path)
+        .select(F.col("_metadata.file_path").alias("src_file"), *roots)
+    )
+
+
 def read_root_json(
     spark: SparkSession,
     path: str | list[str],
@@ -67,16 +85,40 @@ def read_root_json(
 
     Rows carry (`src_file`, `src_pos`), the order of the input. A multi-line file is
     opened by one task; its elements are dealt out before they are parsed. Large
-    inputs should come as many files and be converted to Parquet once.
+    inputs should come as many files and be converted to Parquet once, or be read by
+    `read_split_json`.
     """
-    files = (
-        spark.read.schema(_wrapper(roots))
-        .option("multiLine", True)
-        .option("mode", "FAILFAST")
-        .json(path)
-        .select(F.col("_metadata.file_path").alias("src_file"), *roots)
-    )
-    return explode_root(files, roots, schema, require_root, keep=("src_file",), spread=True)
+    return explode_root(_files(spark, path, roots), roots, schema, require_root, keep=("src_file",), spread=True)
+
+
+def stage_root_json(
+    spark: SparkSession, path: str | list[str], folder: str, roots: Sequence[str] = ("dados",), require_root: bool = False
+) -> None:
+    """Write the objects under the root to `folder`, one to a line, so that later passes are parallel.
+
+    The whole files are read in this pass only.
+    """
+    elements = root_elements(_files(spark, path, roots), roots, require_root, ("src_file",))
+    line = F.to_json(F.struct("src_file", "src_pos", F.col("_element").alias("row")))
+    elements.repartition("src_file", "src_pos").select(line.alias("value")).write.text(folder)
+
+
+def read_staged_json(spark: SparkSession, folder: str, base: T.StructType) -> DataFrame:
+    """`src_file`, `src_pos`, the columns of `base`, and after them every other field that a staged object has."""
+    lines = spark.read.option("mode", "FAILFAST")
+    found = lines.json(folder).schema
+    row = found["row"].dataType if "row" in found.names else T.StructType()
+    schema = T.StructType().add("src_file", T.StringType()).add("src_pos", T.IntegerType()).add("row", _with_others(base, row))
+    return spark.read.schema(schema).json(folder).select("src_file", "src_pos", "row.*")
+
+
+def _with_others(base: T.StructType, *found: T.DataType) -> T.StructType:
+    """`base`, then the fields of the other structs that it lacks."""
+    fields = {f.name: f for f in base.fields}
+    for other in found:
+        for field in other.fields if isinstance(other, T.StructType) else ():
+            fields.setdefault(field.name, field)
+    return T.StructType(list(fields.values()))
 
 
 def root_schema(
@@ -84,13 +126,8 @@ def root_schema(
 ) -> T.StructType:
     """`base` and, after it, every other field that objects under the root have, with inferred types."""
     found = spark.read.option("multiLine", True).option("mode", "FAILFAST").json(path).schema
-    fields = {f.name: f for f in base.fields}
-    for root in roots:
-        element = found[root].dataType.elementType if root in found.names and isinstance(found[root].dataType, T.ArrayType) else None
-        if isinstance(element, T.StructType):
-            for field in element.fields:
-                fields.setdefault(field.name, field)
-    return T.StructType(list(fields.values()))
+    arrays = [found[root].dataType for root in roots if root in found.names]
+    return _with_others(base, *[a.elementType for a in arrays if isinstance(a, T.ArrayType)])
 
 
 def read_bills(

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from lawloom import operators as op
 from lawloom import plans, schemas
+from lawloom.sources import json_root
 from tests.conftest import plan_of
 from workload import bill_queries, model_queries, text_queries
 
@@ -31,7 +33,7 @@ def no_broadcast(spark):
 
 def test_python_runs_only_in_model_calls(plan_by_name):
     with_python = {name for name, plan in plan_by_name.items() if "InArrow" in plan or "Python" in plan}
-    assert with_python == {"enrich_summary", "enrich_entities", "enrich_topic"}
+    assert with_python == {"enrich_summary", "enrich_entities", "enrich_topic", "concurrent_topics"}
 
 
 def test_no_cross_joins(plan_by_name):
@@ -109,3 +111,26 @@ def test_contract_check_counts_before_the_shuffle(spark):
     df = spark.createDataFrame([], "id long, topic string")
     plan = plan_of(op.contract_violations(df, ["topic"], ["id"]))
     assert plan.count("Exchange hashpartitioning") == 1 and "partial_count" in plan
+
+
+def test_stage_counts_read_the_bills_once(spark):
+    bills = op.count_steps(spark.read.parquet(f"{SF}/orders.parquet"), "bills", prepared=F.col("o_orderstatus") == "F")
+    assert plan_of(bills).count("FileScan") == 1
+
+
+@pytest.mark.parametrize("schema", [None, schemas.RAW_BILL])
+def test_prepare_files_reads_the_raw_bills_once(spark, tmp_path, monkeypatch, schema):
+    """One write reads the file: neither the join with authors nor the counts go back to it."""
+    module = importlib.import_module("lawloom.plans.prepare")
+    (tmp_path / "b.json").write_text('{"dados": [{"id": 1, "siglaTipo": "PL", "dataApresentacao": "2025-03-01"}, {"id": 2}]}')
+    (tmp_path / "a.json").write_text('{"dados": [{"idProposicao": 1, "idDeputadoAutor": 5}]}')
+    opened, written = [], []
+    files, write = json_root._files, module.write_json
+    monkeypatch.setattr(json_root, "_files", lambda spark, path, roots: opened.append(path) or files(spark, path, roots))
+    monkeypatch.setattr(module, "write_json", lambda df, path: written.append(plan_of(df)) or write(df, path))
+    b, a = str(tmp_path / "b.json"), str(tmp_path / "a.json")
+    counts = plans.prepare_files(spark, b, a, str(tmp_path / "out"), schema)
+    assert opened == [b, a]
+    (plan,) = written
+    assert "a.json" in plan and "b.json" not in plan and "b.json" not in plan_of(counts)
+    assert sorted(map(tuple, counts.collect())) == [("ok", 1), ("tipo", 1)]

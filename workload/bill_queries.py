@@ -143,15 +143,25 @@ FROM irregular LEFT JOIN ids ON "idProposicao" = id"""
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bills, authors = si.irregular_bills(spark, sf_dir), si.authors(spark, sf_dir)
-    return op.count_stages(
-        bills=bills,
-        authors=authors,
-        prepared=op.keep_valid(bills, **RULE),
-        unique_authors=op.unique_authors(si.bills_with_authors(spark, sf_dir)),
+    """Bills and those that pass the rules in one pass, and the other stages."""
+    bills = op.count_steps(si.irregular_bills(spark, sf_dir), "bills", prepared=op.is_valid(**RULE))
+    return bills.unionByName(
+        op.count_stages(
+            authors=si.authors(spark, sf_dir),
+            unique_authors=op.unique_authors(si.bills_with_authors(spark, sf_dir)),
+        )
     )
 
 
+def watched_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reasons as counted by the pass that writes the bills that are kept."""
+    folder = f"{sinks.shared_dir(spark)}/kept-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, folder)
+    watched, watch = op.watch_rejections(si.irregular_bills(spark, sf_dir), **RULE)
+    op.keep_valid(watched, **RULE).write.parquet(folder)
+    return op.watched_counts(spark, watch)
+
+
 STAGE_COUNTS_SQL = f"""
 WITH {si.IRREGULAR_BILLS}, {si.AUTHORS}
 SELECT 'bills' AS stage, count(*) AS n FROM bills
@@ -374,6 +384,7 @@ ENTRIES = {
         f" FROM dated WHERE {SQL_TYPE_OK} AND {SQL_DATE_OK}",
     ),
     "rejection_counts": (rejection_counts, REJECTION_SQL),
+    "watched_rejections": (watched_rejections, REJECTION_SQL),
     "drop_columns": (drop_columns, f"WITH {si.BILLS} SELECT * FROM bills"),
     "authors_grouped": (
         authors_grouped,
