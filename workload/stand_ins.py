@@ -256,14 +256,14 @@ raw_lines AS (
   UNION ALL SELECT doc_id, page_no, 50, 50.0, 'Art. 1 ........ 3' FROM pages WHERE doc_id % 6 = 0
   UNION ALL SELECT doc_id, page_no, 90, 95.0, 'Página ' || (page_no + 1) || ' de ' || n FROM pages
   UNION ALL SELECT doc_id, page_no, 91, 95.0, 'Gabinete do Deputado ' || doc_id FROM pages WHERE doc_id % 4 = 0),
-lines AS (
+lines AS MATERIALIZED (
   SELECT doc_id, page_no, 100.0::DOUBLE AS page_height, line_no, y0, norm AS line
   FROM (SELECT *, {sql_normalized("line")} AS norm FROM raw_lines) WHERE norm <> ''),
-regions AS (
+regions AS MATERIALIZED (
   SELECT *, y0 <= page_height * 0.15::DOUBLE AS in_top, y0 >= page_height * 0.85::DOUBLE AS in_bottom,
          {sql_page_number("line")} AS is_number FROM lines),
 totals AS (SELECT doc_id, count(*) AS n_pages FROM pages GROUP BY doc_id),
-repeated AS (
+repeated AS MATERIALIZED (
   SELECT * FROM (
     SELECT doc_id, line,
            10 * count(DISTINCT CASE WHEN in_top AND NOT is_number THEN page_no END) >= 4 * any_value(n_pages) AS top_rep,
@@ -275,7 +275,7 @@ starts AS (
     SELECT doc_id, max(page_no) AS annex_start FROM lines
     WHERE y0 <= page_height * 0.30::DOUBLE AND {sql_annex_title("line")} GROUP BY doc_id)
   JOIN totals USING (doc_id) WHERE annex_start >= n_pages // 2),
-kept AS (
+kept AS MATERIALIZED (
   SELECT r.* FROM regions r LEFT JOIN repeated p ON p.doc_id = r.doc_id AND p.line = r.line
   WHERE NOT {sql_boilerplate("r.line")}
     AND NOT (r.in_top AND coalesce(p.top_rep, false)) AND NOT (r.in_bottom AND coalesce(p.bot_rep, false))
