@@ -76,7 +76,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     found = [("email", a, b) for a, b in _emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(g.lstrip("0")) <= 3 and int(g) <= 255 for g in m.groups()):
+            if all(len(g.lstrip("0")) <= 3 and int(g.lstrip("0") or "0") <= 255 for g in m.groups()):
                 found.append(("ip", m.start(), m.end()))
         for m in _CARD.finditer(text):
             digits = m.group().replace(" ", "").replace("-", "")
@@ -94,7 +94,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 _TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|[^\sA-Za-z0-9]")
 #: What makes a word a part of an entity: a digit, an at sign, or one spelt out.
 _TRIGGER = re.compile(r"[0-9@]|[\[(](?:at|dot)[\])]", re.IGNORECASE)
-_SPELT = re.compile(r"[0-9@]|[\[(](?:at|dot)[\])]|(?<!\S)at\s\S{1,80}\sdot(?!\S)|(?<!\S)dot(?!\S)", re.IGNORECASE)
+_SPELT = re.compile(r"[0-9@]|[\[(](?:at|dot)[\])]|(?<!\S)at\s\S+\sdot(?!\S)|(?<!\S)dot(?!\S)", re.IGNORECASE)
 _SPACE = re.compile(r"\s")
 
 
@@ -118,7 +118,7 @@ def zones(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
         a, at = _word_start(text, m.start(), at), _word_end(text, m.end())
         # a neighbour word on either side, if one space away
         if a > 1 and not text[a - 2].isspace():
-            a = _word_start(text, a - 1, max(0, a - 40))
+            a = _word_start(text, a - 1, 0)
         b = _word_end(text, at + 1) if at + 1 < len(text) and not text[at + 1].isspace() else at
         if merged and a <= merged[-1][1]:
             merged[-1][1] = max(b, merged[-1][1])

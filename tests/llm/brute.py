@@ -146,7 +146,7 @@ def naive_spans(text):
     digits = lambda m: re.sub("[^0-9]", "", m.group())
     found = [("email", m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     ips = re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
-    found += [("ip", m) for m in ips if all(int(p) <= 255 for p in m.group().split("."))]
+    found += [("ip", m) for m in ips if all(int(p.lstrip("0")[:9] or "0") <= 255 for p in m.group().split("."))]
     cards = re.finditer(r"[0-9]([\x20-]?[0-9])+", text)
     found += [("card", m) for m in cards if 14 <= len(digits(m)) <= 19 and luhn(digits(m))]
     phones = re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text)

@@ -78,6 +78,22 @@ def test_base_spans_are_those_of_the_patterns(text):
     assert pii.base_spans(text) == brute.naive_spans(text)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["0" * 60, "0" * 4400, "7" * 90, "1", ".", ".1.1.1", " ", "-", "+", "a", "@x.y", "at ", " dot ", "z" * 120]), max_size=14))
+def test_long_runs_are_like_the_patterns(parts):
+    text = "".join(parts)
+    assert pii.base_spans(text) == brute.naive_spans(text)
+
+
+def test_long_numbers_go_through_spark(spark):
+    texts = ["0" * 5000 + ".1.1.1", "1." + "0" * 6000 + ".2.3 x", "+" + "0" * 9000, "name at " + "d" * 300 + " dot org", "w" * 400 + " 12345678901"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.find_personal_data(docs, pii.fit_field(docs)).collect()}
+    assert [(s.kind, s.start, s.end) for s in found[0] if s.base] == [("ip", 0, 5006)]
+    assert [(s.kind, s.start, s.end) for s in found[1] if s.base] == [("ip", 0, 6006)]
+    assert not [s for s in found[2] if s.base] and len(found) == 5
+
+
 def test_personal_data_on_the_table(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for row in entry.queries()["op1_personal_data"](spark, SF).collect():
