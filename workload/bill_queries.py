@@ -214,13 +214,27 @@ def json_files_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("siglaTipo"), F.col("value").alias("valor"), "props")
     folder = f"{sinks.shared_dir(spark)}/events-{uuid.uuid4().hex}"
     atexit.register(_forget, spark, folder)
-    events = si.table(spark, sf_dir, "events").withColumn("file", F.col("event_id") % 16)
+    events = si.table(spark, sf_dir, "events").withColumn("file", F.floor(F.col("event_id") / 1000))  # a bounded number of rows a file
     documents = events.groupBy("file").agg(F.to_json(F.struct(F.collect_list(first).alias("dados"))).alias("value"))
     documents.write.partitionBy("file").text(folder)  # one document per file
     rows = sources.read_root_json(spark, folder, EVENT)
     return rows.select("id", "siglaTipo", "valor", "props")
 
 
+def split_json_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of 5,000 objects, read by blocks: objects among elements that are no objects, and arrays under other keys."""
+    folder = f"{sinks.shared_dir(spark)}/events-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, folder)
+    row = F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("siglaTipo"), F.col("value").alias("valor"), "props")
+    texts = si.table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 5000).alias("file"), F.to_json(row).alias("text"))
+    joined = texts.groupBy("file").agg(F.array_join(F.collect_list("text"), ', "}", [{"id": 1}], ').alias("text"))
+    whole = F.concat(F.lit('{"outros": [{"id": 0}], "dados": ['), "text", F.lit(', null], "fim": {"id": [{}]}}'))
+    joined.select("file", whole.alias("value")).write.partitionBy("file").text(folder)
+    rows = sources.read_split_json(spark, folder, EVENT)
+    atexit.register(_forget, spark, rows.lawloom_folder)
+    return rows.select("id", "siglaTipo", "valor", "props")
+
+
 def _forget(spark: SparkSession, folder: str) -> None:
     with contextlib.suppress(Exception):  # the session may have ended
         sinks.remove(spark, folder)
@@ -405,6 +419,10 @@ ENTRIES = {
         json_files_explode,
         'SELECT event_id AS id, event_type AS "siglaTipo", value AS valor, props FROM events',
     ),
+    "split_json_explode": (
+        split_json_explode,
+        'SELECT event_id AS id, event_type AS "siglaTipo", value AS valor, props FROM events',
+    ),
     "upsert_twice": (upsert_twice, UPSERT_TWICE_SQL),
     "incremental_upserts": (incremental_upserts, INCREMENTAL_UPSERTS_SQL),
     "merge_update": (merge_update, MERGE_UPDATE_SQL),
