@@ -11,6 +11,7 @@ from lawloom.operators.layout import (
     repeated_lines,
 )
 from lawloom.operators.calls import Calls
+from lawloom.operators.changes import changed, settings_digest, with_digest
 from lawloom.operators.merge import merge_tables, new_rows
 from lawloom.operators.model import (
     build_requests,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from lawloom import schemas
 from lawloom.operators import model as m
 from lawloom.operators.calls import Calls
+from lawloom.operators.changes import changed, settings_digest, with_digest
 from lawloom.operators.normalize import proposition_rows, unique_authors
 from lawloom.operators.words import default_stop_words, word_frequency
 from lawloom.sinks.files import remove, shared_dir
@@ -33,6 +34,7 @@ def analyse(
     summary_calls: Calls = Calls(),
     topic_calls: Calls = Calls(),
     buckets: int = 16,
+    changed_only: bool = False,
 ) -> dict[str, int]:
     """Fill the tables under `root`; returns the number of rows merged per table.
 
@@ -43,12 +45,16 @@ def analyse(
     in each as many threads as `summary_calls` and `topic_calls` say, unless a
     `max_parallel` caps them; with a cap, raise `rounds` so that a single task does not
     hold too many requests. Tables that do not exist are made with so many `buckets`.
+
+    With `changed_only`, words are counted only in texts that are not as they were, or
+    were counted with other stop words; what was counted is noted in the table
+    `text_digests`, after the counts. The result is that of counting all.
     """
     spark = bills.sparkSession
     kept = responses_path or f"{shared_dir(spark)}/responses-{uuid.uuid4().hex}"
     try:
         return _analyse(
-            bills, root, order_by, stop_words, text_column, buckets,
+            bills, root, order_by, stop_words, text_column, buckets, changed_only,
             lambda questions: store_responses(
                 questions, summary_model, f"{kept}/summaries", max_parallel_summaries, rounds, summary_calls
             ),
@@ -66,20 +72,21 @@ def _analyse(
     stop_words: Iterable[str] | DataFrame | None,
     text_column: str,
     buckets: int,
+    changed_only: bool,
     ask_summaries: Callable[[DataFrame], DataFrame],
     ask_topics: Callable[[DataFrame], DataFrame],
 ) -> dict[str, int]:
     spark = bills.sparkSession
     create_tables(spark, root, buckets=buckets)
+    if changed_only:
+        create_tables(spark, root, [schemas.TEXT_DIGESTS], buckets)
     if stop_words is None:
         stop_words = default_stop_words(spark)
 
     merged = {
         "authors": upsert(spark, root, schemas.AUTHORS, unique_authors(bills, order_by)),
         "propositions": upsert(spark, root, schemas.PROPOSITIONS, proposition_rows(bills)),
-        "proposition_word_cloud": upsert(
-            spark, root, schemas.WORD_CLOUD, word_frequency(bills, stop_words, text_column=text_column)
-        ),
+        "proposition_word_cloud": count_words(bills, root, stop_words, text_column, changed_only),
     }
 
     questions = m.build_requests(bills, m.summary_instructions(), text_column=text_column)
@@ -92,3 +99,17 @@ def _analyse(
     topics = m.parse_topics(ask_topics(questions))
     merged["proposition_topics"] = upsert(spark, root, schemas.TOPICS, m.topic_rows(topics))
     return merged
+
+
+def count_words(
+    bills: DataFrame, root: str, stop_words: Iterable[str] | DataFrame, text_column: str = "text", changed_only: bool = False
+) -> int:
+    """Merge the word counts of the bills; returns the number of rows merged, see `analyse`."""
+    spark = bills.sparkSession
+    if not changed_only:
+        return upsert(spark, root, schemas.WORD_CLOUD, word_frequency(bills, stop_words, text_column=text_column))
+    named = with_digest(bills.select("id", text_column), text_column, settings_digest(stop_words))
+    new = changed(named, read_table(spark, root, schemas.TEXT_DIGESTS))
+    merged = upsert(spark, root, schemas.WORD_CLOUD, word_frequency(new, stop_words, text_column=text_column))
+    upsert(spark, root, schemas.TEXT_DIGESTS, new.select("id", "digest"))
+    return merged

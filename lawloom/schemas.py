@@ -80,3 +80,6 @@ ENTITIES = Table(
 )
 TOPICS = Table("proposition_topics", _required(id=_LONG, topic=_STRING), ("id",))
 TABLES = {t.name: t for t in (PROPOSITIONS, AUTHORS, WORD_CLOUD, SUMMARY, ENTITIES, TOPICS)}
+
+#: What was last worked on, beside the result tables.
+TEXT_DIGESTS = Table("text_digests", _required(id=_LONG, digest=_STRING), ("id",))

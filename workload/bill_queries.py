@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import datetime as dt
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from lawloom import plans, schemas, sinks, sources
 from workload import stand_ins as si
 from workload.text_queries import TOKENS
 
+WEEKS = (dt.date(1996, 3, 10), dt.date(1996, 5, 4))
 RULE = {"types": si.TYPES, "start": si.START, "end": si.END}
 SQL_TYPE_OK = "\"siglaTipo\" IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"
 SQL_DATE_OK = "day BETWEEN DATE '1996-02-02' AND DATE '1996-07-17'"
@@ -99,6 +101,21 @@ def prepared_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepared.withColumn("autores", F.array_join(F.transform("autores", _author_text), "|"))
 
 
+def prepared_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid bills laid out by type and month, and those of one type and a few weeks read back."""
+    folder = f"{sinks.shared_dir(spark)}/prepared-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, folder)
+    kept = op.keep_valid(si.irregular_bills(spark, sf_dir), **RULE)
+    sinks.write_prepared(kept, folder)
+    return sinks.read_prepared(spark, folder, kept.schema, si.TYPES[:1], *WEEKS)
+
+
+PREPARED_BY_MONTH_SQL = f"""
+WITH {si.IRREGULAR_BILLS}
+SELECT id, "siglaTipo", "descricaoTipo", "dataApresentacao", "urlInteiroTeor" FROM dated
+WHERE {SQL_TYPE_OK} AND "siglaTipo" = '{si.TYPES[0]}' AND day BETWEEN DATE '{WEEKS[0]}' AND DATE '{WEEKS[1]}'"""
+
+
 PREPARED_SQL = f"""
 WITH {si.IRREGULAR_BILLS}, {si.AUTHORS}, {GROUPED}
 SELECT id, "siglaTipo", "descricaoTipo", "dataApresentacao", "urlInteiroTeor", coalesce(autores, '') AS autores
@@ -376,6 +393,46 @@ SELECT CAST(s_suppkey * 50 AS INTEGER), s_name, 'supplier', CAST(s_nationkey AS
   WHERE s_suppkey * 50 NOT IN (SELECT id FROM updated)"""
 
 
+def changed_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts of all documents, then of those alone whose texts have grown since."""
+    root = f"{sinks.shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, root)
+    docs = si.documents(spark, sf_dir).select(F.col("doc_id").alias("id"), "text")
+    grown = docs.withColumn("text", F.when(F.col("id") % 50 == 3, F.concat("text", F.lit(" nova nova palavra"))).otherwise(F.col("text")))
+    sinks.create_tables(spark, root, [schemas.WORD_CLOUD, schemas.TEXT_DIGESTS], buckets=8)
+    for texts in (docs, grown):
+        plans.count_words(texts, root, (), changed_only=True)
+    return sinks.read_table(spark, root, schemas.WORD_CLOUD)
+
+
+CHANGED_WORD_COUNTS_SQL = f"""
+WITH {TOKENS.replace("FROM documents", "FROM grown")}
+SELECT CAST(id AS INTEGER) AS id, word, CAST(count(*) AS INTEGER) AS frequency FROM tokens GROUP BY ALL""".replace(
+    "WITH ",
+    "WITH grown AS (SELECT doc_id, text || CASE WHEN doc_id % 50 = 3 THEN ' nova nova palavra' ELSE '' END AS text FROM documents), ",
+)
+
+
+def streamed_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers as a stream into a table of 16 buckets, and the same batches once more, which change nothing."""
+    folder = f"{sinks.shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, folder)
+    schema = si.table(spark, sf_dir, "customer").schema
+    customers = spark.readStream.schema(schema).option("pathGlobFilter", "customer.parquet").parquet(sf_dir)
+    rows = customers.select(
+        F.col("c_custkey").cast("int").alias("id"),
+        F.col("c_name").alias("full_name"),
+        F.col("c_mktsegment").alias("poli_party"),
+        F.col("c_nationkey").cast("string").alias("uf"),
+    )
+    sinks.create_tables(spark, folder, [schemas.AUTHORS], buckets=16)
+    for party, checkpoint in ((F.col("poli_party"), "first"), (F.lit("late"), "again")):
+        stream = rows.withColumn("poli_party", party)
+        writer = sinks.upsert_stream(stream, folder, schemas.AUTHORS, "customers", f"{folder}/{checkpoint}")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return sinks.read_table(spark, folder, schemas.AUTHORS)
+
+
 def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = si.table(spark, sf_dir, "lineitem").withColumn("l_shipmode", F.nullif("l_returnflag", F.lit("R")))
     return op.contract_violations(rows, ["l_orderkey", "l_quantity", "l_shipmode"], ["l_orderkey", "l_linenumber"])
@@ -406,6 +463,7 @@ ENTRIES = {
     ),
     "merge_authors": (merge_authors, MERGE_AUTHORS_SQL),
     "prepared_bills": (prepared_bills, PREPARED_SQL),
+    "prepared_by_month": (prepared_by_month, PREPARED_BY_MONTH_SQL),
     "unique_authors": (unique_authors, UNIQUE_AUTHORS_SQL),
     "propositions_rows": (propositions_rows, PROPOSITIONS_SQL),
     "stage_counts": (stage_counts, STAGE_COUNTS_SQL),
@@ -428,5 +486,11 @@ ENTRIES = {
     "merge_update": (merge_update, MERGE_UPDATE_SQL),
     "merge_update_composite": (merge_update_composite, MERGE_COMPOSITE_SQL),
     "merge_ignore": (merge_ignore, MERGE_IGNORE_SQL),
+    "changed_word_counts": (changed_word_counts, CHANGED_WORD_COUNTS_SQL),
+    "streamed_upserts": (
+        streamed_upserts,
+        "SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS full_name, c_mktsegment AS poli_party,"
+        " CAST(c_nationkey AS VARCHAR) AS uf FROM customer",
+    ),
     "contract_violations": (contract_violations, CONTRACT_SQL),
 }
