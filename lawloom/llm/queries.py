@@ -55,11 +55,71 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP6_SQL = r"""
+WITH coded AS MATERIALIZED (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), pieces AS MATERIALIZED (
+  SELECT doc_id, b, substr(h, CAST(2 * b + 1 AS BIGINT), 226) AS piece, least(64, n - 49 - b) AS k
+  FROM (SELECT doc_id, h, n, unnest(range(0, n - 49, 64)) AS b FROM coded WHERE n >= 50)
+), starts AS MATERIALIZED (
+  SELECT doc_id, b + j AS p, substr(piece, CAST(2 * j + 1 AS BIGINT), 100) AS s FROM pieces JOIN range(64) t(j) ON j < k
+), shared AS (
+  SELECT s, min(doc_id) AS first FROM starts GROUP BY s HAVING min(doc_id) < max(doc_id)
+), marked AS MATERIALIZED (
+  SELECT doc_id, p, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 AS goes_on
+  FROM starts JOIN shared USING (s) WHERE first < doc_id
+), runs AS (
+  SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM (
+    SELECT *, count(*) FILTER (goes_on IS NOT TRUE) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked)
+  GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS k, a AS e FROM runs
+  UNION ALL SELECT doc_id, coalesce(max(b), 0), any_value(n) FROM coded LEFT JOIN runs USING (doc_id) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, CAST(2 * k + 1 AS BIGINT), CAST(2 * (e - k) AS BIGINT)), '' ORDER BY k) AS h
+  FROM gaps JOIN coded USING (doc_id) GROUP BY doc_id
+), counted AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM coded JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)
+"""
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
     return jaccard_join.near_duplicate_components(table(spark, sf_dir, "documents"), words_per_shingle=3, percent=90)
 
 
+OP3_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])) END AS shingles
+  FROM split
+), numbered AS MATERIALIZED (
+  SELECT min(doc_id) AS first, sorted AS shingles, len(sorted) AS n FROM (SELECT doc_id, list_sort(shingles) AS sorted FROM sets) GROUP BY sorted
+), holders AS MATERIALIZED (SELECT first, n, unnest(shingles) AS shingle FROM numbered
+), common AS (
+  SELECT a.first AS a, b.first AS b, a.n AS n, b.n AS m, count(*) AS met
+  FROM holders a JOIN holders b ON a.shingle = b.shingle AND a.first < b.first
+    AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+  GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT a, b FROM common WHERE 100 * met >= 90 * (n + m - met)
+  UNION ALL SELECT b, a FROM common WHERE 100 * met >= 90 * (n + m - met)
+), reach AS (
+  SELECT DISTINCT a AS start, a AS here FROM links
+  UNION SELECT start, b FROM reach JOIN links ON here = a
+), roots AS (SELECT start, min(here) AS root FROM reach GROUP BY start)
+SELECT doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles,
+  CASE WHEN len(s.shingles) = 0 THEN doc_id ELSE coalesce(root, first) END AS component_id
+FROM sets s JOIN numbered ON list_sort(s.shingles) = numbered.shingles LEFT JOIN roots ON start = first
+"""
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with its place and similarity."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -217,12 +277,23 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(docs, table(spark, sf_dir, "benchmark").select("text"))
 
 
-OP11_SQL = r"""
-WITH steps AS (
+_CRC_TABLE = r"""steps AS (
   SELECT i, list_reduce(list_concat([i], range(8)),
     lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
   FROM range(256) t(i)
-), crc_table AS (SELECT list(c ORDER BY i) AS tab FROM steps),
+), crc_table AS (SELECT list(c ORDER BY i) AS tab FROM steps)"""
+
+
+def _sql_crc32(value: str) -> str:
+    """Unsigned crc32 of a text, with the list `tab` of _CRC_TABLE in scope."""
+    byte = f"CAST('0x' || substr(hex({value}), k, 2) AS BIGINT)"
+    bytes_ = f"list_transform(range(1, length(hex({value})), 2), lambda k: {byte})"
+    step = "xor(c >> 8, tab[(xor(c, b) & 255) + 1])"
+    return f"xor(4294967295, list_reduce(list_concat([4294967295], {bytes_}), lambda c, b: {step}))"
+
+
+OP11_SQL = rf"""
+WITH {_CRC_TABLE},
 texts AS (
   SELECT 'd' AS side, doc_id, text FROM documents UNION ALL SELECT 'b', NULL, text FROM benchmark
 ), split AS (
@@ -234,10 +305,7 @@ texts AS (
   FROM split
 ), counted AS (SELECT side, doc_id, feature, count(*) AS n FROM occurrences GROUP BY ALL),
 hashed AS (
-  SELECT feature, xor(4294967295, list_reduce(
-    list_concat([4294967295], list_transform(range(1, length(hex(feature)), 2),
-      lambda k: CAST('0x' || substr(hex(feature), k, 2) AS BIGINT))),
-    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+  SELECT feature, {_sql_crc32("feature")} % 10000 AS bucket
   FROM (SELECT DISTINCT feature FROM counted), crc_table
 ), placed AS (SELECT * FROM counted JOIN hashed USING (feature)),
 by_bucket AS (
@@ -299,6 +367,48 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP12_SQL = rf"""
+WITH {_CRC_TABLE}, split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_sql_crc32("CAST(doc_id AS VARCHAR)")} AS h
+  FROM documents, crc_table
+), tails AS (
+  SELECT doc_id, h % 10 = 0 AND len(w) > 0 AS planted, h // 10 AS g, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a
+  FROM split
+), original AS MATERIALIZED (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM split
+), changed AS MATERIALIZED (
+  SELECT r.doc_id, r.i, s.word FROM original r JOIN tails t ON r.doc_id = t.doc_id JOIN original s ON s.doc_id = r.doc_id
+    AND s.i = CASE WHEN planted AND r.i >= a THEN a + (r.i - a) % (1 + (n - a) // (3 + g % 8)) ELSE r.i END
+), grams AS (
+  SELECT doc_id, i, word || ' ' || lead(word) OVER d || ' ' || lead(word, 2) OVER d || ' ' || lead(word, 3) OVER d
+    || ' ' || lead(word, 4) OVER d AS gram
+  FROM changed WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+), pairs AS (
+  SELECT a.doc_id, a.i, b.i - a.i AS q FROM grams a JOIN grams b ON a.doc_id = b.doc_id AND a.gram = b.gram AND a.i < b.i
+), islands AS MATERIALIZED (
+  SELECT doc_id, q, min(i) AS start, max(i) + 5 + q - min(i) AS length FROM (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs)
+  GROUP BY doc_id, q, island
+), long AS MATERIALIZED (SELECT * FROM islands WHERE length >= greatest(6, 4 * q)
+), runs AS MATERIALIZED (
+  SELECT * FROM long r WHERE NOT EXISTS (
+    SELECT 1 FROM long s WHERE s.doc_id = r.doc_id AND s.q < r.q AND s.start <= r.start AND s.start + s.length >= r.start + r.length)
+), listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS lines,
+    list({{'start': start, 'length': length, 'q': q}} ORDER BY length DESC, start, q)[1] AS best
+  FROM runs GROUP BY doc_id
+), dropped AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM runs
+), collapsed AS (
+  SELECT c.doc_id, string_agg(word, ' ' ORDER BY c.i) AS text
+  FROM changed c LEFT JOIN dropped d ON d.doc_id = c.doc_id AND d.i = c.i WHERE d.i IS NULL GROUP BY c.doc_id
+)
+SELECT split.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.start AS BIGINT) AS start,
+  CAST(best.length AS BIGINT) AS length, CAST(best.q AS BIGINT) AS period,
+  CAST(1000 * best.length // best.q AS BIGINT) AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed.text, '')) AS collapsed_sha256
+FROM split LEFT JOIN listed ON listed.doc_id = split.doc_id LEFT JOIN collapsed ON collapsed.doc_id = split.doc_id
+"""
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and the text they decode to."""
     import public_tokenizers
@@ -314,17 +424,17 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ENTRIES = {
-    "op6_suffix_dedup": (op6_suffix_dedup, None),
+    "op6_suffix_dedup": (op6_suffix_dedup, OP6_SQL),
     "op2_lm_scoring": (op2_lm_scoring, None),
     "op8_license_scan": (op8_license_scan, None),
     "op1_personal_data": (op1_personal_data, None),
-    "op3_ngram_jaccard_join": (op3_ngram_jaccard_join, None),
+    "op3_ngram_jaccard_join": (op3_ngram_jaccard_join, OP3_SQL),
     "op4_benchmark_decontamination": (op4_benchmark_decontamination, None),
     "op5_quality_classifier": (op5_quality_classifier, None),
     "op7_mix_sources": (op7_mix_sources, OP7_SQL),
     "op9_quality_rules": (op9_quality_rules, OP9_SQL),
     "op10_line_dedup": (op10_line_dedup, OP10_SQL),
     "op11_importance_resampling": (op11_importance_resampling, OP11_SQL),
-    "op12_periodic_runs": (op12_periodic_runs, None),
+    "op12_periodic_runs": (op12_periodic_runs, OP12_SQL),
     "op13_byte_bpe": (op13_byte_bpe, None),
 }
