@@ -134,3 +134,10 @@ def test_prepare_files_reads_the_raw_bills_once(spark, tmp_path, monkeypatch, sc
     (plan,) = written
     assert "a.json" in plan and "b.json" not in plan and "b.json" not in plan_of(counts)
     assert sorted(map(tuple, counts.collect())) == [("ok", 1), ("tipo", 1)]
+
+
+@pytest.mark.parametrize(
+    "name", ["tokenize", "build_requests", "enrich_summary", "enrich_entities", "enrich_topic", "concurrent_topics"]
+)
+def test_row_by_row_queries_shuffle_nothing(plan_by_name, name):
+    assert "Exchange" not in plan_by_name[name]

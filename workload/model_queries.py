@@ -18,7 +18,7 @@ LABELED = "labeled AS (SELECT d.*, quality, toxic FROM documents d LEFT JOIN lab
 
 
 def labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return si.documents(spark, sf_dir).join(si.table(spark, sf_dir, "labels"), "doc_id", "left")
+    return si.texts(spark, sf_dir).join(si.table(spark, sf_dir, "labels"), "doc_id", "left")
 
 
 def fetch_for_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def fetch_for_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    requests = op.build_requests(si.documents(spark, sf_dir), op.topic_instructions(), id_column="doc_id")
+    requests = op.build_requests(si.texts(spark, sf_dir), op.topic_instructions(), id_column="doc_id")
     return requests.select(
         "id",
         F.col("messages")[0]["role"].alias("system_role"),
@@ -112,7 +112,7 @@ def parse_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("output")
     )
     response = F.when(kind == 1, F.lit("not json")).when(kind == 2, F.lit('{"output": []}')).otherwise(F.to_json(envelope))
-    responses = si.documents(spark, sf_dir).select(
+    responses = si.texts(spark, sf_dir).select(
         F.col("doc_id").alias("id"), response.alias("response"), F.when(kind == 0, "Timeout").alias("error")
     )
     return op.topic_rows(op.parse_topics(responses))
@@ -148,23 +148,23 @@ def topic_model(messages: list[dict[str, str]]) -> str:
 
 
 def enrich_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    requests = op.build_requests(si.documents(spark, sf_dir), op.summary_instructions(), id_column="doc_id")
+    requests = op.build_requests(si.texts(spark, sf_dir), op.summary_instructions(), id_column="doc_id")
     return op.summary_rows(op.parse_summaries(op.run_model(requests, summary_model)))
 
 
 def enrich_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    requests = op.build_requests(si.documents(spark, sf_dir), op.summary_instructions(), id_column="doc_id")
+    requests = op.build_requests(si.texts(spark, sf_dir), op.summary_instructions(), id_column="doc_id")
     return op.entity_rows(op.parse_summaries(op.run_model(requests, summary_model)))
 
 
 def enrich_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    requests = op.build_requests(si.documents(spark, sf_dir), op.topic_instructions(), id_column="doc_id")
+    requests = op.build_requests(si.texts(spark, sf_dir), op.topic_instructions(), id_column="doc_id")
     return op.topic_rows(op.parse_topics(op.run_model(requests, topic_model)))
 
 
 def concurrent_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topics from eight calls at a time in each task, by a model that fails the first time it is asked anything."""
-    requests = op.build_requests(si.documents(spark, sf_dir), op.topic_instructions(), id_column="doc_id")
+    requests = op.build_requests(si.texts(spark, sf_dir), op.topic_instructions(), id_column="doc_id")
     asked: set[str] = set()
 
     def flaky(messages: list[dict[str, str]]) -> str:
@@ -182,7 +182,7 @@ def stored_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An outage first, then a healthy model: failed ids are asked again, answered ones are not."""
     path = f"{sinks.shared_dir(spark)}/responses-{uuid.uuid4().hex}"
     atexit.register(_forget, spark, path)
-    requests = op.build_requests(si.documents(spark, sf_dir), op.topic_instructions(), id_column="doc_id")
+    requests = op.build_requests(si.texts(spark, sf_dir), op.topic_instructions(), id_column="doc_id")
 
     def failing(messages: list[dict[str, str]]) -> str:
         if len(messages[-1]["content"]) % 2:

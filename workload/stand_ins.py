@@ -137,6 +137,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").hint("rebalance")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts as they are stored, for queries that work row by row and need no exchange."""
+    return table(spark, sf_dir, "documents")
+
+
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, i, n, line): the lines of each text; n is the page count."""
     pieces = documents(spark, sf_dir).select("doc_id", F.split("text", "\n").alias("pieces"))

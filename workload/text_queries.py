@@ -44,7 +44,7 @@ WORD_FREQUENCY_SQL = f"WITH {TOKENS} SELECT id, word, CAST(count(*) AS INTEGER)
 
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = F.array_remove(lf.tokenize(F.col("text")), "")
-    return si.documents(spark, sf_dir).select(
+    return si.texts(spark, sf_dir).select(
         "doc_id", F.size(tokens).alias("n_tokens"), F.array_join(tokens, " ").alias("tokens")
     )
 
