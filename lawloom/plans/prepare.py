@@ -20,6 +20,7 @@ from lawloom.operators.prepare import (
 )
 from lawloom.sinks.files import remove, shared_dir, write_json
 from lawloom.sources.json_root import read_root_json, read_staged_json, stage_root_json
+from lawloom.sources.split_json import read_split_json
 
 
 def prepare(
@@ -52,6 +53,7 @@ def prepare_files(
     bill_schema: T.StructType | None = None,
     keep_order: bool = False,
     dropped: Iterable[str] = rules.DROPPED_FIELDS,
+    split: bool = False,
     **rule: object,
 ) -> DataFrame:
     """Read the two raw files, write the prepared bills, return (reason, n).
@@ -61,22 +63,35 @@ def prepare_files(
     keep all their fields but the dropped ones: without `bill_schema`, the objects are
     staged first, one to a line, and their fields are found there. `keep_order` also
     writes `src_file` and `src_pos`, the order of the input, for
-    `analyse(order_by=("src_file", "src_pos"))`.
+    `analyse(order_by=("src_file", "src_pos"))`. With `split`, which needs the
+    `bill_schema`, the tasks share the blocks of a file (see `read_split_json`).
     """
+    if split and bill_schema is None:
+        raise ValueError("split files are read with a bill_schema")
+    folders = []
+
+    def read(path: str, schema: T.StructType) -> DataFrame:
+        if not split:
+            return read_root_json(spark, path, schema)
+        rows = read_split_json(spark, path, schema)
+        folders.append(rows.lawloom_folder)
+        return rows
+
     staging = f"{shared_dir(spark)}/prepare-{uuid.uuid4().hex}"
     try:
         if bill_schema is None:
             stage_root_json(spark, bills_path, f"{staging}/objects")
             bills = read_staged_json(spark, f"{staging}/objects", schemas.RAW_BILL)
         else:
-            bills = read_root_json(spark, bills_path, bill_schema)
+            bills = read(bills_path, bill_schema)
         watched, watch = watch_rejections(bills, **rule)
         kept = drop_fields(keep_valid(watched, **rule), dropped)
         kept.write.parquet(f"{staging}/kept")
         kept = spark.read.schema(kept.schema).parquet(f"{staging}/kept")
-        authors = read_root_json(spark, authors_path, schemas.RAW_AUTHOR)
+        authors = read(authors_path, schemas.RAW_AUTHOR)
         prepared = with_authors(kept, authors, ("src_file", "src_pos"))
         write_json(prepared if keep_order else prepared.drop("src_file", "src_pos"), output_path)
         return watched_counts(spark, watch)
     finally:
-        remove(spark, staging)
+        for folder in (staging, *folders):
+            remove(spark, folder)

@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import types as T
 
-from lawloom import sources
+from lawloom import plans, schemas, sources
 from lawloom.schemas import RAW_AUTHOR
 
 SCHEMA = T.StructType(
@@ -104,3 +104,29 @@ def test_roots(spark, tmp_path):
         sources.read_split_json(spark, str(tmp_path), SCHEMA, require_root=True)
     (tmp_path / "a.json").write_bytes(b'\xef\xbb\xbf{"dados": [{"id": 1}], "x": {}}')
     assert [r.id for r in sources.read_split_json(spark, str(tmp_path), SCHEMA, require_root=True).collect()] == [1]
+
+
+def test_prepare_files_by_blocks(spark, tmp_path, blocks):
+    bills = [{"id": i, "siglaTipo": ("PL", "REQ")[i % 2], "dataApresentacao": "2025-03-01", "urlInteiroTeor": "}" * (i % 9)} for i in range(60)]
+    people = [{"idProposicao": i % 60, "idDeputadoAutor": i, "nomeAutor": f"n{i}"} for i in range(1, 150)]
+    (tmp_path / "b.json").write_text(json.dumps({"dados": bills}))
+    (tmp_path / "a.json").write_text(json.dumps({"dados": people}))
+    blocks(1500)
+    got = {}
+    for split in (False, True):
+        out = str(tmp_path / f"out{split}")
+        paths = str(tmp_path / "b.json"), str(tmp_path / "a.json"), out
+        counts = plans.prepare_files(spark, *paths, schemas.RAW_BILL, keep_order=True, split=split)
+        got[split] = rows(counts), sorted(r["value"] for r in spark.read.text(out).collect())
+    assert got[True] == got[False] and len(got[True][1]) == 30
+    with pytest.raises(ValueError):
+        plans.prepare_files(spark, *paths[:2], str(tmp_path / "none"), split=True)
+
+
+@pytest.mark.parametrize("text", ['{"dados": []}', '{"other": [1]}', '{"dados": [5, null]}'])
+@pytest.mark.parametrize(("schema", "split"), [(None, False), (schemas.RAW_BILL, False), (schemas.RAW_BILL, True)])
+def test_prepare_files_without_bills(spark, tmp_path, text, schema, split):
+    for name in "ab":
+        (tmp_path / f"{name}.json").write_text(text)
+    counts = plans.prepare_files(spark, str(tmp_path / "b.json"), str(tmp_path / "a.json"), str(tmp_path / "out"), schema, split=split)
+    assert counts.collect() == [] and spark.read.schema(schemas.PREPARED_BILL).json(str(tmp_path / "out")).count() == 0
