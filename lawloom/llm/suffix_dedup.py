@@ -1,4 +1,4 @@
-"""Exact substring deduplication: strings grouped by anchors and difference-cover names.
+"""Exact substring deduplication: strings dealt by anchors, suffixes sorted by a difference cover.
 
 A byte goes if it lies in a string of `length` bytes that also starts in a document with
 a smaller id. Strings are UTF-8 bytes, never cross documents, and may overlap.
@@ -12,11 +12,12 @@ a smaller id. Strings are UTF-8 bytes, never cross documents, and may overlap.
    that is found more than HOT_ANCHOR times go one by one to the part of the hash of all
    their bytes: around a common passage each document has strings of its own with an
    anchor of the passage, which would otherwise all come to one part.
-3. A part groups its strings by names at the places of the difference cover {1, 2} modulo
-   3: triples of 8-byte characters are sorted and named, and names are doubled once, to 48
-   bytes. Of a string or the places one or two behind, one is sampled; three sorts, by that
-   shift, of the name and the bytes around it bring equal strings together, with their
-   smallest id. There is no order of suffixes beyond `length` bytes, and none is needed.
+3. A part sorts the suffixes of its stretches by the difference cover {1, 2} modulo 3:
+   triples of characters at the sampled places are sorted and named, the names are read as
+   a string and sorted again where they repeat, until they stand for nearly `length` bytes,
+   the remaining suffixes are merged in, and adjacent prefixes of `length` bytes are
+   compared. Equal ones get the smallest id. The order is that of a part, not of the
+   corpus: strings that are found once are never sorted.
 4. Starts with a smaller id elsewhere become spans, and the texts are rewritten.
 
 Both exchanges pre-aggregate in the batch, so a string of a third of all documents comes
@@ -302,78 +303,124 @@ def deal_stretches(docs: DataFrame, length: int, parts: int) -> DataFrame:
 # ---- the strings of a part ----
 
 
-def _ranks(key: np.ndarray) -> np.ndarray:
-    """Rank of each key among the distinct ones."""
+def _names(key: np.ndarray) -> np.ndarray:
+    """For each key, how many are smaller: equal keys have one name."""
     order = np.argsort(key)
-    new = np.zeros(len(order), dtype=np.uint64)
-    new[1:] = key[order][1:] != key[order][:-1]
+    first, ends = runs(key[order])
     names = np.empty(len(order), dtype=np.uint64)
-    names[order] = np.cumsum(new)
+    names[order] = np.repeat(first, ends - first).astype(np.uint64)
     return names
 
 
-def _named(parts: list[np.ndarray]) -> np.ndarray:
-    """Rank of each tuple of numbers below 2^32: a part of the corpus has fewer places than that."""
-    names = parts[0]
-    for part in parts[1:]:
-        names = _ranks(names << np.uint64(32) | part)
-    return names
+def _refined(names: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Names of the pairs (name, following): only names that repeat are sorted again.
 
+    Names and `following` are below 2^32: a part of the corpus has fewer places than that.
+    """
+    again = np.flatnonzero(np.bincount(names.astype(np.int64))[names.astype(np.int64)] > 1)
+    out = names.copy()
+    if len(again):
+        key = names[again] << np.uint64(32) | following[again]
+        order = np.argsort(key)
+        key = key[order]
+        name = key >> np.uint64(32)
+        at = np.arange(len(key))
+        new, other = np.ones(len(key), dtype=bool), np.ones(len(key), dtype=bool)
+        new[1:], other[1:] = key[1:] != key[:-1], name[1:] != name[:-1]
+        behind = np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(other, at, 0))
+        out[again[order]] = name + behind.astype(np.uint64)
+    return out
 
-def lowest_ids(text: np.ndarray, starts: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
-    """For each start, the smallest id among the starts with the same `length` bytes.
 
-    Difference cover {1, 2} modulo 3: of two starts, or of the places one or two behind
-    both, one pair is sampled; so all equal strings meet in one of three sorts.
+def _merged_order(kind: np.ndarray, own: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """The order of all suffixes: the sampled ones sorted by name, the remaining ones merged in.
+
+    kind: place modulo 3. A remaining suffix (0) is compared with a sampled one by the bytes
+    before the next places that are sampled in both: `one` on for kind 1, `two` on for kind 2.
     """
-    if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    padded = np.concatenate((text, np.zeros(length + 64, dtype=np.uint8)))
-    character = np.zeros(len(padded) - 7, dtype=np.uint64)
-    for k in range(8):
-        character |= padded[k : len(padded) - 7 + k].astype(np.uint64) << np.uint64(56 - 8 * k)
-    character = _ranks(character)
-    reach = 24  # bytes that a name stands for
-
-    def sampled(steps: tuple[int, ...]) -> np.ndarray:
-        wanted = np.zeros(len(padded), dtype=bool)
-        for shift in (0, 1, 2):
-            for step in steps:
-                wanted[starts + shift + step] = True
+    sampled, rest = np.flatnonzero(kind), np.flatnonzero(kind == 0)
+    sampled, rest = sampled[np.argsort(own[sampled])], rest[np.argsort(one[rest])]
+    firsts, seconds = sampled[kind[sampled] == 1], sampled[kind[sampled] == 2]
+    before = np.searchsorted(one[firsts], one[rest]) + np.searchsorted(two[seconds], two[rest])
+    place = np.zeros(len(kind), dtype=bool)
+    place[before + np.arange(len(rest))] = True
+    order = np.empty(len(kind), dtype=np.int64)
+    order[place], order[~place] = rest, sampled
+    return order
+
+
+def suffix_order(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order of the suffixes from `starts` by their first `length` bytes, whether each differs there from the one before).
+
+    Difference cover {1, 2} modulo 3, with characters of 4 bytes: triples at the sampled
+    places are sorted and named; the names, read as a string, are sorted and named again
+    where they repeat, each time for twice the bytes; the remaining suffixes are merged in;
+    neighbours are compared.
+    """
+    padded = np.concatenate((text, np.zeros(2 * length + 64, dtype=np.uint8)))
+    wide = padded.astype(np.uint64)
+    character = wide[:-3] << np.uint64(24) | wide[1:-2] << np.uint64(16) | wide[2:-1] << np.uint64(8) | wide[3:]
+    reaches = [12]  # bytes that a name stands for, multiples of 3
+    while reaches[-1] * 2 <= length - 2:
+        reaches.append(reaches[-1] * 2)
+    reach = reaches[-1]
+    # what the last names leave of the prefix: names again at a sampled place, and up to 2 bytes
+    left = [length - shift - reach for shift in (0, 1, 2)]
+    steps = [sorted({0, *(n - n % 3 for n in left)})]
+    for shorter in reversed(reaches[:-1]):
+        steps.insert(0, sorted({*steps[0], *(step + shorter for step in steps[0])}))
+    near = np.zeros(len(padded), dtype=bool)
+    for shift in (0, 1, 2):
+        near[starts + shift] = True
+
+    def sampled(steps: list[int]) -> np.ndarray:
+        wanted = near.copy()
+        for step in steps[1:]:
+            wanted[step:] |= near[: len(near) - step]
         wanted[::3] = False
         return np.flatnonzero(wanted)
 
-    # triples of characters
-    at = sampled((0, reach))
     names = np.zeros(len(padded), dtype=np.uint64)
-    names[at] = _named([character[at], character[at + 8], character[at + 16]])
-    # the name of two names reaches twice as far; 24 is a multiple of 3
-    at = sampled((0,))
-    ranks = np.zeros(len(padded), dtype=np.uint64)
-    ranks[at] = _named([names[at], names[at + reach]])
-
-    def spelt(at: np.ndarray, first: int, end: int) -> list[np.ndarray]:
-        """The bytes first to end after each place, four to a number."""
-        out = []
-        for k in range(first, end, 4):
-            number = np.zeros(len(at), dtype=np.uint64)
-            for j in range(k, min(k + 4, end)):
-                number = number << np.uint64(8) | padded[at + j].astype(np.uint64)
-            out.append(number)
-        return out
-
-    # sorts: the bytes before the name, the name of 48 bytes, the bytes after it
-    best = ids.copy()
-    for shift in (0, 1, 2):
-        mine = np.flatnonzero((starts + shift) % 3 != 0)
-        if not len(mine):
-            continue
-        at = starts[mine]
-        key = _named([*spelt(at, 0, shift), ranks[at + shift], *spelt(at, shift + 2 * reach, length)])
-        order = np.argsort(key)
-        groups, ends = runs(key[order])  # neighbours with equal prefixes
-        lowest = np.repeat(np.minimum.reduceat(ids[mine][order], groups), ends - groups)
-        best[mine[order]] = np.minimum(best[mine[order]], lowest)
+    at = sampled(steps[0])
+    names[at] = _refined(_names(character[at] << np.uint64(32) | character[at + 4]), character[at + 8])
+    for shorter, needed in zip(reaches[:-1], steps[1:], strict=True):
+        at = sampled(needed)
+        names[at] = _refined(names[at], names[at + shorter])
+
+    def prefix(kinds: tuple[int, ...], shift: int) -> np.ndarray:
+        """Numbers in the order of the prefixes, for starts whose place `shift` on is sampled."""
+        key = np.zeros(len(starts), dtype=np.uint64)
+        mine = np.flatnonzero((kind == kinds[0]) | (kind == kinds[1]))
+        at = starts[mine] + shift
+        step, tail = left[shift] - left[shift] % 3, left[shift] % 3
+        number = _refined(names[at], names[at + step]) if step else names[at]
+        for k in range(shift):
+            number = number | wide[at - 1 - k] << np.uint64(32 + 8 * k)
+        for k in range(tail):
+            number = number << np.uint64(8) | wide[at + step + reach + k]
+        key[mine] = number
+        return key
+
+    kind = starts % 3
+    own, one, two = prefix((1, 2), 0), prefix((0, 1), 1), prefix((0, 2), 2)
+    order = _merged_order(kind, own, one, two)
+    left_kind, right_kind = kind[order][:-1], kind[order][1:]
+    both = (left_kind != 0) & (right_kind != 0)
+    second = (left_kind == 2) | (right_kind == 2)
+    new = np.ones(len(order), dtype=bool)
+    a, b = order[:-1], order[1:]
+    new[1:] = np.where(both, own[a] != own[b], np.where(second, two[a] != two[b], one[a] != one[b]))
+    return order, new
+
+
+def lowest_ids(text: np.ndarray, starts: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
+    """For each start, the smallest id among the starts with the same `length` bytes."""
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64)
+    order, new = suffix_order(text, starts, length)
+    heads = np.flatnonzero(new)
+    best = np.empty(len(starts), dtype=ids.dtype)
+    best[order] = np.repeat(np.minimum.reduceat(ids[order], heads), np.diff(np.append(heads, len(order))))
     return best
 
 

@@ -146,6 +146,21 @@ def test_difference_cover_sort_against_all_pairs():
             assert got[k] == min(i for t, i in zip(starts, ids, strict=True) if raw[t : t + 50] == raw[s : s + 50])
 
 
+@pytest.mark.parametrize("length", [48, 49, 50, 51, 60, 64, 75, 97, 98, 130])
+def test_suffix_order_is_the_order_of_the_prefixes(length):
+    rng = np.random.default_rng(length)
+    for letters in (1, 2, 3, 256):
+        for repeats in (1, 3, 7):
+            text = np.tile(rng.integers(0, letters, 90).astype(np.uint8), repeats + 2)
+            text[rng.integers(0, len(text), repeats)] ^= 1
+            starts = np.flatnonzero(rng.random(len(text) - length + 1) < rng.choice([0.3, 1.0]))
+            order, new = suffix_dedup.suffix_order(text, starts, length)
+            prefixes = [text[i : i + length].tobytes() for i in starts]
+            sorted_ = [prefixes[i] for i in order]
+            assert sorted_ == sorted(prefixes)
+            assert new.tolist() == [i == 0 or sorted_[i] != sorted_[i - 1] for i in range(len(sorted_))]
+
+
 def test_anchor_depends_on_the_string_alone():
     rng = np.random.default_rng(2)
     piece = rng.integers(97, 100, 50).astype(np.uint8)
