@@ -67,15 +67,25 @@ def _delete(spark: SparkSession, path: str) -> None:
         pass
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def staged(df: DataFrame, label: str, free_shuffles: bool = False) -> DataFrame:
     """Write to the shared folder and read back, so that no later failure recomputes it.
 
-    The folder is deleted when the driver ends.
+    The folder is deleted when the driver ends. free_shuffles: delete the shuffle files of
+    the write as soon as it has ended, not when the collector finds them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
     atexit.register(_delete, spark, path)
-    df.write.parquet(path)
+    before = spark.conf.get(_FREE_SHUFFLES)
+    if free_shuffles:
+        spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before)
     back = spark.read.schema(df.schema).parquet(path)
     back._staged_path = path
     return back

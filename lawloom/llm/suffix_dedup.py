@@ -505,13 +505,13 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
         .select("keys", "ids", "places", "high", "hot")
         .mapInArrow(_shared_anchors, "anchor_id long, place int, hot long")
     )
-    shared = staged(flags, "shared-anchors")
+    shared = staged(flags, "shared-anchors", free_shuffles=True)
     forget(dealt)
     flags = (
         shared.groupBy("anchor_id").agg(F.collect_list("place").alias("anchors"), F.collect_set("hot").alias("hot"))
     )
     marked = plain.join(flags, F.col("id") == F.col("anchor_id")).select("id", "text", "anchors", "hot")
-    stretches = staged(deal_stretches(marked, length, parts), "stretches")
+    stretches = staged(deal_stretches(marked, length, parts), "stretches", free_shuffles=True)
     forget(shared)
     best = stretches.select("batch", "part", "texts", "lengths", "lows").groupBy("part").applyInArrow(
         _sort_part(length), "batch string, part long, best binary"
@@ -530,7 +530,8 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
             columns = [batch.column(0), batch.column(1), pa.array(spans, pa.list_(place))]
             yield pa.RecordBatch.from_arrays(columns, ["span_id", "tag", "spans"])
 
-    spans = staged(map_texts(collected, merge, "span_id long, tag long, spans array<struct<first: bigint, end: bigint>>"), "spans")
+    schema = "span_id long, tag long, spans array<struct<first: bigint, end: bigint>>"
+    spans = staged(map_texts(collected, merge, schema), "spans", free_shuffles=True)
     forget(stretches)
     return spans
 
