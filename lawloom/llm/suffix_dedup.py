@@ -34,12 +34,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lawloom.llm.common import forget, map_texts, staged, text_or_empty
-from lawloom.llm.hashing import mix64
+from lawloom.llm.hashing import mix64, text_chunks
 from lawloom.llm.packing import join_packed, pack, runs, to_batch, unpack
 
 GRAM = 24
@@ -49,6 +50,8 @@ ANCHOR_BITS = 48
 PART_BYTES = 1 << 22
 #: An anchor found more often is dealt by whole strings; the parts of rarer ones stay bounded.
 HOT_ANCHOR = 1 << 14
+#: Texts whose anchors are found together, about; the place in them fits beside a hash.
+CHUNK_BYTES = 60_000
 _NULL_ID = (1 << 63) - 1
 _BYTE_KEYS = np.random.default_rng(977).integers(1, 1 << 63, 256, dtype=np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -98,9 +101,13 @@ def _ordered(ids: np.ndarray) -> np.ndarray:
     return ids.view(np.uint64) ^ np.uint64(1 << 63)
 
 
-def _texts(column: pa.Array):
-    for value in column:
-        yield np.frombuffer((value.as_py() or "").encode(), dtype=np.uint8)
+def _strings(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of grams, anchor of the string from each place, places whose string lies in one text) of texts in a row."""
+    grams, anchor = anchor_of_strings(data, length)
+    inside = np.ones(len(anchor), dtype=bool)
+    for end in offsets[1:-1]:
+        inside[max(0, end - length + 1) : end] = False
+    return grams, anchor, np.flatnonzero(inside)
 
 
 def _batch_name(made: int) -> str:
@@ -118,13 +125,16 @@ def deal_anchors(docs: DataFrame, length: int, parts: int) -> DataFrame:
     def deal(batches):
         for made, batch in enumerate(batches):
             hashes, ids, places = [], [], []
-            for own, data in zip(_own_ids(batch.column(0)), _texts(batch.column(1)), strict=True):
+            own = _own_ids(batch.column(0))
+            for row, end, data, offsets in text_chunks(batch.column(1), CHUNK_BYTES):
                 if len(data) >= length:
-                    grams, anchor = anchor_of_strings(data, length)
-                    at = anchor[np.append(True, anchor[1:] != anchor[:-1])]  # anchors never go back
+                    grams, anchor, starts = _strings(data, offsets, length)
+                    at = anchor[starts]
+                    at = at[np.append(True, at[1:] != at[:-1])[: len(at)]]  # anchors never go back
+                    text = np.searchsorted(offsets, at, "right") - 1
                     hashes.append(grams[at])
-                    places.append(at)
-                    ids.append(np.full(len(at), own))
+                    places.append(at - offsets[text])
+                    ids.append(own[row:end][text])
             rows = []
             if hashes:
                 hashes, ids, places = np.concatenate(hashes), _ordered(np.concatenate(ids)), np.concatenate(places)
@@ -228,10 +238,9 @@ def _pieces(text: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np.ndar
     return text[np.repeat(first - before, lengths) + np.arange(lengths.sum())]
 
 
-def _dealt(name: str, texts, firsts, ends, ids, tags, anchors, parts: int) -> pa.RecordBatch:
+def _dealt(name: str, chunks: list[tuple], parts: int) -> pa.RecordBatch:
     """Rows (batch, part, ...) of the stretches of some texts; equal stretches travel once."""
-    offsets = np.repeat(np.cumsum([0] + [len(t) for t in texts[:-1]]), [len(f) for f in firsts])
-    text, first, end, own, tag, anchor = (np.concatenate(x) for x in (texts, firsts, ends, ids, tags, anchors))
+    text, first, end, own, tag, anchor, offsets = (np.concatenate(x) for x in zip(*chunks, strict=True))
     own = _ordered(own)
     part = mix64(anchor) % np.uint64(parts)
     one, two = _stretch_hashes(text, first, end)
@@ -261,41 +270,44 @@ def deal_stretches(docs: DataFrame, length: int, parts: int) -> DataFrame:
 
     def deal(batches):
         for made, batch in enumerate(batches):
-            texts, firsts, ends, ids, tags, anchors, size = [], [], [], [], [], [], 0
-            columns = _own_ids(batch.column(0)), _texts(batch.column(1)), batch.column(2), batch.column(3)
-            for own, data, marked, common in zip(*columns, strict=True):
-                places = marked.values.to_numpy(zero_copy_only=False)
-                hot = common.values.to_numpy(zero_copy_only=False).astype(np.uint64)
-                if not len(places) or len(data) < length:
+            chunks, size = [], 0
+            own = _own_ids(batch.column(0))
+            marked, hot = batch.column(2), np.unique(batch.column(3).flatten().to_numpy(zero_copy_only=False)).astype(np.uint64)
+            marks = pc.list_value_length(marked).to_numpy(zero_copy_only=False)
+            until, marked = np.concatenate(([0], np.cumsum(marks))), marked.flatten().to_numpy(zero_copy_only=False)
+            for row, end, data, offsets in text_chunks(batch.column(1), CHUNK_BYTES):
+                if len(data) < length:
                     continue
-                grams, anchor = anchor_of_strings(data, length)
+                grams, anchor, starts = _strings(data, offsets, length)
+                # other texts of the same id have places, too
+                at = np.repeat(offsets[:-1], marks[row:end]) + marked[until[row] : until[end]]
+                at = at[at + GRAM <= np.repeat(offsets[1:], marks[row:end])]
                 repeated = np.zeros(len(grams), dtype=bool)
-                repeated[places[places < len(grams)]] = True  # other texts of the same id have places, too
-                starts = np.flatnonzero(repeated[anchor])
+                repeated[at] = True
+                starts = starts[repeated[anchor[starts]]]
                 if not len(starts):
                     continue
-                new = np.ones(len(starts), dtype=bool)
+                new = np.ones(len(starts), dtype=bool)  # texts end with places that start no string
                 new[1:] = (np.diff(starts) > 1) | (np.diff(anchor[starts]) != 0)
                 key = grams[anchor[starts]]
-                if len(hot):
+                if len(hot):  # a hot anchor is hot in every text that shares it
                     alone = np.isin(key, hot)
                     new |= alone
                     new[1:] |= alone[:-1]
                     key[alone] = _stretch_hashes(data, starts[alone], starts[alone] + length)[0]
                 first = starts[new]
                 last = starts[np.append(new[1:], True)]
-                texts.append(data)
-                firsts.append(first + size)
-                ends.append(last + length + size)
-                ids.append(np.full(len(first), own))
-                tags.append(np.full(len(first), zlib.crc32(data.tobytes()), dtype=np.uint32))
-                anchors.append(key[new])
+                text = np.searchsorted(offsets, first, "right") - 1
+                tags = np.zeros(end - row, dtype=np.uint32)
+                for i in np.unique(text):
+                    tags[i] = zlib.crc32(data[offsets[i] : offsets[i + 1]])
+                chunks.append((data, first + size, last + length + size, own[row:end][text], tags[text], key[new], offsets[text] + size))
                 size += len(data)
                 if size > _DEALT_BYTES:
-                    yield _dealt(_batch_name(made) + f"-{size}-{own}", texts, firsts, ends, ids, tags, anchors, parts)
-                    texts, firsts, ends, ids, tags, anchors, size = [], [], [], [], [], [], 0
-            if texts:
-                yield _dealt(_batch_name(made), texts, firsts, ends, ids, tags, anchors, parts)
+                    yield _dealt(f"{_batch_name(made)}-{end}", chunks, parts)
+                    chunks, size = [], 0
+            if chunks:
+                yield _dealt(_batch_name(made), chunks, parts)
 
     return map_texts(docs, deal, _STRETCHES)
 
