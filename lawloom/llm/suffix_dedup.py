@@ -50,11 +50,13 @@ ANCHOR_BITS = 48
 PART_BYTES = 1 << 22
 #: An anchor found more often is dealt by whole strings; the parts of rarer ones stay bounded.
 HOT_ANCHOR = 1 << 14
-#: Texts whose anchors are found together, about; the place in them fits beside a hash.
-CHUNK_BYTES = 60_000
+#: Bytes whose anchors are found together: a place in them fits beside a hash, and their
+#: arrays of 8 bytes a place are small enough for the allocator to use the same memory again.
+CHUNK_BYTES = 15_000
 _NULL_ID = (1 << 63) - 1
 _BYTE_KEYS = np.random.default_rng(977).integers(1, 1 << 63, 256, dtype=np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_FACTORS = np.random.default_rng(978).integers(1, 1 << 62, 4, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Spans, and two for each of their documents, known to fit a broadcast (about 32 bytes each).
 MAX_BROADCAST_SPANS = 1_000_000
 
@@ -63,11 +65,11 @@ MAX_BROADCAST_SPANS = 1_000_000
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the GRAM bytes from each place, by doubling."""
+    """Hash of the GRAM bytes from each place, by doubling; bits are spread once, at the end."""
     doubled = [_BYTE_KEYS[data]]
-    for width in (1, 2, 4, 8):
+    for width, factor in zip((1, 2, 4, 8), _FACTORS, strict=True):
         h = doubled[-1]
-        doubled.append(mix64(h[: len(h) - width] * _ODD + h[width:]))
+        doubled.append(h[: len(h) - width] * factor + h[width:])
     eight, sixteen = doubled[3], doubled[4]
     n = max(0, len(data) - GRAM + 1)
     return mix64(sixteen[:n] * _ODD + eight[16 : 16 + n]) >> np.uint64(64 - ANCHOR_BITS)
@@ -75,14 +77,17 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 
 def anchor_of_strings(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of grams, place of the anchor of the string from each place): the leftmost smallest."""
+    block = max(CHUNK_BYTES, 2 * length)
+    step = block - length + 1
+    if len(data) > block:  # blocks that overlap
+        firsts = range(0, len(data) - length + 1, step)
+        blocks = [anchor_of_strings(data[a : a + block], length) for a in firsts]
+        grams = np.concatenate([*(g[:step] for g, _ in blocks[:-1]), blocks[-1][0]])
+        return grams, np.concatenate([anchor + a for a, (_, anchor) in zip(firsts, blocks, strict=True)])
     grams = gram_hashes(data)
     window = length - GRAM + 1
     # the hash above the place: the minimum of these is the leftmost smallest hash
     keyed = grams << np.uint64(64 - ANCHOR_BITS) | (np.arange(len(grams), dtype=np.uint64) & np.uint64((1 << (64 - ANCHOR_BITS)) - 1))
-    if len(data) >= 1 << (64 - ANCHOR_BITS):  # the place does not fit: look in blocks that overlap
-        step = (1 << (64 - ANCHOR_BITS)) - length
-        found = [anchor_of_strings(data[a : a + step + length - 1], length)[1] + a for a in range(0, len(data) - length + 1, step)]
-        return grams, np.concatenate(found)[: len(data) - length + 1]
     span, width = keyed, 1
     while width * 2 <= window:
         span = np.minimum(span[: len(span) - width], span[width:])
@@ -244,17 +249,17 @@ def _dealt(name: str, chunks: list[tuple], parts: int) -> pa.RecordBatch:
     own = _ordered(own)
     part = mix64(anchor) % np.uint64(parts)
     one, two = _stretch_hashes(text, first, end)
-    order = np.lexsort((own, two, one, part))
+    order = np.lexsort((one, part))  # of two texts with one hash, copies may travel more than once
     first, end, own, tag, part, one, two, offsets = (x[order] for x in (first, end, own, tag, part, one, two, offsets))
     new = np.ones(len(order), dtype=bool)
     new[1:] = (part[1:] != part[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
     distinct = np.cumsum(new) - 1
     rows = []
     for a, b in zip(*runs(part), strict=True):
-        lead = np.flatnonzero(new[a:b]) + a  # the first of equal ones has the lowest id
+        lead = np.flatnonzero(new[a:b]) + a
         lengths = end[lead] - first[lead]
         blobs = (
-            _pieces(text, first[lead], lengths), lengths.astype(np.uint32), own[lead],
+            _pieces(text, first[lead], lengths), lengths.astype(np.uint32), np.minimum.reduceat(own[a:b], lead - a),
             (distinct[a:b] - distinct[a]).astype(np.uint32), own[a:b], tag[a:b], (first[a:b] - offsets[a:b]).astype(np.uint32),
         )
         rows.append((name, int(part[a]), *(pack(x) for x in blobs)))
@@ -455,7 +460,7 @@ def _sort_part(length: int):
         begin = np.cumsum(lengths) - lengths
         # stretches that several batches have are sorted once, with their lowest id
         one, two = _stretch_hashes(text, begin, begin + lengths)
-        order = np.lexsort((two, one))
+        order = np.argsort(one)  # two texts with one hash cost a comparison, no result
         new = np.ones(len(order), dtype=bool)
         new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
         heads = np.flatnonzero(new)
