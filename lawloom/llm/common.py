@@ -79,13 +79,15 @@ def staged(df: DataFrame, label: str, free_shuffles: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
     atexit.register(_delete, spark, path)
-    before = spark.conf.get(_FREE_SHUFFLES)
     if free_shuffles:
+        before = spark.conf.get(_FREE_SHUFFLES)
         spark.conf.set(_FREE_SHUFFLES, "true")
-    try:
+        try:
+            df.write.parquet(path)
+        finally:
+            spark.conf.set(_FREE_SHUFFLES, before)
+    else:
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_FREE_SHUFFLES, before)
     back = spark.read.schema(df.schema).parquet(path)
     back._staged_path = path
     return back
