@@ -39,6 +39,6 @@ from lawloom.operators.prepare import (
     watch_rejections,
     watched_counts,
 )
-from lawloom.operators.words import default_stop_words, drop_stop_words, explode_words, word_frequency
+from lawloom.operators.words import deal_texts, default_stop_words, drop_stop_words, explode_words, word_frequency
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lawloom import operators as op
+from tests.conftest import plan_of
+from workload import text_queries
 
 BILLS = "id long, siglaTipo string, dataApresentacao string"
 
@@ -122,3 +124,23 @@ def test_word_frequency_does_not_depend_on_partitions(spark, partitions):
         for w in text.split():
             expected[i, w] = expected.get((i, w), 0) + 1
     assert {(r.id, r.word): r.frequency for r in op.word_frequency(df).collect()} == expected
+
+
+def test_texts_are_dealt_to_parts_of_bounded_size(spark, monkeypatch):
+    """More text makes more parts, not larger ones, and the counts stay where the texts are."""
+    from lawloom.operators import words
+
+    monkeypatch.setattr(words, "TEXT_PART", 1000)
+    for rows in (200, 800):
+        docs = spark.range(rows).selectExpr("id", "if(id = 3, null, concat('a b a c', id % 7)) AS text")
+        dealt = op.deal_texts(docs)
+        size = docs.selectExpr("sum(octet_length(text))").first()[0]
+        assert dealt.rdd.getNumPartitions() == max(size // 1000 + 1, spark.sparkContext.defaultParallelism)
+        counts = op.word_frequency(dealt)
+        assert plan_of(counts).count("Exchange") == 1
+        assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, op.word_frequency(docs).collect()))
+
+
+def test_the_query_counts_words_where_the_texts_are(spark):
+    plan = plan_of(text_queries.word_frequency(spark, "/root/testdata/sf0.001"))
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan

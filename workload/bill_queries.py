@@ -296,7 +296,7 @@ UNION ALL SELECT c_custkey, c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR) F
 
 def merge_update_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word frequencies of the documents updated by those of the conversations."""
-    target = op.word_frequency(si.documents(spark, sf_dir), id_column="doc_id")
+    target = op.word_frequency(op.deal_texts(si.texts(spark, sf_dir), "doc_id"), id_column="doc_id")
     source = op.word_frequency(si.table(spark, sf_dir, "conversations").hint("rebalance"), id_column="conv_id")
     return op.merge_tables(target, source, ["id", "word"], "update")
 

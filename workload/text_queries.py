@@ -36,7 +36,7 @@ def _sql_cycle(key: str, variants: list[str]) -> str:
 
 
 def word_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.word_frequency(si.documents(spark, sf_dir), id_column="doc_id")
+    return op.word_frequency(op.deal_texts(si.texts(spark, sf_dir), "doc_id"), id_column="doc_id")
 
 
 WORD_FREQUENCY_SQL = f"WITH {TOKENS} SELECT id, word, CAST(count(*) AS INTEGER) AS frequency FROM tokens GROUP BY ALL"
