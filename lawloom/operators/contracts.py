@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lawloom.schemas import Table
@@ -51,13 +51,39 @@ def check_contract(rows: DataFrame, table: Table, unique_keys: bool = True) -> i
 
     Only the counts come to the driver, one row per column of the table.
     """
-    required = [f.name for f in table.schema.fields if not f.nullable]
-    found = contract_violations(rows, required, table.keys).collect()
-    broken = [
-        f"{r['check']} {r['column_name']}: {r['n']}"
-        for r in found
-        if r["n"] and (r["check"] == "null" or (r["check"] == "duplicate_key" and unique_keys))
-    ]
+    found = contract_violations(rows, _required(table), table.keys).collect()
+    return _raise_if_broken(table, [tuple(r) for r in found], unique_keys)
+
+
+def watch_contract(rows: DataFrame, table: Table, dealt_by: Sequence[str], unique_keys: bool = True) -> tuple[DataFrame, Observation]:
+    """The rows, with an observation that the pass which writes them fills, for `watched_contract`.
+
+    The rows come dealt by the columns `dealt_by`, which follow from the key. For unique keys
+    they are sorted by these and the key where they lie, and not shuffled again. Observe in
+    the stage that writes: a task that runs twice counts once there.
+    """
+    watch, surplus = Observation(), F.lit(False)
+    if unique_keys:
+        keys = [*dealt_by, *table.keys]
+        rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)))
+        surplus = F.col("_nth") > 1
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(_required(table))]
+    return rows.observe(watch, F.count("*").alias("rows"), F.count_if(surplus).alias("surplus"), *nulls).drop("_nth"), watch
+
+
+def watched_contract(watch: Observation, table: Table) -> int:
+    """The number of rows that were written; raises when they broke the contract."""
+    seen = watch.get
+    found = [("rows", "", seen["rows"]), ("duplicate_key", ",".join(table.keys), seen["surplus"])]
+    return _raise_if_broken(table, found + [("null", c, seen[f"null_{i}"]) for i, c in enumerate(_required(table))], True)
+
+
+def _required(table: Table) -> list[str]:
+    return [f.name for f in table.schema.fields if not f.nullable]
+
+
+def _raise_if_broken(table: Table, found: Sequence[tuple[str, str, int]], unique_keys: bool) -> int:
+    broken = [f"{check} {name}: {n}" for check, name, n in found if n and (check == "null" or (check == "duplicate_key" and unique_keys))]
     if broken:
         raise ContractError(f"{table.name}: " + "; ".join(broken))
-    return next(r["n"] for r in found if r["check"] == "rows")
+    return next(n for check, _, n in found if check == "rows")

@@ -6,13 +6,14 @@ import uuid
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lawloom import schemas
 from lawloom.operators import model as m
 from lawloom.operators.calls import Calls
 from lawloom.operators.changes import changed, settings_digest, with_digest
 from lawloom.operators.normalize import proposition_rows, unique_authors
-from lawloom.operators.words import default_stop_words, word_frequency
+from lawloom.operators.words import deal_texts, default_stop_words, text_parts, word_frequency
 from lawloom.sinks.files import remove, shared_dir
 from lawloom.sinks.responses import store_responses
 from lawloom.sinks.snapshots import create_tables, read_table, upsert
@@ -104,12 +105,35 @@ def _analyse(
 def count_words(
     bills: DataFrame, root: str, stop_words: Iterable[str] | DataFrame, text_column: str = "text", changed_only: bool = False
 ) -> int:
-    """Merge the word counts of the bills; returns the number of rows merged, see `analyse`."""
+    """Merge the word counts of the bills; returns the number of rows merged, see `analyse`.
+
+    Give the bills as they are stored: their texts are shuffled once, by id. With
+    `changed_only`, digests are compared first, and only the changed texts are shuffled.
+    """
     spark = bills.sparkSession
+
+    def merge(texts: DataFrame, n_bytes: int | None) -> int:
+        parts = text_parts(n_bytes)
+        dealt = deal_texts(texts.select("id", text_column), "id", text_column, parts)
+        counts = word_frequency(dealt, stop_words, text_column=text_column)
+        return upsert(spark, root, schemas.WORD_CLOUD, counts, parts=max(parts // 2 + 1, spark.sparkContext.defaultParallelism))
+
+    size = F.octet_length(text_column)
     if not changed_only:
-        return upsert(spark, root, schemas.WORD_CLOUD, word_frequency(bills, stop_words, text_column=text_column))
+        return merge(bills, bills.agg(F.sum(size)).first()[0])
     named = with_digest(bills.select("id", text_column), text_column, settings_digest(stop_words))
-    new = changed(named, read_table(spark, root, schemas.TEXT_DIGESTS))
-    merged = upsert(spark, root, schemas.WORD_CLOUD, word_frequency(new, stop_words, text_column=text_column))
-    upsert(spark, root, schemas.TEXT_DIGESTS, new.select("id", "digest"))
-    return merged
+    noted = f"{shared_dir(spark)}/changed-{uuid.uuid4().hex}"
+    try:
+        digests = named.select("id", "digest", size.alias("n_bytes"))
+        changed(digests, read_table(spark, root, schemas.TEXT_DIGESTS)).write.parquet(noted)
+        new = spark.read.schema(digests.schema).parquet(noted)
+        n_new, n_bytes = new.agg(F.count("*"), F.sum("n_bytes")).first()
+        if n_new < bills.count():  # if all texts are new, there is nothing to join
+            ours = new.select(F.col("id").alias("_id"), F.col("digest").alias("_digest"))
+            same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
+            named = named.join(ours, same, "left_semi")
+        merged = merge(named, n_bytes)
+        upsert(spark, root, schemas.TEXT_DIGESTS, new.select("id", "digest"))
+        return merged
+    finally:
+        remove(spark, noted)

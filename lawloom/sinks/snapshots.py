@@ -22,7 +22,7 @@ from typing import Any, Literal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.operators.contracts import check_contract, conform
+from lawloom.operators.contracts import conform, watch_contract, watched_contract
 from lawloom.operators.merge import merge_tables, new_rows
 from lawloom.schemas import TABLES, Table
 from lawloom.sinks.commits import CommitLog, LostRaceError, hadoop_path
@@ -38,7 +38,13 @@ __all__ = [
     "vacuum",
 ]
 
-_BUCKET = "_bucket"
+_BUCKET, _SLICE = "_bucket", "_slice"
+#: Slices of a bucket if nobody says in how many parts the rows come.
+_SLICES = 16
+#: So many values of the leading key column are sent to all tasks at most.
+_FEW = 1 << 18
+#: Files that a task may hold open; with more buckets it sorts.
+_OPEN_FILES = 64
 
 
 @dataclass(frozen=True)
@@ -125,21 +131,76 @@ def create_tables(
             _publish(spark, root, table, state.following, Manifest(buckets, tuple(bucket_by)))
 
 
-def _write(spark: SparkSession, root: str, table: Table, version: int, manifest: Manifest, rows: DataFrame) -> dict[int, str]:
-    """Write rows into a data folder of their own; the folder of each bucket that has rows."""
-    name = f"data-{version:08d}-{uuid.uuid4().hex}"
+def _data_folder(version: int) -> str:
+    return f"data-{version:08d}-{uuid.uuid4().hex}"
+
+
+def _write(
+    spark: SparkSession, root: str, table: Table, version: int, manifest: Manifest, rows: DataFrame, in_place: DataFrame | None = None
+) -> dict[int, str]:
+    """Write rows into a data folder of their own; the folder of each bucket that has rows.
+
+    in_place: rows that come from the files of their buckets and are not shuffled.
+    """
+    name = _data_folder(version)
     path = f"{root}/{table.name}/{name}"
     if manifest.buckets == 1:
-        rows.write.parquet(path)
+        (rows if in_place is None else rows.unionByName(in_place)).write.parquet(path)
         return {0: name}
     # Rebalanced, a small bucket is one file and a large one is split into several.
     dealt = rows.withColumn(_BUCKET, manifest.bucket(table)).hint("rebalance", F.col(_BUCKET))
-    dealt.write.partitionBy(_BUCKET).parquet(path)
-    fs, folder = hadoop_path(spark, path)
+    if in_place is None:
+        dealt.write.partitionBy(_BUCKET).parquet(path)
+    else:
+        dealt = dealt.unionByName(in_place.withColumn(_BUCKET, manifest.bucket(table)))
+        _write_unsorted(dealt, path)
+    return _written(spark, root, table, name)
+
+
+def _write_unsorted(rows: DataFrame, path: str) -> None:
+    """Write rows by bucket with several files of a task open, so that it need not sort what it reads."""
+    conf, name = rows.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    ours = conf.get(name) == "0"
+    if ours:
+        conf.set(name, _OPEN_FILES)
+    try:
+        rows.write.partitionBy(_BUCKET).parquet(path)
+    finally:
+        if ours:
+            conf.set(name, 0)
+
+
+def _written(spark: SparkSession, root: str, table: Table, name: str) -> dict[int, str]:
+    fs, folder = hadoop_path(spark, f"{root}/{table.name}/{name}")
     names = [s.getPath().getName() for s in fs.listStatus(folder)]
     return {int(n.split("=")[1]): f"{name}/{n}" for n in names if n.startswith(f"{_BUCKET}=")}
 
 
+def _write_checked(
+    spark: SparkSession, root: str, table: Table, manifest: Manifest, source: DataFrame, name: str, unique_keys: bool, parts: int | None
+) -> tuple[int, dict[int, str]]:
+    """Write the source and check its contract in the same pass; its rows, and the folders that were written, by bucket.
+
+    Where keys are unique, a bucket's rows are dealt out by slices of their keys' hashes, so
+    equal keys meet and a file has one bucket. `parts` are for four slices each.
+    """
+    path = f"{root}/{table.name}/{name}"
+    if not unique_keys:
+        watched, watch = watch_contract(conform(source, table), table, (), False)
+        watched.write.parquet(path)
+        return watched_contract(watch, table), {0: name}
+    slices = (_SLICES if manifest.buckets > 1 else 64 * _SLICES) if parts is None else -(-4 * parts // manifest.buckets)
+    again = F.pmod(F.xxhash64(F.lit("slice"), *table.keys), F.lit(slices)).cast("int")
+    dealt = conform(source, table).withColumn(_BUCKET, manifest.bucket(table)).withColumn(_SLICE, again)
+    dealt = dealt.repartition(*([] if parts is None else [parts]), _BUCKET, _SLICE)
+    watched, watch = watch_contract(dealt, table, (_BUCKET, _SLICE))
+    if manifest.buckets == 1:
+        watched.drop(_BUCKET, _SLICE).write.parquet(path)
+        return watched_contract(watch, table), {0: name}
+    watched.drop(_SLICE).write.partitionBy(_BUCKET).parquet(path)
+    return watched_contract(watch, table), _written(spark, root, table, name)
+
+
 def _merge_once(
     spark: SparkSession, root: str, table: Table, staged: DataFrame, mode: str, batch: tuple[str, int] | None
 ) -> bool:
@@ -156,8 +217,14 @@ def _merge_once(
     old = [name for b in sorted(touched) for name in manifest.folders.get(b, ())]
     target = _read(spark, root, table, old)
     adds = mode == "ignore" and manifest.buckets > 1
-    rows = new_rows(target, staged, table.keys) if adds else merge_tables(target, staged, table.keys, mode)
-    written = _write(spark, root, table, state.following, manifest, rows)
+    in_place = None
+    if adds:
+        rows = new_rows(target, staged, table.keys)
+    else:
+        if old and mode == "update" and len(table.keys) > 1:
+            target, in_place = _met(target, staged, table.keys[0])
+        rows = merge_tables(target, staged, table.keys, mode)
+    written = _write(spark, root, table, state.following, manifest, rows, in_place)
     kept = {b: manifest.folders.get(b, ()) if adds else () for b in written}
     folders = manifest.folders | {b: (*kept[b], name) for b, name in written.items()}
     batches = manifest.batches | ({batch[0]: batch[1]} if batch else {})
@@ -165,6 +232,18 @@ def _merge_once(
     return True
 
 
+def _met(target: DataFrame, staged: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of the target with a leading key value of the staged rows, and the others, if such values are few.
+
+    The others are in no merge and stay in their buckets, so they are not shuffled.
+    """
+    values = staged.select(key).distinct()
+    if values.limit(_FEW + 1).count() > _FEW:
+        return target, None
+    values = F.broadcast(values)
+    return (target.join(values, key, how).select(*target.columns) for how in ("left_semi", "left_anti"))
+
+
 def upsert(
     spark: SparkSession,
     root: str,
@@ -173,31 +252,47 @@ def upsert(
     mode: Literal["update", "ignore"] = "update",
     attempts: int = 1,
     batch: tuple[str, int] | None = None,
+    parts: int | None = None,
 ) -> int:
     """Merge `source` into the table, all or nothing; returns the number of source rows.
 
-    The source is computed once, into a staging folder; the contract check and the
-    merge read the staged Parquet. No source rows: nothing is written. If another
+    The source is computed once, dealt to buckets and checked on the way, into a staging
+    folder that the merge reads; an update of an empty table is the table's first data
+    folder at once. `parts`: to how many parts a very large source is dealt. No source
+    rows: nothing is written. If another
     writer was faster, the merge is done again on its version, up to `attempts` times in
     all; then LostRaceError is raised and the call can be repeated. `batch` is a writer's
     name and the number of its batch: a number up to the last one merged under that name
     changes nothing, and 0 is returned.
     """
-    staging = f"{root}/{table.name}/_staging/{uuid.uuid4().hex}"
-    fs, staging_path = hadoop_path(spark, staging)
+    log = _log(spark, root, table)
+    state = log.state()
+    manifest = _manifest(log, state.latest) or Manifest()
+    first = mode == "update" and not manifest.folders and not manifest.batches
+    name = _data_folder(state.following) if first else f"_staging/{uuid.uuid4().hex}"
+    fs, path = hadoop_path(spark, f"{root}/{table.name}/{name}")
+    published = False
     try:
-        conform(source, table).write.parquet(staging)
-        staged = spark.read.schema(table.schema).parquet(staging)
-        rows = check_contract(staged, table, unique_keys=mode == "update")
-        for attempt in range(attempts if rows else 0):
+        rows, written = _write_checked(spark, root, table, manifest, source, name, mode == "update", parts)
+        if not rows:
+            return 0
+        staged = spark.read.schema(table.schema).parquet(*[f"{root}/{table.name}/{folder}" for folder in written.values()])
+        for attempt in range(attempts):
             try:
+                if first and attempt == 0:
+                    folders = {b: (folder,) for b, folder in written.items()}
+                    batches = {batch[0]: batch[1]} if batch else {}
+                    _publish(spark, root, table, state.following, Manifest(manifest.buckets, manifest.bucket_by, folders, batches))
+                    published = True
+                    return rows
                 return rows if _merge_once(spark, root, table, staged, mode, batch) else 0
             except LostRaceError:
                 if attempt + 1 == attempts:
                     raise
         return rows
     finally:
-        fs.delete(staging_path, True)
+        if not published:
+            fs.delete(path, True)
 
 
 def compact(spark: SparkSession, root: str, table: Table, buckets: int | None = None) -> int:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lawloom import schemas, sinks
+from lawloom.operators import ContractError
 from lawloom.sinks import snapshots
 
 TABLE = schemas.AUTHORS
@@ -205,3 +206,58 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     sinks.compact(spark, root, TABLE, buckets=3)
     assert sinks.upsert(spark, root, TABLE, people(spark, [9]), batch=("feed", 1)) == 0
     assert names(spark, root) == {1: "n1", 2: "n2", 3: "n3"}
+
+
+# --- what is moved ----------------------------------------------------------------------
+
+
+def test_a_first_update_is_written_once(spark, tmp_path, monkeypatch):
+    """The rows that were checked are the table's: nothing merges or copies them."""
+    root, table = str(tmp_path / "db"), schemas.WORD_CLOUD
+    sinks.create_tables(spark, root, [table], buckets=4)
+    monkeypatch.setattr(snapshots, "_merge_once", None)
+    rows = [(i, w, i) for i in range(50) for w in "abc"]
+    assert sinks.upsert(spark, root, table, spark.createDataFrame(rows, table.schema), parts=3) == 150
+    assert sorted(map(tuple, sinks.read_table(spark, root, table).collect())) == rows
+    assert sinks.upsert(spark, root, schemas.AUTHORS, people(spark, range(9)), attempts=2) == 9
+    assert not list((tmp_path / "db").rglob("_staging/*"))
+
+
+def test_rows_that_no_update_can_meet_are_not_shuffled(spark, tmp_path, monkeypatch):
+    root, table = str(tmp_path / "db"), schemas.WORD_CLOUD
+    sinks.create_tables(spark, root, [table], buckets=4)
+    want = {(i, w): i for i in range(200) for w in "abc"}
+    sinks.upsert(spark, root, table, spark.createDataFrame([(*k, n) for k, n in want.items()], table.schema))
+    moved, plain = [], snapshots._write
+
+    def write(spark, root, table, version, manifest, rows, in_place=None):
+        moved.append((in_place.count(), in_place._jdf.queryExecution().executedPlan().toString()))
+        return plain(spark, root, table, version, manifest, rows, in_place)
+
+    monkeypatch.setattr(snapshots, "_write", write)
+    new = {(i, w): -1 for i in range(0, 210, 10) for w in "bd"}
+    sinks.upsert(spark, root, table, spark.createDataFrame([(*k, n) for k, n in new.items()], table.schema))
+    ((kept, plan),) = moved
+    assert kept == 540 and "Exchange hashpartitioning" not in plan.replace("\n", " ").split("BroadcastExchange")[0]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    read = lambda: {(r["id"], r["word"]): r["frequency"] for r in sinks.read_table(spark, root, table).collect()}
+    assert read() == want | new
+
+    monkeypatch.undo()  # with more values than are sent to all tasks, both sides meet by key
+    monkeypatch.setattr(snapshots, "_FEW", 1)
+    newer = {(i, "c"): -2 for i in (1, 2, 600)}
+    sinks.upsert(spark, root, table, spark.createDataFrame([(*k, n) for k, n in newer.items()], table.schema))
+    assert read() == want | new | newer
+
+
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_the_pass_that_writes_finds_broken_rows(spark, tmp_path, buckets):
+    root, table = str(tmp_path / "db"), schemas.WORD_CLOUD
+    sinks.create_tables(spark, root, [table], buckets)
+    rows = [(i % 90, f"w{i % 90}", i) for i in range(100)] + [(None, "x", 1), (None, "x", 2), (5, "y", None)]
+    broken = spark.createDataFrame(rows, "id int, word string, frequency int").repartition(7)
+    with pytest.raises(ContractError, match="duplicate_key id,word: 11; null id: 2; null frequency: 1$"):
+        sinks.upsert(spark, root, table, broken)
+    assert sinks.bucket_folders(spark, root, table) == {} and not list((tmp_path / "db").rglob("*.parquet"))
+    assert sinks.upsert(spark, root, table, broken.filter("id >= 10 AND frequency IS NOT NULL")) == 80
+    assert sinks.upsert(spark, root, table, broken.limit(0)) == 0

@@ -85,6 +85,24 @@ def test_only_changed_texts_are_counted_again(spark, tmp_path, monkeypatch):
     assert counted[-1] == 101
 
 
+def test_only_changed_texts_are_dealt(spark, tmp_path, monkeypatch):
+    import importlib
+
+    module = importlib.import_module("lawloom.plans.analyse")
+    dealt, plain = [], module.deal_texts
+    monkeypatch.setattr(module, "deal_texts", lambda docs, *rest: dealt.append(docs.count()) or plain(docs, *rest))
+    docs = spark.range(50).selectExpr("id", "concat('a b', id) AS text")
+    grown = docs.withColumn("text", F.expr("if(id % 10 = 3, concat(text, ' nova'), text)"))
+    for texts in (docs, grown, grown):
+        plans.count_words(texts, str(tmp_path / "db"), (), changed_only=True)
+    assert dealt == [50, 5, 0]
+    no_id = docs.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS id, 'c' AS text"))
+    before = words(spark, str(tmp_path / "db"))
+    with pytest.raises(op.ContractError):
+        plans.count_words(no_id, str(tmp_path / "db"), (), changed_only=True)
+    assert words(spark, str(tmp_path / "db")) == before
+
+
 def test_known_texts_are_left_out_before_tokenising(spark):
     docs = op.with_digest(spark.createDataFrame([(1, "a b")], "id long, text string"))
     known = spark.createDataFrame([(1, "x")], schemas.TEXT_DIGESTS.schema)

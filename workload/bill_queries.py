@@ -397,7 +397,7 @@ def changed_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts of all documents, then of those alone whose texts have grown since."""
     root = f"{sinks.shared_dir(spark)}/tables-{uuid.uuid4().hex}"
     atexit.register(_forget, spark, root)
-    docs = si.documents(spark, sf_dir).select(F.col("doc_id").alias("id"), "text")
+    docs = si.texts(spark, sf_dir).select(F.col("doc_id").alias("id"), "text")
     grown = docs.withColumn("text", F.when(F.col("id") % 50 == 3, F.concat("text", F.lit(" nova nova palavra"))).otherwise(F.col("text")))
     sinks.create_tables(spark, root, [schemas.WORD_CLOUD, schemas.TEXT_DIGESTS], buckets=8)
     for texts in (docs, grown):
