@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.common import map_texts, staged, text_or_empty
+from lawloom.llm.common import forget, map_texts, staged, text_or_empty
 from lawloom.llm.elias_fano import NgramTrie
 from lawloom.llm.hashing import hash_words, mix64, text_chunks
 from lawloom.llm.packing import join_packed, pack, runs, schema_batch, unpack
@@ -312,11 +312,13 @@ def score_documents(docs: DataFrame, train: Column, strength: float = 8.0) -> Da
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), text_or_empty("text").alias("text"))
     blocks = staged(document_blocks(rows), "lm-blocks")
     parts = int(blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // PART_TOKENS) + 1
-    totals = staged(word_totals(blocks, parts), "lm-totals")
+    totals = staged(word_totals(blocks, parts), "lm-totals", free_shuffles=True)
     whole = totals.agg(F.sum("n_tokens"), F.sum("n_distinct")).first()
     n_tokens, n_distinct = whole[0] or 0, whole[1] or 0
     unigrams = Unigrams(n_tokens, n_distinct)
-    numbered = staged(with_totals(blocks, totals, parts), "lm-numbered")
+    numbered = staged(with_totals(blocks, totals, parts), "lm-numbered", free_shuffles=True)
+    for done in (blocks, totals):
+        forget(done)
 
     def base(batches):
         for batch in batches:

@@ -264,6 +264,17 @@ def test_language_model_of_odd_documents(spark, odd_documents, no_documents):
     assert ngram_lm.score_documents(no_documents, F.lit(True)).count() == 0
 
 
+def test_language_model_keeps_one_staged_table(spark, tmp_path, monkeypatch):
+    """Blocks and totals are deleted when the numbered blocks are written; the scores come from these."""
+    from lawloom.llm import common
+
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path))
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat('a b c d', id % 7) AS text")
+    scored = ngram_lm.score_documents(docs, F.lit(True))
+    assert [p.name.rsplit("-", 1)[0] for p in tmp_path.glob("llm-*")] == ["llm-lm-numbered"]
+    assert scored.count() == 40
+
+
 def test_distributions_sum_to_one():
     rng = np.random.default_rng(0)
     counts = rng.integers(0, 5, 50)
