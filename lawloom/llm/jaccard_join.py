@@ -1,23 +1,26 @@
 """N-gram Jaccard join by prefix trees.
 
-Each document's distinct word shingles are put in one global order: by how frequent
-their counter is in the corpus, then by hash. Two sets with the required similarity share
-tokens at their beginnings, which gives the places where they must meet:
-
 1. Documents with equal sets become one class; the smallest id stands for it.
-2. Classes whose beginning shares too few tokens with any other class can have no link.
-3. Every class left has a home: the commonest of its shared tokens that are not much more
+2. Each set is dealt by hash to more cells than the tokens in which similar sets can
+   differ, so such sets have an equal cell. A set that shares no cell can have no link.
+   The cells are compared among all documents, then among those that stand for the
+   classes left. Only the texts of these go on.
+3. Their distinct word shingles are put in one global order: by how frequent their
+   counter is, then by hash. Two sets with the required similarity share tokens at
+   their beginnings, which gives the places where they must meet. Classes whose
+   beginning shares too few tokens with any other class are dropped, too.
+4. Every class left has a home: the commonest of its shared tokens that are not much more
    common than its middle one, so that copies of one text have few homes between them.
    A home with many classes is cut into parts of about `home_size`, and two of its
    classes are put into every part, to tie the parts together. A prefix tree over each part finds its links; subtrees that are
    already connected or cannot reach the similarity are passed over.
-4. Homes that still hold different components, and share enough tokens, are compared:
+5. Homes that still hold different components, and share enough tokens, are compared:
    the classes of the smaller one visit the prefix tree of the larger, in parts again.
 
 So all links count, but not all pairs of a group of copies are looked at, and no
 task ever holds a whole group. Links become components by star contraction.
 
-Frequency is a sum over all documents in a fixed number of counters (`COUNTERS`). The
+Frequency is a sum over the documents left in a fixed number of counters (`COUNTERS`). The
 counters only decide the order, so collisions in them cost time, not links.
 
 Defined results: a null or wordless text has an empty set and no links; a text shorter
@@ -36,6 +39,7 @@ from pyspark.sql import functions as F
 from lawloom.llm.common import broadcast_if_small, forget, map_texts, staged
 from lawloom.llm.components import connected_components
 from lawloom.llm.hashing import hash_words, mix64, shingle_sets, text_chunks
+from lawloom.llm.packing import join_packed, pack, runs
 from lawloom.llm.prefix_tree import links_among, links_between
 
 #: Shingle counters for the global order: one number each reaches the driver and all tasks.
@@ -44,6 +48,12 @@ COUNTERS = 1 << 18
 MAX_BROADCAST_IDS = 200_000
 #: Rounds of dropping sets that share too little; each is cheaper than the one before.
 ROUNDS = 2
+#: Text whose cells go to one part, and text whose cells a task deals together, about.
+PART_BYTES, DEALT_BYTES = 1 << 25, 1 << 24
+#: Bits of a cell's name; a collision costs time, no link.
+CELL_BITS = 48
+#: Bits that mark the ids whose texts are read again; a collision costs time, no link.
+MARKS = 1 << 26
 #: Extra beginning, in percent of a set, that similar sets must also share in part.
 EXTRA_PERCENT = 3
 
@@ -56,20 +66,166 @@ def _sets(batch: pa.RecordBatch, words_per_shingle: int):
         yield ids.slice(first, end - first), np.bincount(texts, minlength=end - first), texts, hashes
 
 
-def set_digests(docs: DataFrame, words_per_shingle: int) -> DataFrame:
-    """(doc_id, n, s1, s2): size of each set and two 64-bit sums that name it."""
+def _sums(texts: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the values of each of n texts, the texts being in order."""
+    out = np.zeros(n, dtype=np.uint64)
+    first, _ = runs(texts)
+    if len(first):
+        out[texts[first]] = np.add.reduceat(values, first)
+    return out
+
+
+def _levels(largest: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(smallest size of each level, tokens in which similar sets of it can differ, cells of a set).
+
+    Of two similar sets the larger one is of the level of the smaller one, or of the next.
+    A level has cells for its own sets and for those of the level before. Without a
+    token to differ in, similar sets are equal and need no cells.
+    """
+    low = [1]
+    while low[-1] <= largest:
+        low.append(max(low[-1] + 1, 100 * (low[-1] - 1) // percent + 1))
+    low.append(max(low[-1] + 1, 100 * (low[-1] - 1) // percent + 1))
+    low.append(max(low[-1] + 1, 100 * (low[-1] - 1) // percent + 1))
+    low = np.array(low, dtype=np.int64)
+    differ = (100 - percent) * 2 * (low[1:] - 1) // (100 + percent)
+    return low[:-1], differ, np.where(differ > 0, differ + 2 + differ // 16, 0)
+
+
+def set_cells(counts: np.ndarray, texts: np.ndarray, hashes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, name) of the cells of each set: similar sets that are not equal have one in common.
 
-    def digest(batches):
+    A set has so many cells more than similar sets can differ in that an equal one is
+    not empty, unless a set has as many empty ones; then these have names, too.
+    """
+    low, differ, cells = _levels(int(counts.max(initial=0)), percent)
+    own = np.searchsorted(low, counts, "right") - 1
+    mixed = mix64(hashes ^ mix64(np.full(1, 0xC3, dtype=np.uint64)))
+    found_texts, found = [], []
+    for level in (own, own + 1):
+        k = np.where(counts > 0, cells[level], 0)
+        first = np.cumsum(k) - k
+        dealt = k[texts] > 0
+        text = texts[dealt]
+        cell = first[text] + ((hashes[dealt] >> np.uint64(32)) * k[text].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+        sums, filled = np.zeros(k.sum(), dtype=np.uint64), np.zeros(k.sum(), dtype=bool)
+        np.add.at(sums, cell, mixed[dealt])
+        filled[cell] = True
+        of_text = np.repeat(np.arange(len(k)), k)
+        empty = np.bincount(of_text[~filled], minlength=len(k))
+        named = filled | (empty >= k - differ[level])[of_text]
+        of_text = of_text[named]
+        place = (np.arange(len(named))[named] - first[of_text]).astype(np.uint64)
+        names = mix64(sums[named] + mix64(place << np.uint64(20) | level[of_text].astype(np.uint64)))
+        found_texts.append(of_text)
+        found.append(names >> np.uint64(64 - CELL_BITS))
+    return np.concatenate(found_texts), np.concatenate(found)
+
+
+_DEALT = "part long, cells binary, owners binary, doc_id long, n long, s1 long, s2 long"
+#: Parts of rows that are no cells.
+_DIGEST, _SHARING = -1, -2
+
+
+def _dealt_rows(part, doc_id=None, cells=None, owners=None, digest=(None, None, None)) -> pa.RecordBatch:
+    n = len(part)
+    columns = [part, cells, owners, doc_id, *digest]
+    types = [pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 4]
+    arrays = [pa.nulls(n, t) if c is None else c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, ["part", "cells", "owners", "doc_id", "n", "s1", "s2"])
+
+
+def _shared_cells(cells: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct cells, one owner of each, distinct owners of cells that several ids have)."""
+    order = np.argsort(cells)
+    cells, owners = cells[order], owners[order]
+    first, end = runs(cells)
+    if not len(first):
+        return cells, owners, owners
+    least = np.minimum.reduceat(owners, first)
+    several = least < np.maximum.reduceat(owners, first)
+    return cells[first], least, np.unique(owners[np.repeat(several, end - first)])
+
+
+def deal_cells(docs: DataFrame, words_per_shingle: int, percent: int, parts: int) -> DataFrame:
+    """Digests of all sets, in one pass with their cells by part.
+
+    Rows of part _DIGEST have doc_id, n, s1 and s2: size of each set and two 64-bit sums
+    that name it. Rows of part _SHARING have a doc_id that shares a cell with another one
+    in what a task deals together. The others have cells, and one owner of each.
+    """
+
+    def dealt(cells: list, owners: list):
+        names, owner, sharing = _shared_cells(np.concatenate(cells), np.concatenate(owners))
+        yield _dealt_rows(np.full(len(sharing), _SHARING), sharing)
+        part = names * np.uint64(parts) >> np.uint64(CELL_BITS)
+        first, end = runs(part)
+        blobs = [[pack(x[a:b]) for a, b in zip(first, end, strict=True)] for x in (names, owner)]
+        yield _dealt_rows(part[first].astype(np.int64), None, *blobs)
+
+    def deal(batches):
+        cells, owners, size = [], [], 0
         for batch in batches:
             for ids, counts, texts, hashes in _sets(batch, words_per_shingle):
-                out = [ids, pa.array(counts, pa.int64())]
-                for salt in (0x51, 0xA7):
-                    sums = np.zeros(len(counts), dtype=np.uint64)
-                    np.add.at(sums, texts, mix64(hashes ^ mix64(np.full(1, salt, dtype=np.uint64))))
-                    out.append(pa.array(sums.view(np.int64)))
-                yield pa.RecordBatch.from_arrays(out, ["doc_id", "n", "s1", "s2"])
+                sums = [
+                    _sums(texts, mix64(hashes ^ mix64(np.full(1, salt, dtype=np.uint64))), len(counts)).view(np.int64)
+                    for salt in (0x51, 0xA7)
+                ]
+                yield _dealt_rows(np.full(len(counts), _DIGEST), ids, digest=(counts.astype(np.int64), *sums))
+                named = ids.is_valid().to_numpy(zero_copy_only=False)
+                own = ids.fill_null(0).to_numpy()
+                of_text, names = set_cells(np.where(named, counts, 0), texts[named[texts]], hashes[named[texts]], percent)
+                cells.append(names)
+                owners.append(own[of_text])
+            size += batch.column(1).nbytes
+            if size > DEALT_BYTES:
+                yield from dealt(cells, owners)
+                cells, owners, size = [], [], 0
+        if cells:
+            yield from dealt(cells, owners)
+
+    return map_texts(docs.select("doc_id", "text"), deal, _DEALT)
+
+
+def sharing_ids(dealt: DataFrame) -> DataFrame:
+    """(live_id): distinct ids of sets that share a cell with a set of another id."""
 
-    return map_texts(docs.select("doc_id", "text"), digest, "doc_id long, n long, s1 long, s2 long")
+    def meet(group: pa.Table) -> pa.Table:
+        owners = join_packed(group["owners"]).view(np.int64)
+        return pa.table({"live_id": _shared_cells(join_packed(group["cells"]), owners)[2]})
+
+    met = dealt.filter("part >= 0").select("part", "cells", "owners").groupBy("part").applyInArrow(meet, "live_id long")
+    return met.unionByName(dealt.filter(F.col("part") == _SHARING).select(F.col("doc_id").alias("live_id"))).distinct()
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Distinct (doc_id, text) of the ids in the column `live_id`.
+
+    Marks of the ids are sent to all tasks, so that only these texts are shuffled.
+    """
+    per_row = 1 << 16
+
+    def marks(group: pa.Table) -> pa.Table:
+        at = group["mark"].to_numpy() % per_row
+        found = np.zeros(per_row, dtype=np.uint8)
+        found[at] = 1
+        return pa.table({"slot": group["slot"][:1], "marks": pa.array([np.packbits(found).tobytes()], pa.binary())})
+
+    marked = np.zeros(MARKS // 8, dtype=np.uint8)
+    mark = F.pmod(F.xxhash64("live_id"), F.lit(MARKS))
+    slots = ids.select(mark.alias("mark")).distinct().withColumn("slot", F.floor(F.col("mark") / per_row))
+    for row in slots.groupBy("slot").applyInArrow(marks, "slot long, marks binary").collect():  # at most MARKS / per_row rows
+        marked[row["slot"] * per_row // 8 : (row["slot"] + 1) * per_row // 8] = np.frombuffer(row["marks"], dtype=np.uint8)
+    sent = docs.sparkSession.sparkContext.broadcast(marked)
+
+    def choose(batches):
+        for batch in batches:
+            at = batch.column(2).to_numpy()
+            hit = sent.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1
+            yield batch.select(["doc_id", "text"]).filter(pa.array(hit.astype(bool)))
+
+    some = map_texts(docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)).alias("mark")), choose, "doc_id long, text string")
+    return some.join(ids, F.col("doc_id") == F.col("live_id"), "left_semi").distinct()
 
 
 def shingle_counts(docs: DataFrame, words_per_shingle: int) -> np.ndarray:
@@ -91,7 +247,7 @@ def shingle_counts(docs: DataFrame, words_per_shingle: int) -> np.ndarray:
 
 
 def set_beginnings(docs: DataFrame, words_per_shingle: int, percent: int, counts_of: np.ndarray) -> DataFrame:
-    """(doc_id, n, pos, token): the first tokens of each set, as many as the similarity needs."""
+    """(doc_id, n, token): the first tokens of each set, as many as the similarity needs."""
 
     def beginnings(batches):
         for batch in batches:
@@ -107,13 +263,12 @@ def set_beginnings(docs: DataFrame, words_per_shingle: int, percent: int, counts
                     [
                         ids.take(pa.array(texts[keep])),
                         pa.array(n[keep], pa.int32()),
-                        pa.array(position[keep], pa.int32()),
                         pa.array(hashes[order][keep].view(np.int64)),
                     ],
-                    ["doc_id", "n", "pos", "token"],
+                    ["doc_id", "n", "token"],
                 )
 
-    return map_texts(docs.select("doc_id", "text"), beginnings, "doc_id long, n int, pos int, token long")
+    return map_texts(docs.select("doc_id", "text"), beginnings, "doc_id long, n int, token long")
 
 
 def whole_sets(docs: DataFrame, words_per_shingle: int) -> DataFrame:
@@ -143,7 +298,7 @@ def _still_shared(rows: DataFrame, percent: int) -> DataFrame:
         .filter("low < high")
         .select("shared_token")
     )
-    alive = staged(rows.join(shared, F.col("token") == F.col("shared_token")).drop("shared_token"), "shared")
+    alive = staged(rows.join(shared, F.col("token") == F.col("shared_token")).drop("shared_token"), "shared", True)
     forget(rows)
     partner = F.expr(f"({percent} * n + 99) div 100")
     needed = (F.lit(EXTRA_PERCENT) * partner / 100).cast("long") + 1
@@ -155,7 +310,7 @@ def _still_shared(rows: DataFrame, percent: int) -> DataFrame:
         .select("live_id", "live_n")
     )
     same = (F.col("doc_id") == F.col("live_id")) & (F.col("n") == F.col("live_n"))
-    left = staged(alive.join(enough, same).drop("live_id", "live_n"), "alive")
+    left = staged(alive.join(enough, same).drop("live_id", "live_n"), "alive", True)
     forget(alive)
     return left
 
@@ -172,33 +327,46 @@ def _as_links(found: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
+def _parts(docs: DataFrame) -> int:
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return min(int(size // PART_BYTES) + 1, 1 << (64 - CELL_BITS))
+
+
 def link_sets(
-    docs: DataFrame, digests: DataFrame, words_per_shingle: int, percent: int, home_size: int
+    docs: DataFrame, digests: DataFrame, sharing: DataFrame, words_per_shingle: int, percent: int, home_size: int
 ) -> tuple[DataFrame, DataFrame]:
     """(digests with `rep`, links between representatives a and b) of the documents' sets."""
     docs = docs.filter(F.col("doc_id").isNotNull())
     digests = digests.filter("n > 0 AND doc_id IS NOT NULL")
     classes = digests.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    counts_of = shingle_counts(docs, words_per_shingle)
-    beginnings = staged(set_beginnings(docs, words_per_shingle, percent, counts_of), "beginnings")
-    alive = _still_shared(beginnings, percent)
-
-    # only the representative of each class goes on
     digest_of = digests.join(
         classes.select(*[F.col(c).alias(f"c_{c}") for c in ("n", "s1", "s2")], F.col("rep")),
         (F.col("n") == F.col("c_n")) & (F.col("s1") == F.col("c_s1")) & (F.col("s2") == F.col("c_s2")),
     )
-    reps = digest_of.filter("doc_id = rep").select(F.col("doc_id").alias("rep_id"), F.col("n").alias("rep_n")).distinct()
+
+    # only the representative of each class goes on
+    found = digest_of.join(sharing, F.col("doc_id") == F.col("live_id"), "left_semi")
+    reps = staged(found.select(F.col("rep").alias("rep_id"), F.col("n").alias("rep_n")).distinct(), "reps", True)
+    live = staged(texts_of(docs, reps.select(F.col("rep_id").alias("live_id")).distinct()), "live", True)
+    again = staged(deal_cells(live, words_per_shingle, percent, _parts(live)), "cells", True)  # without the copies
+    still = staged(sharing_ids(again), "sharing", True)
+    texts = staged(live.join(still, F.col("doc_id") == F.col("live_id"), "left_semi"), "live", True)
+    forget(live)
+    forget(again)
+    forget(still)
+
+    counts_of = shingle_counts(texts, words_per_shingle)
+    beginnings = staged(set_beginnings(texts, words_per_shingle, percent, counts_of), "beginnings", True)
     is_rep = (F.col("doc_id") == F.col("rep_id")) & (F.col("n") == F.col("rep_n"))
-    of_reps = staged(alive.join(reps, is_rep).drop("rep_id", "rep_n"), "alive-reps")
-    forget(alive)
-    alive = of_reps
-    for _ in range(ROUNDS):  # what one round drops can leave others alone
+    alive = staged(beginnings.join(reps, is_rep, "left_semi"), "alive", True)
+    forget(beginnings)
+    for _ in range(1 + ROUNDS):  # what one round drops can leave others alone
         alive = _still_shared(alive, percent)
 
-    ids = staged(alive.select(F.col("doc_id").alias("live_id")).distinct(), "live-ids")
-    live = docs.join(broadcast_if_small(ids, MAX_BROADCAST_IDS), F.col("doc_id") == F.col("live_id"), "left_semi")
-    sets = staged(whole_sets(live, words_per_shingle).distinct(), "sets")
+    ids = staged(alive.select(F.col("doc_id").alias("live_id")).distinct(), "live-ids", True)
+    live = texts.join(ids, F.col("doc_id") == F.col("live_id"), "left_semi")
+    sets = staged(whole_sets(live, words_per_shingle).distinct(), "sets", True)
+    forget(texts)
 
     # home: of the tokens about as common as most of the set's, the commonest, and a part of it
     common = alive.groupBy(F.col("token").alias("t")).agg(F.count("*").alias("df"))
@@ -222,6 +390,7 @@ def link_sets(
             "doc_id", "home", part.alias("part"), "parts", F.col("doc_id").isin(F.col("tie_low"), F.col("tie_high")).alias("tie")
         ),
         "homes",
+        True,
     )
     everywhere = F.sequence(F.lit(0), F.col("parts") - 1)
     members = homes.withColumn("part", F.explode(F.when(F.col("tie"), everywhere).otherwise(F.array("part"))))
@@ -233,6 +402,7 @@ def link_sets(
         sets.join(broadcast_if_small(members.select("doc_id", "home", "part"), MAX_BROADCAST_IDS), "doc_id")
         .groupBy("home", "part").applyInArrow(within, _LINKS),
         "links-within",
+        True,
     )
 
     # homes whose classes are not connected yet
@@ -242,6 +412,7 @@ def link_sets(
             "doc_id", "home", "part", F.coalesce("component", "doc_id").alias("component")
         ),
         "placed",
+        True,
     )
     sizes = alive.groupBy("doc_id").agg(F.min("n").alias("n"))
     needed = (F.lit(EXTRA_PERCENT) * F.expr(f"({percent} * n + 99) div 100") / 100).cast("long") + 1
@@ -255,12 +426,12 @@ def link_sets(
             F.max("component").alias("c_high"),
         )
     )
-    summary = staged(per_home, "home-summary")
+    summary = staged(per_home, "home-summary", True)
     token_homes = (
         alive.select("doc_id", "token").join(placed.select("doc_id", "home", "part"), "doc_id")
         .select("token", "home", "part").distinct().join(summary, ["home", "part"])
     )
-    token_homes = staged(token_homes, "token-homes")
+    token_homes = staged(token_homes, "token-homes", True)
     guest = token_homes.select(*[F.col(c).alias(f"g_{c}") for c in token_homes.columns])
     rank, guest_rank = F.struct("crowd", "home", "part"), F.struct("g_crowd", "g_home", "g_part")
     one = (F.col("c_low") == F.col("c_high")) & (F.col("g_c_low") == F.col("g_c_high")) & (F.col("c_low") == F.col("g_c_low"))
@@ -276,6 +447,7 @@ def link_sets(
             "doc_id", "component", "to_home", "to_part"
         ),
         "visitors",
+        True,
     )
     party = visitors.groupBy("to_home", "to_part").agg(F.ceil(F.count("*") / home_size).cast("int").alias("rounds"))
     guests = visitors.join(party, ["to_home", "to_part"]).select(
@@ -294,7 +466,7 @@ def link_sets(
         )
         return _as_links(found)
 
-    company = staged(guests.unionByName(hosts), "company")
+    company = staged(guests.unionByName(hosts), "company", True)
     meeting = sets.join(broadcast_if_small(company, MAX_BROADCAST_IDS), "doc_id")
     more = meeting.groupBy("to_home", "to_part", "round").applyInArrow(across, _LINKS)
     # the classes of one id belong together
@@ -304,7 +476,7 @@ def link_sets(
         .filter("rep > least")
         .select(F.col("rep").alias("a"), F.col("least").alias("b"))
     )
-    return digest_of, staged(links.unionByName(more).unionByName(same_id), "links")
+    return digest_of, staged(links.unionByName(more).unionByName(same_id), "links", True)
 
 
 def near_duplicate_components(
@@ -312,8 +484,11 @@ def near_duplicate_components(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of `docs`."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    digests = staged(set_digests(docs, words_per_shingle), "digests")
-    named, links = link_sets(docs, digests, words_per_shingle, percent, home_size)
+    dealt = staged(deal_cells(docs, words_per_shingle, percent, _parts(docs)), "cells", True)
+    sharing = staged(sharing_ids(dealt), "sharing", True)
+    digests = staged(dealt.filter(F.col("part") == _DIGEST).select("doc_id", "n", "s1", "s2"), "digests")
+    forget(dealt)
+    named, links = link_sets(docs, digests, sharing, words_per_shingle, percent, home_size)
     component = connected_components(links)
     of_id = (
         named.join(component, F.col("rep") == F.col("node"), "left")

@@ -51,6 +51,42 @@ def test_jaccard_join_of_many_near_copies(spark, percent, size, home):
     assert {r.doc_id: r.component_id for r in got.collect()} == brute.components(sets, percent)
 
 
+@pytest.mark.parametrize("percent", [60, 80, 90, 97])
+def test_similar_sets_have_an_equal_cell(percent):
+    rng = np.random.default_rng(percent)
+    similar = 0
+    for _ in range(600):
+        one = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 150), dtype=np.uint64))
+        two = one[rng.random(len(one)) > rng.uniform(0, (100 - percent) / 80)]
+        two = np.union1d(two, rng.integers(0, 1 << 63, rng.integers(0, len(one) // 10 + 2), dtype=np.uint64))
+        both = len(np.intersect1d(one, two))
+        if 100 * both >= percent * (len(one) + len(two) - both) and both < max(len(one), len(two)):
+            similar += 1
+            sizes = np.array([len(one), len(two)])
+            texts, cells = jaccard_join.set_cells(sizes, np.repeat([0, 1], sizes), np.concatenate((one, two)), percent)
+            assert len(np.intersect1d(cells[texts == 0], cells[texts == 1]))
+    assert similar > 50
+
+
+def test_only_texts_that_can_have_a_link_go_on(spark, monkeypatch):
+    """All texts share many shingles, but two pairs only are near copies; the copies of one text are one set."""
+    rng = random.Random(11)
+    texts = [[rng.choice("abcdefghijkl") for _ in range(200)] for _ in range(60)]
+    texts[40], texts[41] = [*texts[3], "z"], ["z", *texts[7]]
+    texts[50:60] = [texts[9]] * 10
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    read, whole_sets = [], jaccard_join.whole_sets
+
+    def seen(docs, words_per_shingle):
+        read.extend(r.doc_id for r in docs.collect())
+        return whole_sets(docs, words_per_shingle)
+
+    monkeypatch.setattr(jaccard_join, "whole_sets", seen)
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicate_components(docs, 3, 90).collect()}
+    assert got == {i: {40: 3, 41: 7}.get(i, 9 if i >= 50 else i) for i in range(60)}
+    assert sorted(read) == [3, 7, 40, 41]
+
+
 def test_prefix_tree_finds_what_pairs_find():
     rng = np.random.default_rng(4)
     for _ in range(40):
