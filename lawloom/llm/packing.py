@@ -8,16 +8,30 @@ import zstandard
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Numbers as bytes, most significant ones apart, compressed."""
+    """Numbers as bytes, most significant ones apart, compressed; bytes that never differ are held once."""
     width = values.dtype.itemsize
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, width).T
-    return bytes([width]) + zstandard.compress(planes.tobytes(), 1)
+    values = np.ascontiguousarray(values)
+    flat = values.view(f"u{width}").ravel()
+    differ = int(np.bitwise_or.reduce(flat ^ flat[0])) if len(flat) else 0
+    held = [k for k in range(width) if differ >> 8 * k & 255]
+    planes = values.view(np.uint8).reshape(-1, width)
+    body = [np.array([len(flat)], dtype=np.uint64).tobytes(), flat[:1].tobytes(), *(planes[:, k].tobytes() for k in held)]
+    return bytes([width, sum(1 << k for k in held)]) + zstandard.compress(b"".join(body), 1)
 
 
 def unpack(blob: bytes) -> np.ndarray:
     """The packed numbers, unsigned."""
-    planes = np.frombuffer(zstandard.decompress(blob[1:]), dtype=np.uint8).reshape(blob[0], -1)
-    return np.ascontiguousarray(planes.T).view(np.dtype(f"u{blob[0]}")).ravel()
+    width, body = blob[0], np.frombuffer(zstandard.decompress(blob[2:]), dtype=np.uint8)
+    n = int(body[:8].view(np.uint64)[0])
+    kind = np.dtype(f"u{width}")
+    if not n:
+        return np.zeros(0, dtype=kind)
+    held = [k for k in range(width) if blob[1] >> k & 1]
+    values = np.full(n, body[8 : 8 + width].copy().view(kind)[0])
+    planes = values.view(np.uint8).reshape(-1, width)
+    for k, plane in zip(held, body[8 + width :].reshape(len(held), n), strict=True):
+        planes[:, k] = plane
+    return values
 
 
 def join_packed(column) -> np.ndarray:

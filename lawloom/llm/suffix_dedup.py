@@ -11,8 +11,11 @@ a smaller id. Strings are UTF-8 bytes, never cross documents, and may overlap.
    meet there. Equal stretches of a batch of documents travel once. Strings of an anchor
    that is found more than HOT_ANCHOR times go one by one to the part of the hash of all
    their bytes: around a common passage each document has strings of its own with an
-   anchor of the passage, which would otherwise all come to one part.
-3. A part sorts the suffixes of its stretches by the difference cover {1, 2} modulo 3:
+   anchor of the passage, which would otherwise all come to one part. Texts are dealt by
+   DEALT_BYTES to parts of PART_BYTES, so that a row holds many anchors or stretches:
+   there is a row for each pair of the two.
+3. A stretch that is the only one of its anchor equals no other string. A part sorts the
+   suffixes of the others, SORTED_STRINGS at a time with whole anchors, by the difference cover {1, 2} modulo 3:
    triples of characters at the sampled places are sorted and named, the names are read as
    a string and sorted again where they repeat, until they stand for nearly `length` bytes,
    the remaining suffixes are merged in, and adjacent prefixes of `length` bytes are
@@ -46,16 +49,16 @@ from lawloom.llm.packing import join_packed, pack, runs, to_batch, unpack
 GRAM = 24
 #: Anchors are compared by this many bits; a collision costs a comparison, no result.
 ANCHOR_BITS = 48
-#: Grams of text and stretches per part, about.
-PART_BYTES = 1 << 22
+#: Text whose anchors and stretches come to one part, and text that a task deals together, about.
+PART_BYTES, DEALT_BYTES = 1 << 24, 1 << 24
+#: Strings that are sorted together, about, and stretches of a text that are dealt together, in bytes.
+SORTED_STRINGS, _HELD_BYTES = 1 << 20, 1 << 25
 #: An anchor found more often is dealt by whole strings; the parts of rarer ones stay bounded.
 HOT_ANCHOR = 1 << 14
 #: Bytes whose anchors are found together: a place in them fits beside a hash, and their
 #: arrays of 8 bytes a place are small enough for the allocator to use the same memory again.
 CHUNK_BYTES = 15_000
 _NULL_ID = (1 << 63) - 1
-_BYTE_KEYS = np.random.default_rng(977).integers(1, 1 << 63, 256, dtype=np.uint64)
-_ODD = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = np.random.default_rng(978).integers(1, 1 << 62, 4, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Spans, and two for each of their documents, known to fit a broadcast (about 32 bytes each).
 MAX_BROADCAST_SPANS = 1_000_000
@@ -64,15 +67,29 @@ MAX_BROADCAST_SPANS = 1_000_000
 # ---- anchors ----
 
 
+def _eights(data: np.ndarray, kind: str = "<u8") -> np.ndarray:
+    """A view of the numbers of 8 bytes from each place of contiguous bytes."""
+    return np.ndarray((max(0, len(data) - 7),), dtype=kind, buffer=data, strides=(1,))
+
+
 def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the GRAM bytes from each place, by doubling; bits are spread once, at the end."""
-    doubled = [_BYTE_KEYS[data]]
-    for width, factor in zip((1, 2, 4, 8), _FACTORS, strict=True):
-        h = doubled[-1]
-        doubled.append(h[: len(h) - width] * factor + h[width:])
-    eight, sixteen = doubled[3], doubled[4]
+    """Hash of the GRAM bytes from each place, eight by eight."""
     n = max(0, len(data) - GRAM + 1)
-    return mix64(sixteen[:n] * _ODD + eight[16 : 16 + n]) >> np.uint64(64 - ANCHOR_BITS)
+    eight = _eights(np.ascontiguousarray(data)).astype(np.uint64)
+    h = eight[:n] * _FACTORS[0]
+    for k, factor in zip(range(8, GRAM, 8), _FACTORS[1:], strict=False):
+        h ^= h >> np.uint64(32)
+        h += eight[k : k + n]
+        h *= factor
+    h ^= h >> np.uint64(29)
+    h *= _FACTORS[3]
+    h >>= np.uint64(64 - ANCHOR_BITS)
+    return h
+
+
+def _anchor_names(grams: np.ndarray) -> np.ndarray:
+    """Anchors as evenly spread numbers of ANCHOR_BITS; smallest hashes are not even."""
+    return mix64(grams) >> np.uint64(64 - ANCHOR_BITS)
 
 
 def anchor_of_strings(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,11 +142,29 @@ _ANCHORS = "batch string, part long, hashes binary, lows binary, highs binary, c
 
 
 def deal_anchors(docs: DataFrame, length: int, parts: int) -> DataFrame:
-    """Per batch and part: distinct anchor hashes with lowest and highest id, and where they are."""
+    """Per batch and part: distinct anchors with lowest and highest id, and where they are."""
+
+    def dealt(name: str, found: list[tuple]) -> pa.RecordBatch:
+        hashes, ids, places = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(hashes)
+        hashes, ids, places = hashes[order], _ordered(ids[order]), places[order].astype(np.uint32)
+        starts, ends = runs(hashes)
+        lows = np.minimum.reduceat(ids, starts)
+        # the highest id as its distance from the lowest, which is mostly 0
+        further = np.maximum.reduceat(ids, starts) - lows
+        times, distinct = (ends - starts).astype(np.uint32), hashes[starts]
+        rows = []
+        part = distinct * np.uint64(parts) >> np.uint64(ANCHOR_BITS)
+        for a, b in zip(*runs(part), strict=True):
+            key = np.repeat(np.arange(b - a, dtype=np.uint32), times[a:b])
+            own = slice(starts[a], ends[b - 1])
+            blobs = (distinct[a:b], lows[a:b], further[a:b], times[a:b], key, ids[own], places[own])
+            rows.append((name, int(part[a]), *(pack(x) for x in blobs)))
+        return to_batch(rows, ["batch", "part", "hashes", "lows", "highs", "counts", "keys", "ids", "places"])
 
     def deal(batches):
-        for made, batch in enumerate(batches):
-            hashes, ids, places = [], [], []
+        found, size, made = [], 0, 0
+        for batch in batches:
             own = _own_ids(batch.column(0))
             for row, end, data, offsets in text_chunks(batch.column(1), CHUNK_BYTES):
                 if len(data) >= length:
@@ -137,23 +172,13 @@ def deal_anchors(docs: DataFrame, length: int, parts: int) -> DataFrame:
                     at = anchor[starts]
                     at = at[np.append(True, at[1:] != at[:-1])[: len(at)]]  # anchors never go back
                     text = np.searchsorted(offsets, at, "right") - 1
-                    hashes.append(grams[at])
-                    places.append(at - offsets[text])
-                    ids.append(own[row:end][text])
-            rows = []
-            if hashes:
-                hashes, ids, places = np.concatenate(hashes), _ordered(np.concatenate(ids)), np.concatenate(places)
-                order = np.lexsort((ids, hashes, hashes % np.uint64(parts)))
-                hashes, ids, places = hashes[order], ids[order], places[order].astype(np.uint32)
-                for a, b in zip(*runs(hashes % np.uint64(parts)), strict=True):
-                    h, i = hashes[a:b], ids[a:b]
-                    starts, ends = runs(h)
-                    key = np.repeat(np.arange(len(starts), dtype=np.uint32), ends - starts)
-                    # the highest id as its distance from the lowest, which is mostly 0
-                    times = (ends - starts).astype(np.uint32)
-                    blobs = (h[starts], i[starts], i[ends - 1] - i[starts], times, key, i, places[a:b])
-                    rows.append((_batch_name(made), int(h[0] % np.uint64(parts)), *(pack(x) for x in blobs)))
-            yield to_batch(rows, ["batch", "part", "hashes", "lows", "highs", "counts", "keys", "ids", "places"])
+                    found.append((_anchor_names(grams[at]), own[row:end][text], at - offsets[text]))
+                    size += len(data)
+                if size > DEALT_BYTES:
+                    yield dealt(_batch_name(made), found)
+                    found, size, made = [], 0, made + 1
+        if any(len(names) for names, _, _ in found):
+            yield dealt(_batch_name(made), found)
 
     return map_texts(docs, deal, _ANCHORS)
 
@@ -165,7 +190,7 @@ def _extremes(group: pa.Table) -> pa.Table:
     """
     hashes, lows, highs, counts = (join_packed(group[c]) for c in ("hashes", "lows", "highs", "counts"))
     highs = lows + highs
-    order = np.argsort(hashes, kind="stable")
+    order = np.argsort(hashes)
     starts, ends = runs(hashes[order])
     which = np.empty(len(order), dtype=np.int64)
     which[order] = np.repeat(np.arange(len(starts)), ends - starts)
@@ -206,35 +231,24 @@ def _shared_anchors(batches):
 
 # ---- stretches ----
 
-_STRETCHES = "batch string, part long, texts binary, lengths binary, lows binary, keys binary, ids binary, tags binary, starts binary"
-
-
-#: Texts that are dealt together, about.
-_DEALT_BYTES = 1 << 22
-
+_STRETCHES = "batch string, part long, anchors binary, texts binary, lengths binary, lows binary, keys binary, ids binary, tags binary, starts binary"
 
-_POWERS: dict[int, np.ndarray] = {}
 
-
-def _powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 ... base ** (n - 1) modulo 2 ** 64, kept for the next call."""
-    if len(_POWERS.get(base, ())) < n:
-        factors = np.full(n, np.uint64(base))
-        factors[:1] = 1
-        _POWERS[base] = np.multiply.accumulate(factors)
-    return _POWERS[base][:n]
-
-
-def _stretch_hashes(text: np.ndarray, first: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
-    """128 bits that name the bytes of each stretch."""
-    out = []
-    for salt in (0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47):
-        powers = _powers(salt | 1, len(text))
-        inverse = _powers(pow(salt | 1, -1, 1 << 64), len(text))
-        sums = np.zeros(len(text) + 1, dtype=np.uint64)
-        np.cumsum(mix64(_BYTE_KEYS ^ np.uint64(salt))[text] * powers, out=sums[1:])
-        out.append(mix64((sums[end] - sums[first]) * inverse[first] + (end - first).astype(np.uint64)))
-    return out
+def _stretch_hashes(text: np.ndarray, first: np.ndarray, end: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits that name the bytes of each stretch of strings of `length` bytes with one anchor."""
+    lengths = end - first
+    one = lengths.astype(np.uint64) * _FACTORS[0]
+    two = ~one
+    eight = _eights(text)
+    for k in range(0, 2 * length - GRAM, 8):  # at most so many bytes; shorter ones read their last eight again
+        word = eight[first + np.minimum(k, lengths - 8)]
+        one ^= word
+        one *= _FACTORS[1]
+        one ^= one >> np.uint64(32)
+        two += word
+        two *= _FACTORS[2]
+        two ^= two >> np.uint64(29)
+    return mix64(one), mix64(two)
 
 
 def _pieces(text: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -245,37 +259,37 @@ def _pieces(text: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np.ndar
 
 def _dealt(name: str, chunks: list[tuple], parts: int) -> pa.RecordBatch:
     """Rows (batch, part, ...) of the stretches of some texts; equal stretches travel once."""
-    text, first, end, own, tag, anchor, offsets = (np.concatenate(x) for x in zip(*chunks, strict=True))
-    own = _ordered(own)
-    part = mix64(anchor) % np.uint64(parts)
-    one, two = _stretch_hashes(text, first, end)
-    order = np.lexsort((one, part))  # of two texts with one hash, copies may travel more than once
-    first, end, own, tag, part, one, two, offsets = (x[order] for x in (first, end, own, tag, part, one, two, offsets))
+    text, lengths, one, two, own, tag, anchor, place = (np.concatenate(x) for x in zip(*chunks, strict=True))
+    own, first = _ordered(own), np.cumsum(lengths) - lengths
+    # by anchor, then by hash; of two texts with these bits, copies may travel more than once
+    order = np.argsort(anchor >> np.uint64(24) << np.uint64(24) | one >> np.uint64(40))
+    first, lengths, one, two, own, tag, anchor, place = (x[order] for x in (first, lengths, one, two, own, tag, anchor, place))
+    anchor >>= np.uint64(32)
+    part = anchor * np.uint64(parts) >> np.uint64(32)
     new = np.ones(len(order), dtype=bool)
-    new[1:] = (part[1:] != part[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    new[1:] = (anchor[1:] != anchor[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
     distinct = np.cumsum(new) - 1
     rows = []
     for a, b in zip(*runs(part), strict=True):
         lead = np.flatnonzero(new[a:b]) + a
-        lengths = end[lead] - first[lead]
         blobs = (
-            _pieces(text, first[lead], lengths), lengths.astype(np.uint32), np.minimum.reduceat(own[a:b], lead - a),
-            (distinct[a:b] - distinct[a]).astype(np.uint32), own[a:b], tag[a:b], (first[a:b] - offsets[a:b]).astype(np.uint32),
+            anchor[lead].astype(np.uint32), _pieces(text, first[lead], lengths[lead]), lengths[lead].astype(np.uint32),
+            np.minimum.reduceat(own[a:b], lead - a), (distinct[a:b] - distinct[a]).astype(np.uint32), own[a:b], tag[a:b], place[a:b],
         )
         rows.append((name, int(part[a]), *(pack(x) for x in blobs)))
-    return to_batch(rows, ["batch", "part", "texts", "lengths", "lows", "keys", "ids", "tags", "starts"])
+    return to_batch(rows, ["batch", "part", "anchors", "texts", "lengths", "lows", "keys", "ids", "tags", "starts"])
 
 
 def deal_stretches(docs: DataFrame, length: int, parts: int) -> DataFrame:
     """Per batch and part: distinct stretches with their lowest id, and where they are.
 
     docs: (id, text, anchors, hot), anchors being the places of those that other documents
-    have, hot the hashes of those that are dealt by whole strings.
+    have, hot the names of those that are dealt by whole strings.
     """
 
     def deal(batches):
-        for made, batch in enumerate(batches):
-            chunks, size = [], 0
+        chunks, size, held, made = [], 0, 0, 0
+        for batch in batches:
             own = _own_ids(batch.column(0))
             marked, hot = batch.column(2), np.unique(batch.column(3).flatten().to_numpy(zero_copy_only=False)).astype(np.uint64)
             marks = pc.list_value_length(marked).to_numpy(zero_copy_only=False)
@@ -289,30 +303,36 @@ def deal_stretches(docs: DataFrame, length: int, parts: int) -> DataFrame:
                 at = at[at + GRAM <= np.repeat(offsets[1:], marks[row:end])]
                 repeated = np.zeros(len(grams), dtype=bool)
                 repeated[at] = True
-                starts = starts[repeated[anchor[starts]]]
+                place = anchor[starts]
+                mine = repeated[place]
+                starts, place = starts[mine], place[mine]
                 if not len(starts):
                     continue
                 new = np.ones(len(starts), dtype=bool)  # texts end with places that start no string
-                new[1:] = (np.diff(starts) > 1) | (np.diff(anchor[starts]) != 0)
-                key = grams[anchor[starts]]
+                new[1:] = (starts[1:] > starts[:-1] + 1) | (place[1:] != place[:-1])
                 if len(hot):  # a hot anchor is hot in every text that shares it
-                    alone = np.isin(key, hot)
+                    alone = np.isin(_anchor_names(grams[place]), hot)
                     new |= alone
                     new[1:] |= alone[:-1]
-                    key[alone] = _stretch_hashes(data, starts[alone], starts[alone] + length)[0]
                 first = starts[new]
                 last = starts[np.append(new[1:], True)]
+                one, two = _stretch_hashes(data, first, last + length, length)
+                key = mix64(_anchor_names(grams[place[new]]))
+                if len(hot):
+                    key = np.where(alone[new], one, key)
                 text = np.searchsorted(offsets, first, "right") - 1
                 tags = np.zeros(end - row, dtype=np.uint32)
                 for i in np.unique(text):
                     tags[i] = zlib.crc32(data[offsets[i] : offsets[i + 1]])
-                chunks.append((data, first + size, last + length + size, own[row:end][text], tags[text], key[new], offsets[text] + size))
-                size += len(data)
-                if size > _DEALT_BYTES:
-                    yield _dealt(f"{_batch_name(made)}-{end}", chunks, parts)
-                    chunks, size = [], 0
-            if chunks:
-                yield _dealt(_batch_name(made), chunks, parts)
+                lengths = last + length - first
+                pieces = _pieces(data, first, lengths)
+                chunks.append((pieces, lengths, one, two, own[row:end][text], tags[text], key, (first - offsets[text]).astype(np.uint32)))
+                size, held = size + len(data), held + len(pieces)
+                if size > DEALT_BYTES or held > _HELD_BYTES:
+                    yield _dealt(_batch_name(made), chunks, parts)
+                    chunks, size, held, made = [], 0, 0, made + 1
+        if chunks:
+            yield _dealt(_batch_name(made), chunks, parts)
 
     return map_texts(docs, deal, _STRETCHES)
 
@@ -375,8 +395,7 @@ def suffix_order(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.
     neighbours are compared.
     """
     padded = np.concatenate((text, np.zeros(2 * length + 64, dtype=np.uint8)))
-    wide = padded.astype(np.uint64)
-    character = wide[:-3] << np.uint64(24) | wide[1:-2] << np.uint64(16) | wide[2:-1] << np.uint64(8) | wide[3:]
+    two_characters = _eights(padded, ">u8")
     reaches = [12]  # bytes that a name stands for, multiples of 3
     while reaches[-1] * 2 <= length - 2:
         reaches.append(reaches[-1] * 2)
@@ -399,7 +418,7 @@ def suffix_order(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.
 
     names = np.zeros(len(padded), dtype=np.uint64)
     at = sampled(steps[0])
-    names[at] = _refined(_names(character[at] << np.uint64(32) | character[at + 4]), character[at + 8])
+    names[at] = _refined(_names(two_characters[at].astype(np.uint64)), two_characters[at + 8].astype(np.uint64) >> np.uint64(32))
     for shorter, needed in zip(reaches[:-1], steps[1:], strict=True):
         at = sampled(needed)
         names[at] = _refined(names[at], names[at + shorter])
@@ -412,9 +431,9 @@ def suffix_order(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.
         step, tail = left[shift] - left[shift] % 3, left[shift] % 3
         number = _refined(names[at], names[at + step]) if step else names[at]
         for k in range(shift):
-            number = number | wide[at - 1 - k] << np.uint64(32 + 8 * k)
+            number = number | padded[at - 1 - k].astype(np.uint64) << np.uint64(32 + 8 * k)
         for k in range(tail):
-            number = number << np.uint64(8) | wide[at + step + reach + k]
+            number = number << np.uint64(8) | padded[at + step + reach + k].astype(np.uint64)
         key[mine] = number
         return key
 
@@ -454,21 +473,34 @@ def _string_starts(lengths: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray,
 
 def _sort_part(length: int):
     def sort(group: pa.Table) -> pa.Table:
-        text, lengths, lows = (join_packed(group[c]) for c in ("texts", "lengths", "lows"))
+        anchors, text, lengths, lows = (join_packed(group[c]) for c in ("anchors", "texts", "lengths", "lows"))
         lengths = lengths.astype(np.int64)
         counts = lengths - length + 1  # strings of each stretch
         begin = np.cumsum(lengths) - lengths
         # stretches that several batches have are sorted once, with their lowest id
-        one, two = _stretch_hashes(text, begin, begin + lengths)
-        order = np.argsort(one)  # two texts with one hash cost a comparison, no result
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+        one, two = _stretch_hashes(text, begin, begin + lengths, length)
+        order = np.argsort(anchors.astype(np.uint64) << np.uint64(32) | one >> np.uint64(32))
+        anchors, one, two = anchors[order], one[order], two[order]
+        new = np.ones(len(order), dtype=bool)  # two texts with these bits cost a comparison, no result
+        new[1:] = (anchors[1:] != anchors[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
         heads = np.flatnonzero(new)
         lead, lowest = order[heads], np.minimum.reduceat(lows[order], heads)
         which = np.empty(len(order), dtype=np.int64)
         which[order] = np.cumsum(new) - 1
-        places, place = _string_starts(lengths[lead], counts[lead])
-        found = lowest_ids(_pieces(text, begin[lead], lengths[lead]), places, np.repeat(lowest, counts[lead]), length)
+        times = counts[lead]
+        place = np.cumsum(times) - times
+        found = np.repeat(lowest, times)
+        # equal strings have one anchor: only anchors of several stretches need an order
+        first, end = runs(anchors[heads])
+        several = end - first > 1
+        first, end = first[several], end[several]
+        strings = np.cumsum([times[a:b].sum() for a, b in zip(first, end, strict=True)]) if len(first) else np.zeros(0)
+        for a, b in zip(*runs((strings - 1) // SORTED_STRINGS), strict=True):
+            mine = np.repeat(first[a:b], end[a:b] - first[a:b]) + _counted(end[a:b] - first[a:b])
+            starts, _ = _string_starts(lengths[lead[mine]], times[mine])
+            pieces = _pieces(text, begin[lead[mine]], lengths[lead[mine]])
+            at = np.repeat(place[mine], times[mine]) + _counted(times[mine])
+            found[at] = lowest_ids(pieces, starts, found[at], length)
         best = found[np.repeat(place[which], counts) + _counted(counts)]
         of_row = np.add.reduceat(counts, np.cumsum([0] + [len(unpack(b.as_py())) for b in group["lengths"]][:-1]))
         cut = np.cumsum(of_row)[:-1]
@@ -478,29 +510,32 @@ def _sort_part(length: int):
     return sort
 
 
+#: A span as one number: its first byte, and its end in the lower bits.
+_END_BITS = 32
+
+
 def _removed_starts(length: int):
     def expand(batches):
         for batch in batches:
             for lengths, keys, ids, tags, starts, best in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                 counts = unpack(lengths).astype(np.int64) - length + 1
                 keys, ids, tags, best = unpack(keys), unpack(ids), unpack(tags), unpack(best)
-                starts = unpack(starts).astype(np.int64)
-                first = (np.cumsum(counts) - counts)[keys]
                 times = counts[keys]
-                at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                gone = best[np.repeat(first, times) + at] < np.repeat(ids, times)
-                own, tag, place = np.repeat(ids, times)[gone], np.repeat(tags, times)[gone], (np.repeat(starts, times) + at)[gone]
-                order = np.lexsort((place, tag, own))
-                own, tag, place = own[order], tag[order], place[order]
-                new = np.ones(len(own), dtype=bool)
-                new[1:] = (own[1:] != own[:-1]) | (tag[1:] != tag[:-1]) | (place[1:] > place[:-1] + 1)
-                begins = np.flatnonzero(new)
-                ends = np.append(begins[1:], len(own)) - 1 if len(begins) else begins
-                back = (own[begins] ^ np.uint64(1 << 63)).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(back), pa.array(tag[begins].astype(np.int64)), pa.array(place[begins]), pa.array(place[ends] + length)],
-                    ["span_id", "tag", "first", "end"],
-                )
+                until = np.cumsum(times)
+                at = _counted(times)
+                gone = best[np.repeat((np.cumsum(counts) - counts)[keys], times) + at] < np.repeat(ids, times)
+                # runs of removed strings of a stretch
+                begins = gone & (at == 0)
+                begins[1:] |= gone[1:] & ~gone[:-1]
+                ends = gone.copy()
+                ends[:-1] &= ~gone[1:] | (at[1:] == 0)
+                begins, ends = np.flatnonzero(begins), np.flatnonzero(ends)
+                of = np.searchsorted(until, begins, "right")
+                first = unpack(starts).astype(np.int64)[of] + at[begins]
+                back = (ids[of] ^ np.uint64(1 << 63)).view(np.int64)
+                span = first << _END_BITS | first + (ends - begins) + length
+                columns = [pa.array(back), pa.array(tags[of].astype(np.int64)), pa.array(span)]
+                yield pa.RecordBatch.from_arrays(columns, ["span_id", "tag", "span"])
 
     return expand
 
@@ -530,21 +565,24 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     marked = plain.join(flags, F.col("id") == F.col("anchor_id")).select("id", "text", "anchors", "hot")
     stretches = staged(deal_stretches(marked, length, parts), "stretches", free_shuffles=True)
     forget(shared)
-    best = stretches.select("batch", "part", "texts", "lengths", "lows").groupBy("part").applyInArrow(
+    best = stretches.select("batch", "part", "anchors", "texts", "lengths", "lows").groupBy("part").applyInArrow(
         _sort_part(length), "batch string, part long, best binary"
     )
     pieces = (
         stretches.select("batch", "part", "lengths", "keys", "ids", "tags", "starts").join(best, ["batch", "part"])
         .select("lengths", "keys", "ids", "tags", "starts", "best")
-        .mapInArrow(_removed_starts(length), "span_id long, tag long, first long, end long")
+        .mapInArrow(_removed_starts(length), "span_id long, tag long, span long")
     )
-    collected = pieces.groupBy("span_id", "tag").agg(F.sort_array(F.collect_list(F.struct("first", "end"))).alias("spans"))
+    collected = pieces.groupBy("span_id", "tag").agg(F.sort_array(F.collect_list("span")).alias("spans"))
 
     def merge(batches):
-        place = pa.struct([("first", pa.int64()), ("end", pa.int64())])
         for batch in batches:
-            spans = [[{"first": a, "end": b} for a, b in merged(row)] for row in batch.column(2).to_pylist()]
-            columns = [batch.column(0), batch.column(1), pa.array(spans, pa.list_(place))]
+            counts, spans = merged(pc.list_value_length(batch.column(2)).to_numpy(), batch.column(2).flatten().to_numpy())
+            values = pa.StructArray.from_arrays(
+                [pa.array(spans >> _END_BITS), pa.array(spans & ((1 << _END_BITS) - 1))], ["first", "end"]
+            )
+            offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
+            columns = [batch.column(0), batch.column(1), pa.ListArray.from_arrays(offsets, values)]
             yield pa.RecordBatch.from_arrays(columns, ["span_id", "tag", "spans"])
 
     schema = "span_id long, tag long, spans array<struct<first: bigint, end: bigint>>"
@@ -553,15 +591,15 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     return spans
 
 
-def merged(spans: list[dict]) -> list[tuple[int, int]]:
-    """Spans in order of their beginning, those that touch made one."""
-    out: list[list[int]] = []
-    for span in spans:
-        if out and span["first"] <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], span["end"])
-        else:
-            out.append([span["first"], span["end"]])
-    return [(a, b) for a, b in out]
+def merged(counts: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(spans of each row, spans) of rows of spans in order of their beginning, those that touch made one."""
+    row = np.repeat(np.arange(len(counts)), counts) << _END_BITS
+    first, end = row | spans >> _END_BITS, row | spans & ((1 << _END_BITS) - 1)
+    reach = np.maximum.accumulate(end)
+    begins = np.flatnonzero(np.append(True, first[1:] > reach[:-1])[: len(spans)])
+    ends = reach[np.append(begins[1:], len(spans)) - 1] if len(begins) else reach
+    found = spans[begins] >> _END_BITS << _END_BITS | ends & ((1 << _END_BITS) - 1)
+    return np.bincount(row[begins] >> _END_BITS, minlength=len(counts)), found
 
 
 def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
@@ -574,25 +612,33 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
 
     def cut(batches):
         for batch in batches:
-            rows = []
-            for value, spans in zip(batch.column(-2), batch.column(-1).to_pylist(), strict=True):
-                raw = (value.as_py() or "").encode()
-                gone = [(span["first"], span["end"]) for span in spans or []]
-                kept, at = [], 0
-                for first, end in gone:
-                    kept.append(raw[at:first])
-                    at = end
-                kept.append(raw[at:])
-                rows.append((b"".join(kept), len(raw), sum(b - a for a, b in gone), len(gone)))
-            columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.binary(), *[pa.int64()] * 3))]
-            names = [*batch.schema.names[:-2], "kept", "n_bytes", "n_removed", "n_spans"]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *columns], names)
+            spans = batch.column(batch.num_columns - 1)
+            many = pc.fill_null(pc.list_value_length(spans), 0).to_numpy()
+            spans = spans.flatten()
+            first, end = (spans.field(i).to_numpy() for i in (0, 1))
+            removed = np.bincount(np.repeat(np.arange(len(many)), many), end - first, len(many)).astype(np.int64)
+            until, sizes, pieces = np.concatenate(([0], np.cumsum(many))), [], []
+            for row, stop, data, offsets in text_chunks(batch.column(batch.schema.get_field_index("text"))):
+                mine = slice(until[row], until[stop])
+                begin = np.repeat(offsets[:-1], many[row:stop])
+                edge = np.zeros(len(data) + 1, dtype=np.int8)
+                edge[begin + first[mine]] = 1
+                np.subtract.at(edge, begin + end[mine], 1)  # a span can end where the next text's begins
+                pieces.append(data[np.cumsum(edge[:-1], dtype=np.int8) == 0])
+                sizes.append(np.diff(offsets))
+            sizes = np.concatenate([*sizes, np.zeros(0, dtype=np.int64)])
+            kept = np.concatenate([*pieces, np.zeros(0, dtype=np.uint8)])
+            offsets = np.concatenate(([0], np.cumsum(sizes - removed))).astype(np.int32)
+            kept = pa.BinaryArray.from_buffers(pa.binary(), len(many), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
+            columns = [kept, *(pa.array(x.astype(np.int64)) for x in (sizes, removed, many))]
+            names = [*batch.schema.names[:-1], "kept", "n_bytes", "n_removed", "n_spans"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names)
 
     spans = spans.withColumnsRenamed({"span_id": "_cut_id", "tag": "_cut_tag", "spans": "_cut_spans"})
     same = (id_ == F.col("_cut_id")) & (F.crc32(text_or_empty("text")) == F.col("_cut_tag"))
     held = spans.agg(F.coalesce(F.sum(F.size("_cut_spans") + 2), F.lit(0))).first()[0]
     joined = docs.join(F.broadcast(spans) if held <= MAX_BROADCAST_SPANS else spans, same, "left").select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.col("text").alias("_cut_text"), "_cut_spans"
+        *[F.col(f"`{c}`") for c in docs.columns], "_cut_spans"
     )
     schema = T.StructType(list(docs.schema.fields))
     for name, kind in (("kept", "binary"), ("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long")):

@@ -251,6 +251,56 @@ def test_a_common_passage_is_spread_over_the_parts(spark, monkeypatch):
     assert largest[1 << 14] > 0.2 > 5 * largest[30] / 2
 
 
+def test_rows_of_parts_hold_many_batches(spark, monkeypatch):
+    """Rows are as many as dealt texts times parts: small batches are dealt together."""
+    rng = random.Random(5)
+    passages = ["".join(rng.choice("abcdefgh ") for _ in range(120)) for _ in range(200)]
+    texts = [(i, f"{rng.choice(passages)}{i:06d}{rng.choice(passages)}") for i in range(4000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    rows, dealt = {}, {name: getattr(suffix_dedup, name) for name in ("deal_anchors", "deal_stretches")}
+
+    def counted(name):
+        def deal(*given):
+            made = dealt[name](*given).cache()
+            rows[name] = made.count()
+            return made
+
+        return deal
+
+    for name in dealt:
+        monkeypatch.setattr(suffix_dedup, name, counted(name))
+    got = suffix_dedup.remove_repeats(docs.select("doc_id", "text")).select("doc_id", "n_removed", "kept").collect()
+    wanted = {i: (removed, kept) for (i, _), (_, removed, _, kept) in zip(texts, brute.removed(texts), strict=True)}
+    assert {r.doc_id: (r.n_removed, bytes(r.kept)) for r in got} == wanted
+    assert rows["deal_anchors"] == 2 and rows["deal_stretches"] <= spark.sparkContext.defaultParallelism
+
+
+def test_only_anchors_of_several_stretches_are_sorted(spark, monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    one, two, three = (rng.integers(97, 123, 60).astype(np.uint8) for _ in range(3))
+    two[:50] = three[5:55]  # a common string, in stretches that differ
+    seen, lowest_ids = [], suffix_dedup.lowest_ids
+
+    def sort(text, starts, ids, length):
+        seen.append(len(starts))
+        return lowest_ids(text, starts, ids, length)
+
+    monkeypatch.setattr(suffix_dedup, "lowest_ids", sort)
+    blobs = [
+        (np.array([7, 9, 9], dtype=np.uint32), np.concatenate((one, two, three)), np.array([9, 4, 6], dtype=np.uint64)),
+        (np.array([7], dtype=np.uint32), one, np.array([2], dtype=np.uint64)),
+    ]
+    table = {"batch": ["a", "b"], "part": [0, 0]}
+    for k, name in enumerate(("anchors", "texts", "lows")):
+        table[name] = [suffix_dedup.pack(b[k]) for b in blobs]
+    table["lengths"] = [suffix_dedup.pack(np.full(len(b[0]), 60, dtype=np.uint32)) for b in blobs]
+    best = [suffix_dedup.unpack(b).tolist() for b in suffix_dedup._sort_part(50)(pa.table(table))["best"].to_pylist()]
+    assert best == [[2] * 11 + [4] * 11 + [6] * 5 + [4] + [6] * 5, [2] * 11]
+    assert seen == [22]
+
+
 # ---- decontamination ----
 
 
